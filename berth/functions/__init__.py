@@ -16,5 +16,7 @@ from berth.functions.stems import (  # noqa: F401
     strip_timestamp,
     strip_version,
     ts_to_int,
+    with_parsed_stem,
 )
-from berth.functions.shorten import collapse_dup_prefix, semantic_name, with_semantic_name  # noqa: F401
+from berth.functions.shorten import (  # noqa: F401
+    collapse_dup_prefix, semantic_name, with_semantic_name, with_semantic_name_distinct)

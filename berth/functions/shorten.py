@@ -142,6 +142,20 @@ def with_semantic_name(df: DataFrame, src: str, out: str,
     return d.drop("__sem_s", "__sem_r", "__sem_o", *[f"__sem_f{i}" for i in range(len(SCOPE_SUFFIXES))])
 
 
+def with_semantic_name_distinct(df: DataFrame, src: str, out: str,
+                                rules: Sequence[tuple[str, str]] = SEMANTIC_RULES) -> DataFrame:
+    """:func:`with_semantic_name` computed once per distinct ``src`` value and
+    joined back. Landing names repeat (the same dataset downloaded many
+    times), so the rule chain runs on far fewer rows; the distinct is
+    partially aggregated before its shuffle, and AQE picks a broadcast of the
+    mapping at run time only when its measured size allows (else a sort-merge
+    join, split by AQE when one name is hot)."""
+    keys = df.select(F.col(src).alias("__sem_key")).distinct()
+    mapping = with_semantic_name(keys, "__sem_key", out)
+    j = df.join(mapping, df[src].eqNullSafe(mapping["__sem_key"]), "left")
+    return j.drop("__sem_key")
+
+
 def semantic_name(c: Column | str,
                   rules: Sequence[tuple[str, str]] = SEMANTIC_RULES) -> Column:
     """Column form of :func:`with_semantic_name` for small inputs (repeats

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from berth.functions.text import safe_name
@@ -62,12 +62,36 @@ def strip_timestamp(c: Column | str) -> Column:
 
 
 def parse_stem(c: Column | str) -> Column:
-    """Struct ``(base, ts, ver)``: version suffix first, then timestamp."""
+    """Struct ``(base, ts, ver)``: version suffix first, then timestamp.
+    Column form for small inputs; :func:`with_parsed_stem` evaluates each
+    regex once per row."""
     v = strip_version(c)
     t = strip_timestamp(v["rest"])
     return F.struct(t["rest"].alias("base"), t["ts"].alias("ts"), v["ver"].alias("ver"))
 
 
+# Whole-suffix forms: one regex each, the parts are then cut by offsets.
+_VERSION_MATCH = r"(?i)_v\d+$"
+_TIMESTAMP_MATCH = r"[\-_]\d{8}[\-_]\d{6}\s*$"
+
+
+def with_parsed_stem(df: DataFrame, src: str, base: str = "base", ts: str = "ts",
+                     ver: str = "ver") -> DataFrame:
+    """Add ``base``, ``ts`` and ``ver`` parsed from stem column ``src``."""
+    c = F.col(src)
+    d = df.withColumn("__vm", F.regexp_extract(c, _VERSION_MATCH, 0))
+    vm = F.col("__vm")
+    d = d.select("*", F.substring(c, F.lit(1), F.length(c) - F.length(vm)).alias("__rest"),
+                 F.when(vm != "", F.substring(vm, 3, 1 << 30).try_cast("bigint")).alias(ver))
+    r = F.col("__rest")
+    d = d.withColumn("__tm", F.regexp_extract(r, _TIMESTAMP_MATCH, 0))
+    tm = F.col("__tm")
+    d = d.select("*", F.substring(r, F.lit(1), F.length(r) - F.length(tm)).alias(base),
+                 F.when(tm != "", F.concat(F.substring(tm, 2, 8), F.lit("_"),
+                                           F.substring(tm, 11, 6))).alias(ts))
+    return d.drop("__vm", "__rest", "__tm")
+
+
 def ts_to_int(ts: Column | str) -> Column:
     """``YYYYMMDD_HHMMSS`` → comparable BIGINT (no calendar check); NULL → 0."""
     return F.coalesce(F.replace(_col(ts), F.lit("_"), F.lit("")).try_cast("bigint"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from berth.functions.stems import extension
-from berth.operators.reconcile import INLINE_KEY_LIMIT, _file_match_flag, title_matches
+from berth.operators.reconcile import CatalogIndex, with_match_flag
 from berth.sources.catalog import AIR_TITLES, WATER_TITLES
 
 
@@ -19,15 +19,12 @@ def count_by_extension(inv: DataFrame) -> DataFrame:
             .orderBy(F.desc("n_files"), F.asc("ext")))
 
 
-def count_report(inv: DataFrame, cat: DataFrame, inline_limit: int = INLINE_KEY_LIMIT) -> DataFrame:
+def count_report(inv: DataFrame, cat: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """One row: total files, ``.csv`` files (case-folded), expected titles per
     scope and in total, and CSV files (case-sensitive ``*.csv``) that match no
     expected title — one pass over the inventory."""
     is_csv_glob = F.col("name").endswith(".csv")
-    flagged = _file_match_flag(cat, inv, inline_limit)
-    if flagged is None:  # catalogue too large to inline: join on file_id
-        hit = title_matches(cat, inv).select("file_id").distinct().withColumn("__matched", F.lit(True))
-        flagged = inv.join(hit, "file_id", "left").fillna({"__matched": False})
+    flagged = with_match_flag(cat, inv, index)
     return flagged.agg(
         F.count("*").alias("n_files"),
         F.count_if(extension("name") == ".csv").alias("n_csv"),

@@ -36,18 +36,21 @@ STATUS_DIFFERENCES = 2
 STATUS_NO_FOLDER = 3
 
 
-def name_keys(name: Column | str) -> Column:
-    """Array of match keys of a file name: the name without ``.csv`` (if it
-    ends so) and every prefix that is followed by ``_``."""
-    n = norm_key(name)
-    parts = F.split(n, "_", -1)
-    prefixes = F.when(
-        F.size(parts) > 1,
-        F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
-                    lambda i: F.array_join(F.slice(parts, 1, i), "_")),
-    ).otherwise(F.array().cast("array<string>"))
-    exact = F.when(n.endswith(".csv"), F.array(F.substring(n, F.lit(1), F.length(n) - 4)))
-    return F.array_distinct(F.concat(F.coalesce(exact, F.array().cast("array<string>")), prefixes))
+class CatalogIndex:
+    """Driver-side facts about a catalogue, all bounded: its row count (the
+    size check that licenses a broadcast), the distinct lengths of its keys
+    in bytes (at most the longest title), and — while small — the key set itself."""
+
+    def __init__(self, cat: DataFrame, inline_limit: int = INLINE_KEY_LIMIT):
+        self.cat = cat
+        self.n_rows = cat.count()
+        self.keys = catalog_keys(cat)
+        self.lengths = sorted(r[0] for r in self.keys.select(F.octet_length("key")).distinct().collect())
+        small = self.keys.select("key").distinct().limit(inline_limit + 1).collect()
+        self.inline = [r[0] for r in small] if len(small) <= inline_limit else None
+
+    def keys_side(self) -> DataFrame:
+        return _maybe_broadcast(self.keys, 2 * self.n_rows)
 
 
 def catalog_keys(cat: DataFrame) -> DataFrame:
@@ -60,56 +63,91 @@ def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_CATALOG_ROWS else df
 
 
-def _catalog_size(cat: DataFrame) -> int:
-    # The catalogue is small by construction (a literal list); this count is
-    # the size check that licenses broadcasting it.
-    return cat.count()
+_UNDERSCORE = bytearray(b"_")
+_CSV = bytearray(b".csv")
+
+
+def _name_bytes(name: str) -> Column:
+    # Offsets on the UTF-8 bytes are O(1); a byte prefix that is followed by
+    # the ASCII ``_`` always ends on a character boundary, so it is exact.
+    return norm_key(name).cast("binary")
+
+
+def _exact_key(b: Column) -> Column:
+    n = F.length(b)
+    return F.when((n > 4) & (F.substring(b, n - 3, 4) == F.lit(_CSV)),
+                  F.substring(b, F.lit(1), n - 4).cast("string"))
+
+
+def _prefix_key(b: Column, length: Column | int) -> Column:
+    length = F.lit(length) if isinstance(length, int) else length
+    return F.when(F.substring(b, length + 1, F.lit(1)) == F.lit(_UNDERSCORE),
+                  F.substring(b, F.lit(1), length).cast("string"))
+
+
+def with_name_keys(files: DataFrame, lengths: list[int], name: str = "name",
+                   out: str = "__keys") -> DataFrame:
+    """Add array column ``out``: the candidate keys of each file name — the
+    normalised name without ``.csv`` (if it ends so) and its prefixes that are
+    followed by ``_``, taken only at the byte lengths catalogue keys have."""
+    d = files.withColumn("__b", _name_bytes(name))
+    b = F.col("__b")
+    cands = [_exact_key(b)] + [_prefix_key(b, l) for l in lengths]
+    return d.withColumn(out, F.array_compact(F.array(*cands))).drop("__b")
+
+
+def exploded_name_keys(files: DataFrame, lengths: list[int], name: str = "name") -> DataFrame:
+    """``file_id, key`` — one row per candidate key (see :func:`with_name_keys`):
+    a generator over the catalogue's key lengths, filtered in the same stage."""
+    d = files.select("file_id", _name_bytes(name).alias("__b"))
+    g = d.select("file_id", "__b", F.explode(F.array(*[F.lit(l) for l in [-1] + lengths])).alias("__l"))
+    b, l = F.col("__b"), F.col("__l")
+    key = F.when(l < 0, _exact_key(b)).otherwise(_prefix_key(b, l))
+    return g.select("file_id", key.alias("key")).where(F.col("key").isNotNull())
 
 
-def title_matches(cat: DataFrame, files: DataFrame, n_catalog: int | None = None) -> DataFrame:
+def title_matches(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """``file_id, idx`` — every (file, title) pair that matches."""
-    n = _catalog_size(cat) if n_catalog is None else n_catalog
-    keys = _maybe_broadcast(catalog_keys(cat), 2 * n)
-    exploded = files.select("file_id", F.explode(name_keys("name")).alias("key"))
-    return exploded.join(keys, "key", "inner").select("file_id", "idx")
+    ix = index or CatalogIndex(cat)
+    exploded = exploded_name_keys(files, ix.lengths)
+    return exploded.join(ix.keys_side(), "key", "inner").select("file_id", "idx")
 
 
-def missing(cat: DataFrame, files: DataFrame) -> DataFrame:
+def missing(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """Catalogue rows (``idx, scope, module, title``) that no file matches."""
-    n = _catalog_size(cat)
-    found = title_matches(cat, files, n).select("idx").distinct()
-    return cat.join(_maybe_broadcast(found, n), "idx", "left_anti")
+    ix = index or CatalogIndex(cat)
+    found = title_matches(cat, files, ix).select("idx").distinct()
+    return cat.join(_maybe_broadcast(found, ix.n_rows), "idx", "left_anti")
 
 
-def _file_match_flag(cat: DataFrame, files: DataFrame, inline_limit: int) -> DataFrame | None:
-    keys = [r["key"] for r in catalog_keys(cat).select("key").distinct().limit(inline_limit + 1).collect()]
-    if len(keys) > inline_limit:
-        return None
-    lit_keys = F.array(*[F.lit(k) for k in keys]).cast("array<string>") if keys \
-        else F.array().cast("array<string>")
-    return files.withColumn("__matched", F.arrays_overlap(name_keys("name"), lit_keys))
+def with_match_flag(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None,
+                    out: str = "__matched") -> DataFrame:
+    """Add boolean ``out``: does the file match some title. In-row set test
+    while the key set is inlined; otherwise a left join on ``file_id``."""
+    ix = index or CatalogIndex(cat)
+    if ix.inline is not None:
+        lit_keys = F.array(*[F.lit(k) for k in ix.inline]).cast("array<string>")
+        d = with_name_keys(files, ix.lengths)
+        return d.withColumn(out, F.arrays_overlap("__keys", lit_keys)).drop("__keys")
+    hit = title_matches(cat, files, ix).select("file_id").distinct().withColumn(out, F.lit(True))
+    return files.join(hit, "file_id", "left").fillna({out: False})
 
 
-def extras(cat: DataFrame, files: DataFrame, inline_limit: int = INLINE_KEY_LIMIT) -> DataFrame:
+def extras(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """Files that match no title (duplicate names in other folders kept)."""
-    flagged = _file_match_flag(cat, files, inline_limit)
-    if flagged is None:
-        return files.join(title_matches(cat, files).select("file_id"), "file_id", "left_anti")
-    return flagged.where(~F.col("__matched")).drop("__matched")
+    return with_match_flag(cat, files, index).where(~F.col("__matched")).drop("__matched")
 
 
-def matched(cat: DataFrame, files: DataFrame, inline_limit: int = INLINE_KEY_LIMIT) -> DataFrame:
+def matched(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """Files that match at least one title."""
-    flagged = _file_match_flag(cat, files, inline_limit)
-    if flagged is None:
-        return files.join(title_matches(cat, files).select("file_id"), "file_id", "left_semi")
-    return flagged.where(F.col("__matched")).drop("__matched")
+    return with_match_flag(cat, files, index).where(F.col("__matched")).drop("__matched")
 
 
-def missing_by_module(cat: DataFrame, files: DataFrame) -> DataFrame:
+def missing_by_module(cat: DataFrame, files: DataFrame,
+                      index: CatalogIndex | None = None) -> DataFrame:
     """``scope, module, n_expected, n_missing`` per module plus a total row
     (scope and module NULL); modules with nothing missing show 0."""
-    miss = missing(cat, files).select("idx", F.lit(1).alias("m"))
+    miss = missing(cat, files, index).select("idx", F.lit(1).alias("m"))
     j = cat.join(F.broadcast(miss), "idx", "left")
     g = (j.rollup("scope", "module")
          .agg(F.count("*").alias("n_expected"),
@@ -118,12 +156,13 @@ def missing_by_module(cat: DataFrame, files: DataFrame) -> DataFrame:
     return g.where((F.col("gs") == F.col("gm"))).drop("gs", "gm")
 
 
-def status(cat: DataFrame, files: DataFrame) -> DataFrame:
+def status(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """One row ``n_missing, n_extras, status``: 0 when nothing is missing and
     nothing is extra, else 2 (a missing folder, status 3, is caught before
     any listing by the job)."""
-    flags = (missing(cat, files).select(F.lit(1).alias("m"), F.lit(0).alias("e"))
-             .unionByName(extras(cat, files).select(F.lit(0).alias("m"), F.lit(1).alias("e"))))
+    ix = index or CatalogIndex(cat)
+    flags = (missing(cat, files, ix).select(F.lit(1).alias("m"), F.lit(0).alias("e"))
+             .unionByName(extras(cat, files, ix).select(F.lit(0).alias("m"), F.lit(1).alias("e"))))
     agg = flags.agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n_missing"),
                     F.coalesce(F.sum("e"), F.lit(0)).cast("bigint").alias("n_extras"))
     return agg.withColumn(

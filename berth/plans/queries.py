@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from berth.functions.shorten import with_semantic_name
-from berth.functions.stems import landing_name, parse_stem, stem, ts_to_int
+from berth.functions.shorten import with_semantic_name_distinct
+from berth.functions.stems import landing_name, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
 from berth.operators import counts, reconcile
 from berth.sources import fixtures
@@ -62,8 +62,8 @@ def sql_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _files(spark, sf_dir)
-    p = f.select("file_id", parse_stem(stem("name")).alias("p"))
-    return p.select("file_id", "p.base", "p.ts", "p.ver", ts_to_int("p.ts").alias("ts_int"))
+    p = with_parsed_stem(f.select("file_id", stem("name").alias("stem")), "stem")
+    return p.select("file_id", "base", "ts", "ver", ts_to_int("ts").alias("ts_int"))
 
 
 def landing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +76,5 @@ def landing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semantic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _files(spark, sf_dir)
-    based = f.select("file_id", parse_stem(stem("name"))["base"].alias("base"))
-    return with_semantic_name(based, "base", "sem")
+    based = with_parsed_stem(f.select("file_id", stem("name").alias("stem")), "stem")
+    return with_semantic_name_distinct(based.select("file_id", "base"), "base", "sem")

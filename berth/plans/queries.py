@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from berth.functions.shorten import with_semantic_name_distinct
 from berth.functions.stems import landing_name, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
-from berth.operators import counts, reconcile
+from berth.operators import counts, reconcile, rename
 from berth.sources import fixtures
 from berth.sources.catalog import catalog
 
@@ -78,3 +78,24 @@ def semantic_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _files(spark, sf_dir)
     based = with_parsed_stem(f.select("file_id", stem("name").alias("stem")), "stem")
     return with_semantic_name_distinct(based.select("file_id", "base"), "base", "sem")
+
+
+def _plan_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.landing(spark, sf_dir).select("file_id", "dir", "name", "mtime")
+
+
+def rename_plan_keep_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename.rename_plan(_plan_input(spark, sf_dir), drop_timestamp=False)
+
+
+def rename_plan_drop_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename.rename_plan(_plan_input(spark, sf_dir), drop_timestamp=True)
+
+
+def rename_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rename.rename_changes(rename_plan_drop_ts(spark, sf_dir))
+
+
+def rename_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fixtures.landing_with_copies(spark, sf_dir).select("file_id", "dir", "name", "mtime")
+    return rename.rename_plan(files, drop_timestamp=True)

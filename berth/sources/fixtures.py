@@ -108,3 +108,19 @@ def downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (land.join(cat, "i", "inner")
             .where(F.col("i") % 10 != 3)
             .select("module", F.concat("dir", F.lit("/"), "name").alias("path"), "file_id"))
+
+
+COPY_ID_OFFSET = 1_000_000_000_000
+COPY_EVERY = 11
+
+
+def landing_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing frame plus manual copies ``{stem} v2.csv`` of every 11th
+    file (same folder, same times). A copy's stem keeps its ``v2`` (a space,
+    not ``_``, precedes it), so it forms its own group whose name meets the
+    second member of the original group: destination collisions to resolve."""
+    land = landing(spark, sf_dir)
+    copies = land.where(F.col("file_id") % COPY_EVERY == 0).select(
+        (F.col("file_id") + COPY_ID_OFFSET).alias("file_id"), "dir",
+        F.concat(stem("name"), F.lit(" v2.csv")).alias("name"), "mtime", "length")
+    return land.unionByName(copies)

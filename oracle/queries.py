@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import (catalog_cte, extension, identifier, inventory_cte, landing_ctes,
+from oracle.sql import (TS, catalog_cte, extension, identifier, inventory_cte, landing_ctes,
                         pairs_cte, parse_stem_cols, semantic_ctes, stem, with_landing)
 
 
@@ -86,3 +86,64 @@ def semantic_names() -> str:
     src = f"sb AS (SELECT file_id, base FROM (SELECT file_id, {parse_stem_cols(stem('name'))} FROM landing))"
     ctes = [src] + semantic_ctes("sb", "base", "sm")
     return with_landing(*ctes) + "SELECT file_id, base, sem FROM sm"
+
+
+def _plan(drop: bool, files: str = "landing", extra: tuple[str, ...] = ()) -> str:
+    gkey = "base_sql" if drop else "CASE WHEN ts IS NULL THEN base_sql ELSE base_sql || '_' || ts END"
+    stem_final = "CASE WHEN rk = 1 THEN gkey ELSE gkey || '_v' || CAST(rk AS VARCHAR) END"
+    if drop:
+        stem_final = f"regexp_replace({stem_final}, '{TS}', '')"
+    ctes = list(extra) + [
+        f"pst AS (SELECT file_id, dir, name, mtime, {parse_stem_cols(stem('name'))} FROM {files})",
+        *semantic_ctes("pst", "base", "psm"),
+        f"pid AS (SELECT *, {identifier('sem')} AS base_sql FROM psm)",
+        f"pg AS (SELECT *, {gkey} AS gkey, lower(name) AS lname FROM pid)",
+        "pr AS (SELECT *, row_number() OVER (PARTITION BY dir, gkey ORDER BY ts_int DESC, "
+        "mtime DESC NULLS FIRST, lname, name) AS rk, min(lname) OVER (PARTITION BY dir, gkey) AS fl, "
+        "arg_min(name, (lname, name)) OVER (PARTITION BY dir, gkey) AS fn FROM pg)",
+        f"plan AS (SELECT file_id, dir, name AS src, {stem_final} AS dst_stem, fl, fn, rk FROM pr)",
+    ]
+    return with_landing(*ctes)
+
+
+def rename_plan_keep_ts() -> str:
+    # No two files of one folder share a destination in this fixture, so no
+    # collision step is needed here (it is exercised by rename_collisions).
+    return _plan(False) + "SELECT file_id, dir, src, dst_stem || '.csv' AS dst FROM plan"
+
+
+def rename_plan_drop_ts() -> str:
+    return _plan(True) + "SELECT file_id, dir, src, dst_stem || '.csv' AS dst FROM plan"
+
+
+def rename_changes() -> str:
+    return _plan(True) + "SELECT file_id, dir, src, dst_stem || '.csv' AS dst FROM plan WHERE src <> dst_stem || '.csv'"
+
+
+def rename_collisions() -> str:
+    copies = ("landing2 AS (SELECT * FROM landing UNION ALL SELECT file_id + 1000000000000, dir, "
+              f"{stem('name')} || ' v2.csv', mtime, length FROM landing WHERE file_id % 11 = 0)")
+    body = """,
+fam AS (SELECT *, regexp_replace(dst_stem, '(?i)_v\\d+$', '') AS family FROM plan),
+dupf AS (SELECT DISTINCT dir, regexp_replace(dst_stem, '(?i)_v\\d+$', '') AS family
+         FROM plan GROUP BY dir, dst_stem HAVING count(*) > 1),
+items AS (SELECT f.*, row_number() OVER (PARTITION BY f.dir, f.family ORDER BY fl, fn, rk) AS seq
+          FROM fam f JOIN dupf USING (dir, family)),
+rec AS (
+  SELECT dir, family, CAST(0 AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS used,
+         CAST(NULL AS BIGINT) AS file_id, CAST(NULL AS VARCHAR) AS pick
+  FROM dupf
+  UNION ALL
+  SELECT r.dir, r.family, i.seq,
+         list_append(r.used, p.pick), i.file_id, p.pick
+  FROM rec r JOIN items i ON i.dir = r.dir AND i.family = r.family AND i.seq = r.seq + 1,
+  LATERAL (SELECT CASE WHEN NOT list_contains(r.used, i.dst_stem) THEN i.dst_stem
+                       ELSE i.family || '_v' || CAST(list_min(list_filter(range(2, len(r.used) + 3),
+                            lambda n: NOT list_contains(r.used, i.family || '_v' || CAST(n AS VARCHAR)))) AS VARCHAR)
+                  END AS pick) p
+)
+SELECT f.file_id, f.dir, f.src, coalesce(r.pick, f.dst_stem) || '.csv' AS dst
+FROM fam f LEFT JOIN (SELECT file_id, pick FROM rec WHERE file_id IS NOT NULL) r USING (file_id)"""
+    sql = _plan(True, "landing2", (copies,))
+    # _plan ends its WITH list; append the fold CTEs to it.
+    return "WITH RECURSIVE " + sql[len("WITH "):].rstrip("\n") + body

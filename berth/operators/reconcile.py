@@ -176,5 +176,5 @@ def numbered(missing_titles: DataFrame) -> DataFrame:
     console label ``NN. title`` (two digits at least, never cut)."""
     from pyspark.sql import Window
     w = Window.partitionBy("module").orderBy("idx")
-    return (missing_titles.withColumn("seq", F.row_number().over(w))
+    return (missing_titles.withColumn("seq", F.row_number().over(w).cast("bigint"))
             .withColumn("label", F.format_string("%02d. %s", F.col("seq"), F.col("title"))))

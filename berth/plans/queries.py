@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from berth.functions.shorten import with_semantic_name_distinct
 from berth.functions.stems import landing_name, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
-from berth.operators import counts, reconcile, rename
+from berth.operators import columns, counts, inference, reconcile, rename
 from berth.sources import fixtures
 from berth.sources.catalog import catalog
 
@@ -99,3 +99,23 @@ def rename_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rename_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = fixtures.landing_with_copies(spark, sf_dir).select("file_id", "dir", "name", "mtime")
     return rename.rename_plan(files, drop_timestamp=True)
+
+
+def normalized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns.normalized_columns(fixtures.headers(spark, sf_dir))
+
+
+def date_like_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date-like flag of every normalised column of the loaded cell tables."""
+    cols = fixtures.cells(spark, sf_dir).select("table_id", "col").distinct()
+    named = cols.select("table_id", "col", sql_identifier("col").alias("column_name"))
+    return named.withColumn("is_date_like", columns.date_like())
+
+
+def column_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inference.column_profile(fixtures.cells(spark, sf_dir))
+
+
+def lenient_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = fixtures.cells(spark, sf_dir)
+    return inference.typed_cells(cells, inference.column_profile(cells), lenient=True)

@@ -76,7 +76,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("p_size").orderBy("p_partkey")
     return p.select(
         F.concat(F.lit("t"), F.col("p_size").cast("string")).alias("table_id"),
-        F.row_number().over(w).alias("ordinal"),
+        F.row_number().over(w).cast("bigint").alias("ordinal"),
         F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.col("p_type")).alias("raw_name"),
     )
 

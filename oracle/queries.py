@@ -147,3 +147,88 @@ FROM fam f LEFT JOIN (SELECT file_id, pick FROM rec WHERE file_id IS NOT NULL) r
     sql = _plan(True, "landing2", (copies,))
     # _plan ends its WITH list; append the fold CTEs to it.
     return "WITH RECURSIVE " + sql[len("WITH "):].rstrip("\n") + body
+
+
+HEADERS_CTE = """headers AS (SELECT 't' || CAST(p_size AS VARCHAR) AS table_id,
+       row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS ordinal,
+       CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS raw_name FROM part)"""
+
+CELLS_CTE = """ev AS (SELECT 'events_' || strftime(ts, '%Y%m%d') AS table_id, event_id AS row, * EXCLUDE (event_id) FROM events),
+cells AS (
+  SELECT table_id, 'event_id' AS col, row, CAST(row AS VARCHAR) AS value FROM ev UNION ALL
+  SELECT table_id, 'user_id', row, CAST(user_id AS VARCHAR) FROM ev UNION ALL
+  SELECT table_id, 'event_type', row, event_type FROM ev UNION ALL
+  SELECT table_id, 'value', row, CASE WHEN row % 10 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END FROM ev UNION ALL
+  SELECT table_id, 'fecha', row, CAST(ts AS VARCHAR) FROM ev UNION ALL
+  SELECT table_id, 'props', row, props FROM ev)"""
+
+
+def normalized_columns() -> str:
+    return f"""WITH {HEADERS_CTE},
+rn AS (SELECT *, CASE WHEN raw_name IS NULL OR raw_name = '' THEN 'Unnamed: ' || CAST(ordinal - 1 AS VARCHAR)
+                      ELSE raw_name END AS h FROM headers),
+rk AS (SELECT *, row_number() OVER (PARTITION BY table_id, h ORDER BY ordinal) AS k FROM rn),
+rd AS (SELECT *, CASE WHEN k = 1 THEN h ELSE h || '.' || CAST(k - 1 AS VARCHAR) END AS read_name FROM rk),
+bs AS (SELECT *, {identifier('read_name')} AS base FROM rd),
+nn AS (SELECT *, row_number() OVER (PARTITION BY table_id, base ORDER BY ordinal) AS n FROM bs)
+SELECT table_id, ordinal, raw_name,
+       CASE WHEN n = 1 THEN base ELSE base || '_' || CAST(n AS VARCHAR) END AS column_name FROM nn"""
+
+
+def date_like_columns() -> str:
+    return f"""WITH {CELLS_CTE},
+cols AS (SELECT DISTINCT table_id, col FROM cells),
+named AS (SELECT table_id, col, {identifier('col')} AS column_name FROM cols)
+SELECT table_id, col, column_name,
+       regexp_matches(column_name, '(fecha|date|time|datetime|anio|ano|year|mes|month)') AS is_date_like FROM named"""
+
+
+NULLS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', "
+         "'1.#QNAN', '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
+INT_RE = "^\\s*[+-]?[0-9]+\\s*$"
+FLOAT_RE = "^\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*$|^\\s*[+-]?(?i:inf|infinity)\\s*$"
+DATE_RE = "^\\d{4}-\\d{2}-\\d{2}([ T]\\d{2}:\\d{2}(:\\d{2}(\\.\\d{1,9})?)?)?$"
+
+
+def _typed(v: str) -> dict[str, str]:
+    return {
+        "long": f"CASE WHEN regexp_matches({v}, '{INT_RE}') THEN TRY_CAST(trim({v}) AS BIGINT) END",
+        "double": f"CASE WHEN regexp_matches({v}, '{FLOAT_RE}') THEN TRY_CAST(trim({v}) AS DOUBLE) END",
+        "bool": f"CASE WHEN {v} IN ('True', 'TRUE', 'true') THEN true WHEN {v} IN ('False', 'FALSE', 'false') THEN false END",
+        "ts": f"CASE WHEN regexp_matches({v}, '{DATE_RE}') THEN TRY_CAST({v} AS TIMESTAMP) END",
+    }
+
+
+def _profile_ctes() -> str:
+    t = _typed("v")
+    return f"""{CELLS_CTE},
+cv AS (SELECT table_id, col, row, value, CASE WHEN value IN ({NULLS}) THEN NULL ELSE value END AS v FROM cells),
+pg AS (SELECT table_id, col, count(*) AS n_values, count(*) FILTER (WHERE v IS NULL) AS n_null,
+              count({t['long']}) AS n_int, count({t['double']}) AS n_float,
+              count({t['bool']}) AS n_bool, count({t['ts']}) AS n_date
+       FROM cv GROUP BY table_id, col),
+pi AS (SELECT *, CASE WHEN n_values - n_null = 0 THEN 'LONG' WHEN n_int = n_values - n_null THEN 'LONG'
+                      WHEN n_float = n_values - n_null THEN 'DOUBLE' WHEN n_bool = n_values - n_null THEN 'BOOLEAN'
+                      ELSE 'STRING' END AS inferred_type FROM pg),
+profile AS (SELECT *, CASE WHEN inferred_type <> 'STRING' THEN inferred_type
+                WHEN regexp_matches({identifier('col')}, '(fecha|date|time|datetime|anio|ano|year|mes|month)')
+                     AND n_date > 0 THEN 'TIMESTAMP'
+                WHEN n_float > 0 AND n_int = n_float THEN 'LONG'
+                WHEN n_float > 0 THEN 'DOUBLE' ELSE 'STRING' END AS lenient_type FROM pi)"""
+
+
+def column_type_profile() -> str:
+    return "WITH " + _profile_ctes() + """
+SELECT table_id, col, n_values, n_null, n_int, n_float, n_bool, n_date, inferred_type, lenient_type FROM profile"""
+
+
+def lenient_values() -> str:
+    t = _typed("cv.v")
+    return "WITH " + _profile_ctes() + f"""
+SELECT cv.table_id, cv.col, cv.row, p.lenient_type AS type,
+       CASE WHEN p.lenient_type = 'LONG' THEN {t['long']} END AS long_value,
+       CASE WHEN p.lenient_type = 'DOUBLE' THEN {t['double']} END AS double_value,
+       CASE WHEN p.lenient_type = 'BOOLEAN' THEN {t['bool']} END AS bool_value,
+       CASE WHEN p.lenient_type = 'TIMESTAMP' THEN {t['ts']} END AS ts_value,
+       CASE WHEN p.lenient_type = 'STRING' THEN cv.v END AS string_value
+FROM cv JOIN profile p USING (table_id, col)"""

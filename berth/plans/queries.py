@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from berth.functions.shorten import with_semantic_name_distinct
 from berth.functions.stems import landing_name, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
-from berth.operators import columns, counts, inference, reconcile, rename
+from berth.operators import columns, counts, discover, inference, reconcile, rename
 from berth.sources import fixtures
 from berth.sources.catalog import catalog
 
@@ -119,3 +119,26 @@ def column_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lenient_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = fixtures.cells(spark, sf_dir)
     return inference.typed_cells(cells, inference.column_profile(cells), lenient=True)
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.sources.tables import table
+    return table(spark, sf_dir, "pages").select("page_id", "html")
+
+
+def discovered_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.discover_links(_pages(spark, sf_dir))
+
+
+def element_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.element_survey(_pages(spark, sf_dir))
+
+
+def keyword_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The collected pages hold no <span>; links are surveyed instead.
+    return discover.keyword_survey(_pages(spark, sf_dir), tag="a")
+
+
+def module_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.sources.catalog import CRAWL_MODULE_LABELS
+    return discover.module_element(_pages(spark, sf_dir), list(CRAWL_MODULE_LABELS.values()), tag="a")

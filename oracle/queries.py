@@ -232,3 +232,65 @@ SELECT cv.table_id, cv.col, cv.row, p.lenient_type AS type,
        CASE WHEN p.lenient_type = 'TIMESTAMP' THEN {t['ts']} END AS ts_value,
        CASE WHEN p.lenient_type = 'STRING' THEN cv.v END AS string_value
 FROM cv JOIN profile p USING (table_id, col)"""
+
+
+def _decode(x: str) -> str:
+    t = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
+                    ("&amp;", "&")):
+        t = f"replace({t}, '{ent}', '{ch}')"
+    return t
+
+
+def _trim_ws(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def discovered_links() -> str:
+    link = "(?s)<a\\b[^>]*>(.*?)</a>"
+    return f"""WITH c AS (SELECT page_id, regexp_extract(html, '(?s)<nav\\b[^>]*>(.*?)</nav>', 1) AS cont FROM pages),
+l AS (SELECT page_id, regexp_extract_all(cont, '{link}', 1) AS links FROM c),
+u AS (SELECT page_id, UNNEST(links) AS raw, UNNEST(range(1, len(links) + 1)) AS pos FROM l),
+t AS (SELECT page_id, pos, {_trim_ws(_decode('raw'))} AS text FROM u),
+f AS (SELECT page_id, text, min(pos) AS first_pos FROM t WHERE text <> '' GROUP BY page_id, text)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY first_pos) AS ordinal, text FROM f"""
+
+
+def element_survey() -> str:
+    cols = ", ".join(f"CAST(len(regexp_extract_all(html, '(?i)<{t}\\b')) AS BIGINT) AS n_{t}"
+                     for t in ("span", "input", "button", "a", "li", "ul", "nav"))
+    return f"SELECT page_id, {cols} FROM pages"
+
+
+def _elements(tag: str) -> str:
+    return (f"list_transform(regexp_extract_all(html, '(?si)<{tag}\\b[^>]*>(.*?)</{tag}>', 1), "
+            f"lambda x: {_decode('x')})")
+
+
+def keyword_survey() -> str:
+    hit = " OR ".join(f"contains(x, '{w}')" for w in ("VBA", "Módulo", "Estado"))
+    return f"""WITH e AS (SELECT page_id, {_elements('a')} AS el FROM pages)
+SELECT page_id, CAST(len(el) AS BIGINT) AS n_elements,
+       CAST(len(list_filter(list_slice(el, 1, 20), lambda x: {hit})) AS BIGINT) AS n_keyword_hits,
+       CAST(len(list_filter(list_slice(el, 1, 20), lambda x: {_trim_ws('x')} <> '')) AS BIGINT) AS n_nonblank_head
+FROM e"""
+
+
+def module_element() -> str:
+    mods = "('Módulo VBA- Estado - Aire'), ('Módulo VBA- Estado- Agua')"
+    return f"""WITH e AS (SELECT page_id, {_elements('a')} AS el FROM pages),
+u AS (SELECT page_id, UNNEST(el) AS t, UNNEST(range(1, len(el) + 1)) AS pos FROM e),
+m AS (SELECT * FROM (VALUES {mods}) v(module)),
+pm AS (SELECT page_id, module FROM pages, m),
+ex AS (SELECT u.page_id, m.module, min(pos) AS pos FROM u JOIN m ON contains(lower(u.t), lower(m.module))
+       GROUP BY u.page_id, m.module),
+fa AS (SELECT u.page_id, m.module, min(pos) AS pos FROM u JOIN m
+         ON contains(m.module, 'Aire') AND contains(lower(u.t), 'aire') GROUP BY u.page_id, m.module),
+fw AS (SELECT u.page_id, m.module, min(pos) AS pos FROM u JOIN m
+         ON contains(m.module, 'Agua') AND contains(lower(u.t), 'agua') GROUP BY u.page_id, m.module),
+pick AS (SELECT pm.page_id, pm.module, ex.pos AS xp, coalesce(fa.pos, fw.pos) AS fp
+         FROM pm LEFT JOIN ex USING (page_id, module) LEFT JOIN fa USING (page_id, module)
+         LEFT JOIN fw USING (page_id, module))
+SELECT pick.page_id, pick.module, CAST(coalesce(xp, fp) AS BIGINT) AS ordinal, u.t AS text,
+       CASE WHEN xp IS NOT NULL THEN 'exact' WHEN fp IS NOT NULL THEN 'fallback' ELSE 'none' END AS how
+FROM pick LEFT JOIN u ON u.page_id = pick.page_id AND u.pos = coalesce(xp, fp)"""

@@ -142,3 +142,23 @@ def keyword_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 def module_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     from berth.sources.catalog import CRAWL_MODULE_LABELS
     return discover.module_element(_pages(spark, sf_dir), list(CRAWL_MODULE_LABELS.values()), tag="a")
+
+
+REPORT_STAMP = "2025-09-14 13:29:07"
+REPORT_DIR = "data/downloads"
+
+
+def missing_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.plans import reports
+    return reports.missing_report_lines(catalog(spark), _files(spark, sf_dir), REPORT_STAMP, REPORT_DIR)
+
+
+def downloads_by_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.plans import reports
+    return reports.downloads_by_module(fixtures.downloads(spark, sf_dir), reports.modules_frame(spark))
+
+
+def run_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.plans import reports
+    return reports.run_summary_lines(fixtures.downloads(spark, sf_dir), reports.modules_frame(spark),
+                                     REPORT_STAMP, REPORT_DIR)

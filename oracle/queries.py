@@ -294,3 +294,72 @@ pick AS (SELECT pm.page_id, pm.module, ex.pos AS xp, coalesce(fa.pos, fw.pos) AS
 SELECT pick.page_id, pick.module, CAST(coalesce(xp, fp) AS BIGINT) AS ordinal, u.t AS text,
        CASE WHEN xp IS NOT NULL THEN 'exact' WHEN fp IS NOT NULL THEN 'fallback' ELSE 'none' END AS how
 FROM pick LEFT JOIN u ON u.page_id = pick.page_id AND u.pos = coalesce(xp, fp)"""
+
+
+STAMP = "2025-09-14 13:29:07"
+RDIR = "data/downloads"
+
+
+def missing_report_lines() -> str:
+    r72, d72 = "=" * 72, "-" * 72
+    return with_landing(pairs_cte()) + f"""
+, miss AS (SELECT * FROM catalog WHERE idx NOT IN (SELECT idx FROM pairs)),
+ext AS (SELECT * FROM landing WHERE file_id NOT IN (SELECT file_id FROM pairs)),
+pm AS (SELECT scope, module, CAST(sum(CASE WHEN idx IN (SELECT idx FROM miss) THEN 1 ELSE 0 END) AS BIGINT) AS n
+       FROM catalog GROUP BY scope, module),
+sec AS (SELECT * FROM (VALUES ('aire', 1), ('agua', 2)) v(scope, s)),
+tot AS (SELECT (SELECT count(*) FROM miss) AS nm, (SELECT count(*) FROM ext) AS ne),
+lines(section, seq, ord, key, line) AS (
+  SELECT 0, 0, 0, '', 'REPORTE DE ARCHIVOS FALTANTES - generado {STAMP}' UNION ALL
+  SELECT 0, 1, 0, '', 'Carpeta analizada: {RDIR}' UNION ALL
+  SELECT 0, 2, 0, '', '{r72}' UNION ALL
+  SELECT s, 0, 0, '', '[' || module || ']  Faltantes: ' || CAST(n AS VARCHAR) FROM pm JOIN sec USING (scope) UNION ALL
+  SELECT s, 1, 0, '', ' - (sin faltantes)' FROM pm JOIN sec USING (scope) WHERE n = 0 UNION ALL
+  SELECT s, 1, idx, '', ' - ' || title FROM miss JOIN sec USING (scope) UNION ALL
+  SELECT s, 2, 0, '', '' FROM pm JOIN sec USING (scope) UNION ALL
+  SELECT 3, 0, 0, '', '{d72}' UNION ALL
+  SELECT 3, 1, 0, '', 'TOTAL FALTANTES: ' || CAST(nm AS VARCHAR) FROM tot UNION ALL
+  SELECT 3, 2, 0, '', '{r72}' UNION ALL
+  SELECT 3, 3, 0, '', '' UNION ALL
+  SELECT 3, 4, 0, '', 'ARCHIVOS CSV EXTRA (no esperados)' UNION ALL
+  SELECT 3, 5, 0, '', 'Total extras: ' || CAST(ne AS VARCHAR) FROM tot UNION ALL
+  SELECT 3, 6, 0, '', ' - (sin extras)' FROM tot WHERE ne = 0 UNION ALL
+  SELECT 4, 0, 0, name, ' - ' || name FROM ext UNION ALL
+  SELECT 5, 0, 0, '', '{r72}')
+SELECT CAST(section AS INTEGER) AS section, CAST(seq AS INTEGER) AS seq, CAST(ord AS BIGINT) AS ord,
+       key, line FROM lines"""
+
+
+DOWNLOADS_CTE = """dl AS (SELECT c.scope AS module, l.dir || '/' || l.name AS path, l.file_id
+       FROM landing l JOIN catalog c ON c.idx = l.file_id % 90 WHERE (l.file_id % 90) % 10 <> 3),
+mods AS (SELECT * FROM (VALUES ('aire', 'Módulo VBA- Estado - Aire', 1), ('agua', 'Módulo VBA- Estado- Agua', 2))
+         v(module, name, s)),
+per AS (SELECT m.module, m.name, 'AUTO-DESCUBRIMIENTO' AS mode, m.s,
+               CAST((SELECT count(*) FROM dl WHERE dl.module = m.module) AS BIGINT) AS n_files FROM mods m)"""
+
+
+def downloads_by_module() -> str:
+    return with_landing(DOWNLOADS_CTE) + """
+SELECT module, name, mode, n_files FROM per UNION ALL
+SELECT NULL, NULL, NULL, CAST(sum(n_files) AS BIGINT) FROM per"""
+
+
+def run_summary_lines() -> str:
+    r60 = "=" * 60
+    return with_landing(DOWNLOADS_CTE) + f"""
+, lines(section, seq, ord, key, line) AS (
+  SELECT 0, 0, 0, '', '{r60}' UNION ALL
+  SELECT 0, 1, 0, '', 'REPORTE DE DESCARGAS - {STAMP}' UNION ALL
+  SELECT 0, 2, 0, '', '{r60}' UNION ALL
+  SELECT 0, 3, 0, '', 'Directorio de descargas: {RDIR}' UNION ALL
+  SELECT 0, 4, 0, '', '' UNION ALL
+  SELECT s, 0, 0, '', 'Módulo: ' || name FROM per UNION ALL
+  SELECT s, 1, 0, '', 'Modo: ' || mode FROM per UNION ALL
+  SELECT s, 2, 0, '', 'Archivos descargados: ' || CAST(n_files AS VARCHAR) FROM per UNION ALL
+  SELECT s, 3, 0, '', '' FROM per UNION ALL
+  SELECT m.s, 4, dl.file_id, '', '  - ' || regexp_extract(dl.path, '[^/]*$') FROM dl JOIN mods m USING (module) UNION ALL
+  SELECT s, 5, 0, '', '' FROM per UNION ALL
+  SELECT 3, 0, 0, '', 'TOTAL DE ARCHIVOS DESCARGADOS: ' || CAST((SELECT sum(n_files) FROM per) AS VARCHAR) UNION ALL
+  SELECT 3, 1, 0, '', '{r60}')
+SELECT CAST(section AS INTEGER) AS section, CAST(seq AS INTEGER) AS seq, CAST(ord AS BIGINT) AS ord,
+       key, line FROM lines"""

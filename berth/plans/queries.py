@@ -162,3 +162,33 @@ def run_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from berth.plans import reports
     return reports.run_summary_lines(fixtures.downloads(spark, sf_dir), reports.modules_frame(spark),
                                      REPORT_STAMP, REPORT_DIR)
+
+
+def _load_events(spark: SparkSession, sf_dir: str):
+    """Land ``events`` as CSV files (one folder per event type) in the shared
+    scratch folder and load them back; returns (manifest, target)."""
+    import uuid
+
+    from berth.plans import load
+    from berth.session import ensure_checkpoint_dir
+    from berth.sources.tables import table
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-load-{uuid.uuid4().hex}"
+    ev = table(spark, sf_dir, "events")
+    ev.write.partitionBy("event_type").option("header", True).csv(f"{root}/landing")
+    target = load.Target(schema="landing", location=f"{root}/tables")
+    manifest = load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir")
+    return manifest, target
+
+
+def load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, _ = _load_events(spark, sf_dir)
+    return manifest.groupBy("table").agg(F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+def loaded_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.plans import load
+    manifest, target = _load_events(spark, sf_dir)
+    tables = sorted({r[0] for r in manifest.select("table").distinct().collect()})
+    rows = [(t, i + 1, c, ty) for t in tables for i, (c, ty) in enumerate(load.table_columns(spark, t, target))]
+    return spark.createDataFrame(rows, "table STRING, ordinal BIGINT, column_name STRING, type STRING")

@@ -363,3 +363,18 @@ def run_summary_lines() -> str:
   SELECT 3, 1, 0, '', '{r60}')
 SELECT CAST(section AS INTEGER) AS section, CAST(seq AS INTEGER) AS seq, CAST(ord AS BIGINT) AS ord,
        key, line FROM lines"""
+
+
+def load_manifest() -> str:
+    return """SELECT 'event_type_' || event_type AS "table", CAST(count(*) AS BIGINT) AS n_rows
+FROM events GROUP BY event_type"""
+
+
+def loaded_column_types() -> str:
+    return """WITH t AS (SELECT 'event_type_' || event_type AS tbl, count(*) AS n, count(event_id) AS ne,
+                  count(user_id) AS nu, count(value) AS nv FROM events GROUP BY event_type)
+SELECT tbl AS "table", CAST(1 AS BIGINT) AS ordinal, 'event_id' AS column_name, 'LONG' AS type FROM t UNION ALL
+SELECT tbl, 2, 'ts', 'STRING' FROM t UNION ALL
+SELECT tbl, 3, 'user_id', 'LONG' FROM t UNION ALL
+SELECT tbl, 4, 'value', CASE WHEN nv = 0 THEN 'LONG' ELSE 'DOUBLE' END FROM t UNION ALL
+SELECT tbl, 5, 'props', 'STRING' FROM t"""

@@ -192,3 +192,10 @@ def loaded_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = sorted({r[0] for r in manifest.select("table").distinct().collect()})
     rows = [(t, i + 1, c, ty) for t in tables for i, (c, ty) in enumerate(load.table_columns(spark, t, target))]
     return spark.createDataFrame(rows, "table STRING, ordinal BIGINT, column_name STRING, type STRING")
+
+
+def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive file listing (binaryFile, no file body read) of the table
+    folder, counted by extension."""
+    from berth.sources.files import inventory
+    return counts.count_by_extension(inventory(spark, sf_dir))

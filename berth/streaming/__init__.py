@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The landing-zone jobs have no stream semantics — no watermark, window, state
+or late data. Downloads land as files and every job is a batch over the
+folder as listed at its start (the rename plan is even frozen before it is
+applied). Nothing is built here; see README ("What is not built").
+"""

@@ -72,44 +72,58 @@ def plan_targets(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
                     stem_final.alias("dst_stem"))
 
 
-def _fold_family(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Greedy collision resolution of one family, in plan order."""
-    pdf = pdf.sort_values(["first_l", "first_n", "rank"], kind="stable")
+_FOLD_SCHEMA = "file_id long, dir string, name string, final_stem string"
+
+
+def _fold_partition(batches):
+    """Greedy collision resolution, family by family, over one partition
+    sorted by (folder, family, plan order). Families are contiguous; one may
+    span Arrow batches, so the state carries over."""
+    key = None
     used: set[str] = set()
     next_free: dict[str, int] = {}
-    out = []
-    for d in pdf["dst_stem"]:
-        if d not in used:
-            used.add(d)
-            out.append(d)
-            continue
-        base = _VER_TAIL_RE.sub("", d, count=1)
-        n = next_free.get(base, 2)
-        while f"{base}_v{n}" in used:
-            n += 1
-        alt = f"{base}_v{n}"
-        next_free[base] = n + 1
-        used.add(alt)
-        out.append(alt)
-    return pd.DataFrame({"file_id": pdf["file_id"].to_numpy(), "final_stem": out})
+    for pdf in batches:
+        out = []
+        for d, fam, dst in zip(pdf["dir"].to_numpy(), pdf["family"].to_numpy(), pdf["dst_stem"].to_numpy()):
+            if (d, fam) != key:
+                key, used, next_free = (d, fam), set(), {}
+            if dst in used:
+                base = _VER_TAIL_RE.sub("", dst, count=1)
+                n = next_free.get(base, 2)
+                while f"{base}_v{n}" in used:
+                    n += 1
+                next_free[base] = n + 1
+                dst = f"{base}_v{n}"
+            used.add(dst)
+            out.append(dst)
+        yield pd.DataFrame({"file_id": pdf["file_id"], "dir": pdf["dir"], "name": pdf["name"],
+                            "final_stem": out})
 
 
 def resolve_collisions(planned: DataFrame) -> DataFrame:
-    """Replace ``dst_stem`` by a collision-free ``final_stem``."""
+    """``file_id, dir, name, final_stem``: ``dst_stem`` made collision-free.
+
+    One hash partitioning on (folder, family) serves all three steps — the
+    duplicate count per destination (a destination determines its family),
+    the per-family flag, and the fold of flagged families, which runs once
+    per partition over rows sorted in plan order (no per-group call) — so
+    the plan has a single shuffle here. A family is folded in one task: its
+    rows are four short columns, and families without a duplicate skip it.
+    """
     p = planned.withColumn("family", F.regexp_replace("dst_stem", _VER_TAIL, ""))
-    dups = (p.groupBy("dir", "dst_stem").agg(F.count("*").alias("n"))
-            .where(F.col("n") > 1).select("dir", F.regexp_replace("dst_stem", _VER_TAIL, "").alias("family"))
-            .distinct())
-    flagged = p.join(dups.withColumn("__fold", F.lit(True)), ["dir", "family"], "left")
-    clean = flagged.where(F.col("__fold").isNull()).withColumn("final_stem", F.col("dst_stem"))
-    todo = flagged.where(F.col("__fold"))
-    folded = (todo.select("dir", "family", "file_id", F.col("plan_first.lname").alias("first_l"),
-                          F.col("plan_first.name").alias("first_n"), "rank", "dst_stem")
-              .groupBy("dir", "family")
-              .applyInPandas(_fold_family, "file_id long, final_stem string"))
-    resolved = todo.drop("final_stem").join(folded, "file_id")
-    cols = [c for c in planned.columns] + ["final_stem"]
-    return clean.select(*cols).unionByName(resolved.select(*cols))
+    p = p.repartition("dir", "family")
+    same_dst = Window.partitionBy("dir", "family", "dst_stem")
+    same_family = Window.partitionBy("dir", "family")
+    p = p.withColumn("__dup", (F.count(F.lit(1)).over(same_dst) > 1).cast("int"))
+    p = p.withColumn("__fold", F.max("__dup").over(same_family) > 0)
+    clean = p.where(~F.col("__fold")).select("file_id", "dir", "name", F.col("dst_stem").alias("final_stem"))
+    todo = (p.where(F.col("__fold"))
+            .select("dir", "family", "file_id", "name", "dst_stem",
+                    F.col("plan_first.lname").alias("first_l"), F.col("plan_first.name").alias("first_n"),
+                    "rank")
+            .sortWithinPartitions("dir", "family", "first_l", "first_n", "rank"))
+    folded = todo.mapInPandas(_fold_partition, _FOLD_SCHEMA)
+    return clean.unionByName(folded)
 
 
 def rename_plan(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:

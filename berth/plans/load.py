@@ -183,3 +183,9 @@ def table_columns(spark: SparkSession, table: str, target: Target) -> list[tuple
              "timestamp": I.TIMESTAMP}
     return [(f.name, names.get(f.dataType.simpleString(), f.dataType.simpleString().upper()))
             for f in df.schema.fields]
+
+
+def load_totals(manifest: DataFrame) -> DataFrame:
+    """One row: files loaded and rows inserted in total."""
+    return manifest.agg(F.count("*").alias("n_files"),
+                        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"))

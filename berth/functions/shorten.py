@@ -147,13 +147,11 @@ def with_semantic_name_distinct(df: DataFrame, src: str, out: str,
     """:func:`with_semantic_name` computed once per distinct ``src`` value and
     joined back. Landing names repeat (the same dataset downloaded many
     times), so the rule chain runs on far fewer rows; the distinct is
-    partially aggregated before its shuffle, and AQE picks a broadcast of the
-    mapping at run time only when its measured size allows (else a sort-merge
-    join, split by AQE when one name is hot)."""
-    keys = df.select(F.col(src).alias("__sem_key")).distinct()
-    mapping = with_semantic_name(keys, "__sem_key", out)
-    j = df.join(mapping, df[src].eqNullSafe(mapping["__sem_key"]), "left")
-    return j.drop("__sem_key")
+    partially aggregated before its shuffle, and the mapping is broadcast
+    only when measured small (else a sort-merge join, which AQE splits when
+    one name is hot)."""
+    from berth.operators.sizing import map_distinct
+    return map_distinct(df, src, lambda keys: with_semantic_name(keys, "__map_key", out, rules))
 
 
 def semantic_name(c: Column | str,

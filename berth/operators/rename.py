@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from berth.functions.shorten import with_semantic_name
 from berth.functions.stems import TIMESTAMP_SUFFIX, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
+from berth.operators.ranking import rank_within
+from berth.operators.sizing import map_distinct
 
 CSV = ".csv"
 _VER_TAIL = r"(?i)_v\d+$"
@@ -42,10 +44,8 @@ def _base_identifiers(files: DataFrame) -> DataFrame:
     """Add ``base_raw, ts, ver, ts_int, base_sql`` (semantic mapping computed
     once per distinct base and joined back)."""
     d = with_parsed_stem(files.withColumn("stem", stem("name")), "stem", base="base_raw")
-    keys = d.select(F.col("base_raw").alias("__k")).distinct()
-    mapping = with_semantic_name(keys, "__k", "__sem").select(
-        "__k", sql_identifier("__sem").alias("base_sql"))
-    d = d.join(mapping, d["base_raw"].eqNullSafe(mapping["__k"]), "left").drop("__k")
+    d = map_distinct(d, "base_raw", lambda keys: with_semantic_name(keys, "__map_key", "__sem").select(
+        "__map_key", sql_identifier("__sem").alias("base_sql")))
     return d.withColumn("ts_int", ts_to_int("ts"))
 
 
@@ -55,21 +55,26 @@ def plan_targets(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
     d = _base_identifiers(files)
     gkey = F.col("base_sql") if drop_timestamp else F.when(
         F.col("ts").isNull(), F.col("base_sql")).otherwise(F.concat("base_sql", F.lit("_"), "ts"))
-    d = d.withColumn("gkey", gkey).withColumn("lname", F.lower("name"))
-    group = Window.partitionBy("dir", "gkey")
-    # Unreadable modification time counts as "now": newest.
-    newest_first = group.orderBy(F.desc("ts_int"), F.desc_nulls_first("mtime"),
-                                 F.asc("lname"), F.asc("name"))
-    d = d.select("*",
-                 F.min(F.struct("lname", "name")).over(group).alias("plan_first"),
-                 F.row_number().over(newest_first).alias("rank"))
+    # Only what ranking and the plan need goes on (and into the checkpoint).
+    d = d.select("file_id", "dir", "name", "mtime", "ts_int", gkey.alias("gkey"),
+                 F.lower("name").alias("lname"))
+    # Unreadable modification time counts as "now": newest. Ranking is
+    # skew-safe (a hot folder/group is split by its order keys).
+    newest_first = [F.desc("ts_int"), F.desc_nulls_first("mtime"), F.asc("lname"), F.asc("name")]
+    d = rank_within(d, ["dir", "gkey"], newest_first, "rank")
     stem_final = F.when(F.col("rank") == 1, F.col("gkey")).otherwise(
         F.concat("gkey", F.lit("_v"), F.col("rank").cast("string")))
     if drop_timestamp:
         # A timestamp can survive inside the base; the final stem drops it.
         stem_final = F.regexp_replace(stem_final, TIMESTAMP_SUFFIX, "")
-    return d.select("file_id", "dir", "name", "gkey", "rank", "plan_first",
-                    stem_final.alias("dst_stem"))
+    return d.select("file_id", "dir", "name", "gkey", "rank", stem_final.alias("dst_stem"))
+
+
+def group_firsts(planned: DataFrame) -> DataFrame:
+    """``dir, gkey, plan_first``: where each group first appears in the
+    folder listing (lower-cased name order) — a partial aggregate."""
+    return planned.groupBy("dir", "gkey").agg(
+        F.min(F.struct(F.lower("name").alias("lname"), F.col("name"))).alias("plan_first"))
 
 
 _FOLD_SCHEMA = "file_id long, dir string, name string, final_stem string"
@@ -105,22 +110,25 @@ def resolve_collisions(planned: DataFrame) -> DataFrame:
 
     One hash partitioning on (folder, family) serves all three steps — the
     duplicate count per destination (a destination determines its family),
-    the per-family flag, and the fold of flagged families, which runs once
-    per partition over rows sorted in plan order (no per-group call) — so
-    the plan has a single shuffle here. A family is folded in one task: its
-    rows are four short columns, and families without a duplicate skip it.
+    the per-family flag — and the fold runs once per partition over the
+    flagged rows, re-partitioned by family and sorted in plan order (no
+    per-group call). A family is folded in one task: its rows are a few short
+    columns, and families without a duplicate skip the fold entirely.
     """
     p = planned.withColumn("family", F.regexp_replace("dst_stem", _VER_TAIL, ""))
-    p = p.repartition("dir", "family")
+    p = p.repartition("dir", "family")  # see docstring: reused by both windows
     same_dst = Window.partitionBy("dir", "family", "dst_stem")
     same_family = Window.partitionBy("dir", "family")
     p = p.withColumn("__dup", (F.count(F.lit(1)).over(same_dst) > 1).cast("int"))
     p = p.withColumn("__fold", F.max("__dup").over(same_family) > 0)
     clean = p.where(~F.col("__fold")).select("file_id", "dir", "name", F.col("dst_stem").alias("final_stem"))
     todo = (p.where(F.col("__fold"))
+            .join(group_firsts(planned), ["dir", "gkey"])
             .select("dir", "family", "file_id", "name", "dst_stem",
                     F.col("plan_first.lname").alias("first_l"), F.col("plan_first.name").alias("first_n"),
                     "rank")
+            # the join may re-partition by group; families must be whole
+            .repartition("dir", "family")
             .sortWithinPartitions("dir", "family", "first_l", "first_n", "rank"))
     folded = todo.mapInPandas(_fold_partition, _FOLD_SCHEMA)
     return clean.unionByName(folded)

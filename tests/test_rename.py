@@ -68,9 +68,7 @@ def test_collision_fold_matches_sequential_rule(spark):
         expected.update(_sequential(entries))
     df = spark.createDataFrame(rows, "file_id long, dir string, dst_stem string, k int")
     planned = df.select("file_id", "dir", F.lit("n").alias("name"), F.lit("g").alias("gkey"),
-                        F.col("k").alias("rank"),
-                        F.struct(F.lit("l").alias("lname"), F.lit("n").alias("name")).alias("plan_first"),
-                        "dst_stem")
+                        F.col("k").alias("rank"), "dst_stem")
     got = {r["file_id"]: r["final_stem"] for r in RN.resolve_collisions(planned).collect()}
     assert got == expected
 
@@ -81,3 +79,16 @@ def test_registered_collision_query_gives_unique_destinations(spark):
     n = p.count()
     assert n == p.select("dir", "dst").distinct().count()
     assert n == Q.fixtures.landing_with_copies(spark, SF_SMALL).count()
+
+
+def test_rank_within_matches_window_on_a_hot_group(spark):
+    from pyspark.sql import Window
+
+    from berth.operators.ranking import rank_within
+    rows = [("hot", i % 97, i) for i in range(3000)] + [("g%d" % (i % 7), i % 5, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, a int, b int")
+    order = [F.desc("a"), F.asc("b")]
+    got = {(r["g"], r["b"]): r["rank"] for r in rank_within(df, ["g"], order, num_partitions=8).collect()}
+    ref = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    want = {(r["g"], r["b"]): r["rank"] for r in ref.collect()}
+    assert got == want

@@ -43,16 +43,37 @@ class CatalogIndex:
 
     def __init__(self, cat: DataFrame, inline_limit: int = INLINE_KEY_LIMIT):
         self.cat = cat
-        self.n_rows = cat.count()
         self.keys = catalog_keys(cat)
-        self.lengths = sorted(r[0] for r in self.keys.select(F.octet_length("key")).distinct().collect())
-        small = self.keys.select("key").distinct().limit(inline_limit + 1).collect()
-        self.inline = [r[0] for r in small] if len(small) <= inline_limit else None
+        # One bounded collect answers all three questions for a small
+        # catalogue; a large one falls back to aggregates.
+        head = self.keys.select("idx", "key", F.octet_length("key").alias("n")) \
+            .limit(inline_limit + 1).collect()
+        if len(head) <= inline_limit:
+            self.n_rows = len({r["idx"] for r in head})
+            self.lengths = sorted({r["n"] for r in head})
+            self.inline = sorted({r["key"] for r in head})
+        else:
+            self.n_rows = cat.count()
+            self.lengths = sorted(r[0] for r in self.keys.select(F.octet_length("key")).distinct().collect())
+            self.inline = None
 
     def keys_side(self) -> DataFrame:
         return _maybe_broadcast(self.keys, 2 * self.n_rows)
 
 
+_INDEXES: dict[int, tuple[DataFrame, CatalogIndex]] = {}
+
+
+def catalog_index(cat: DataFrame) -> CatalogIndex:
+    """The index of ``cat``, computed once per catalogue object."""
+    hit = _INDEXES.get(id(cat))
+    if hit is not None and hit[0] is cat:
+        return hit[1]
+    ix = CatalogIndex(cat)
+    _INDEXES[id(cat)] = (cat, ix)
+    return ix
+
+
 def catalog_keys(cat: DataFrame) -> DataFrame:
     """``idx, key`` — raw and safe form of every title, matching-normalised."""
     return (cat.select("idx", F.explode(F.array_distinct(F.array(
@@ -108,14 +129,14 @@ def exploded_name_keys(files: DataFrame, lengths: list[int], name: str = "name")
 
 def title_matches(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """``file_id, idx`` — every (file, title) pair that matches."""
-    ix = index or CatalogIndex(cat)
+    ix = index or catalog_index(cat)
     exploded = exploded_name_keys(files, ix.lengths)
     return exploded.join(ix.keys_side(), "key", "inner").select("file_id", "idx")
 
 
 def missing(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
     """Catalogue rows (``idx, scope, module, title``) that no file matches."""
-    ix = index or CatalogIndex(cat)
+    ix = index or catalog_index(cat)
     found = title_matches(cat, files, ix).select("idx").distinct()
     return cat.join(_maybe_broadcast(found, ix.n_rows), "idx", "left_anti")
 
@@ -124,7 +145,7 @@ def with_match_flag(cat: DataFrame, files: DataFrame, index: CatalogIndex | None
                     out: str = "__matched") -> DataFrame:
     """Add boolean ``out``: does the file match some title. In-row set test
     while the key set is inlined; otherwise a left join on ``file_id``."""
-    ix = index or CatalogIndex(cat)
+    ix = index or catalog_index(cat)
     if ix.inline is not None:
         lit_keys = F.array(*[F.lit(k) for k in ix.inline]).cast("array<string>")
         d = with_name_keys(files, ix.lengths)
@@ -160,7 +181,7 @@ def status(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None)
     """One row ``n_missing, n_extras, status``: 0 when nothing is missing and
     nothing is extra, else 2 (a missing folder, status 3, is caught before
     any listing by the job)."""
-    ix = index or CatalogIndex(cat)
+    ix = index or catalog_index(cat)
     flags = (missing(cat, files, ix).select(F.lit(1).alias("m"), F.lit(0).alias("e"))
              .unionByName(extras(cat, files, ix).select(F.lit(0).alias("m"), F.lit(1).alias("e"))))
     agg = flags.agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n_missing"),

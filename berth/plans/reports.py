@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.operators import reconcile
-from berth.sources.catalog import CRAWL_MODULE_LABELS, RECONCILE_MODULE_LABELS, SCOPES
+from berth.sources.catalog import CRAWL_MODULE_LABELS, SCOPES
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — report wording and rules.
 # ---------------------------------------------------------------------------
 MISSING_TITLE = "REPORTE DE ARCHIVOS FALTANTES - generado {stamp}"
 MISSING_DIR = "Carpeta analizada: {dir}"
-MISSING_MODULE = "[{module}]  Faltantes: "
+MISSING_MODULE = "[{module}]  Faltantes: {n}"
 NONE_MISSING = " - (sin faltantes)"
 TOTAL_MISSING = "TOTAL FALTANTES: "
 EXTRAS_TITLE = "ARCHIVOS CSV EXTRA (no esperados)"
@@ -78,9 +78,10 @@ def missing_report_lines(cat: DataFrame, files: DataFrame, stamp: str, target_di
                   .groupBy("scope", "module")
                   .agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n")))
     sec = order[F.col("scope")]
+    head_parts = MISSING_MODULE.replace("{module}", "\0").replace("{n}", "\0").split("\0")
     module_head = _lines(per_module, sec, 0, 0, "",
-                         F.concat(F.lit("["), F.col("module"), F.lit("]  Faltantes: "),
-                                  F.col("n").cast("string")))
+                         F.concat(F.lit(head_parts[0]), F.col("module"), F.lit(head_parts[1]),
+                                  F.col("n").cast("string"), F.lit(head_parts[2])))
     module_none = _lines(per_module.where(F.col("n") == 0), sec, 1, 0, "", F.lit(NONE_MISSING))
     module_items = _lines(miss, sec, 1, F.col("idx"), "", F.concat(F.lit(ITEM), F.col("title")))
     module_gap = _lines(per_module, sec, 2, 0, "", F.lit(""))

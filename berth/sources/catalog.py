@@ -139,9 +139,18 @@ def catalog_rows(scope: str | None = None) -> list[tuple[int, str, str, str]]:
     return rows
 
 
+_CATALOGS: dict[tuple[int, str], DataFrame] = {}
+
+
 def catalog(spark: SparkSession, scope: str | None = None) -> DataFrame:
-    """The catalogue as a small local DataFrame (87 rows at most)."""
-    return spark.createDataFrame(catalog_rows(scope), CATALOG_SCHEMA)
+    """The catalogue as a small local DataFrame (87 rows at most); the same
+    object per session and scope, so facts derived from it are reused."""
+    key = (id(spark), (scope or "").strip().lower())
+    df = _CATALOGS.get(key)
+    if df is None:
+        df = spark.createDataFrame(catalog_rows(scope), CATALOG_SCHEMA)
+        _CATALOGS[key] = df
+    return df
 
 
 def reconcile_scopes(scope: str) -> list[str]:

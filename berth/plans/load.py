@@ -18,6 +18,7 @@ the load of that table. Only header lines and table names reach the driver.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -32,6 +33,7 @@ from berth.sources.files import csv_files
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 JDBC_BATCH = 10_000
+PARALLEL_TABLES = 8
 
 
 class LoadError(Exception):
@@ -145,7 +147,8 @@ def write_table(df: DataFrame, table: str, mode: str, target: Target) -> None:
 
 def load_directory(spark: SparkSession, folder: str, target: Target | None = None,
                    mode: str = "append", sep: str = ",", encoding: str = "UTF-8",
-                   recursive: bool = True, table_from: str = "stem") -> DataFrame:
+                   recursive: bool = True, table_from: str = "stem",
+                   parallel_tables: int = PARALLEL_TABLES) -> DataFrame:
     """Load every CSV file under ``folder``; returns the manifest
     ``path, table, n_rows`` (files in lower-cased name order)."""
     target = target or Target()
@@ -162,13 +165,20 @@ def load_directory(spark: SparkSession, folder: str, target: Target | None = Non
         shared = {t: p for t, p in groups.items() if len(p) > 1}
         if shared:
             raise LoadError(f"several files map to one table: {shared}")
-    manifest: list[tuple[str, str, int]] = []
-    for table, paths in sorted(groups.items()):
+    def load_one(item: tuple[str, list[str]]) -> list[tuple[str, str, int]]:
+        table, paths = item
         names = column_names(spark, table, _header(spark, sorted(paths)[0], sep, encoding))
         raw = read_table_files(spark, paths, names, sep, encoding)
         types, per_file = infer_and_count(raw, names)
         write_table(typed(raw, types), table, mode, target)
-        manifest += [(p, table, int(per_file.get(p, 0))) for p in paths]
+        return [(p, table, int(per_file.get(p, 0))) for p in paths]
+
+    # Tables are independent: their jobs are submitted side by side (the
+    # scheduler shares the cluster), so many small tables do not queue.
+    manifest: list[tuple[str, str, int]] = []
+    with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
+        for rows in pool.map(load_one, sorted(groups.items())):
+            manifest += rows
     rows = sorted(manifest, key=lambda r: (os.path.basename(r[0]).lower(), r[0]))
     return spark.createDataFrame(rows, "path STRING, table STRING, n_rows BIGINT")
 

@@ -66,8 +66,11 @@ def missing_report_lines(cat: DataFrame, files: DataFrame, stamp: str, target_di
     spark = cat.sparkSession
     scopes = [s for s in SCOPES if scope == "all" or s == scope]
     cat = cat.where(F.col("scope").isin(*scopes))
-    ix = reconcile.CatalogIndex(cat)
-    miss = reconcile.missing(cat, files, ix)
+    ix = reconcile.catalog_index(cat)
+    # Missing titles are a subset of the catalogue (bounded by its counted
+    # size): computed once, then reused by every part of the report.
+    miss_rows = reconcile.missing(cat, files, ix).collect()
+    miss = spark.createDataFrame(miss_rows, cat.schema)
     extra = reconcile.extras(cat, files, ix)
     order = F.create_map(*[x for i, s in enumerate(scopes) for x in (F.lit(s), F.lit(i + 1))])
     rule = "=" * RULE_MISSING
@@ -85,9 +88,7 @@ def missing_report_lines(cat: DataFrame, files: DataFrame, stamp: str, target_di
     module_none = _lines(per_module.where(F.col("n") == 0), sec, 1, 0, "", F.lit(NONE_MISSING))
     module_items = _lines(miss, sec, 1, F.col("idx"), "", F.concat(F.lit(ITEM), F.col("title")))
     module_gap = _lines(per_module, sec, 2, 0, "", F.lit(""))
-    totals = (miss.select(F.lit(1).alias("m"), F.lit(0).alias("e"))
-              .unionByName(extra.select(F.lit(0).alias("m"), F.lit(1).alias("e")))
-              .agg(F.coalesce(F.sum("m"), F.lit(0)).alias("nm"), F.coalesce(F.sum("e"), F.lit(0)).alias("ne")))
+    totals = extra.agg(F.count(F.lit(1)).alias("ne")).withColumn("nm", F.lit(len(miss_rows)).cast("bigint"))
     tail_sec = len(scopes) + 1
     tail = totals.select(F.explode(F.array(
         _ql(0, F.lit("-" * RULE_MISSING)),

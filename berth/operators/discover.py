@@ -27,6 +27,7 @@ MODULE_SECTION = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b[^"']*["'][^>]
                   r"""(.*?)(?=<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b|$)""")
 SURVEY_KEYWORDS = ("VBA", "Módulo", "Estado")
 SURVEY_FIRST_N = 20
+SURVEY_SECTION = "Estadísticas de Medio Ambiente"
 SURVEYED_TAGS = ("span", "input", "button", "a", "li", "ul", "nav")
 FALLBACK_WORDS = ("Aire", "Agua")
 # HTML entities decoded in link text (``&amp;`` last).
@@ -90,9 +91,10 @@ def _contains_any(c: Column, words: Sequence[str]) -> Column:
 
 
 def keyword_survey(pages: DataFrame, tag: str = "span", keywords: Sequence[str] = SURVEY_KEYWORDS,
-                   first_n: int = SURVEY_FIRST_N) -> DataFrame:
+                   first_n: int = SURVEY_FIRST_N, section: str = SURVEY_SECTION) -> DataFrame:
     """Per page: number of ``tag`` elements, how many of the first ``first_n``
-    contain one of ``keywords``, and how many of those are non-blank."""
+    contain one of ``keywords``, how many of those are non-blank, and how
+    many elements in all mention ``section``."""
     d = pages.select("page_id", _elements(F.col("html"), tag).alias("__e"))
     head = F.slice(F.col("__e"), 1, first_n)
     return d.select(
@@ -100,6 +102,7 @@ def keyword_survey(pages: DataFrame, tag: str = "span", keywords: Sequence[str]
         F.size("__e").cast("bigint").alias("n_elements"),
         F.size(F.filter(head, lambda x: _contains_any(x, keywords))).cast("bigint").alias("n_keyword_hits"),
         F.size(F.filter(head, lambda x: strip_ws(x) != "")).cast("bigint").alias("n_nonblank_head"),
+        F.size(F.filter("__e", lambda x: x.contains(section))).cast("bigint").alias("n_section"),
     )
 
 

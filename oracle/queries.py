@@ -272,7 +272,8 @@ def keyword_survey() -> str:
     return f"""WITH e AS (SELECT page_id, {_elements('a')} AS el FROM pages)
 SELECT page_id, CAST(len(el) AS BIGINT) AS n_elements,
        CAST(len(list_filter(list_slice(el, 1, 20), lambda x: {hit})) AS BIGINT) AS n_keyword_hits,
-       CAST(len(list_filter(list_slice(el, 1, 20), lambda x: {_trim_ws('x')} <> '')) AS BIGINT) AS n_nonblank_head
+       CAST(len(list_filter(list_slice(el, 1, 20), lambda x: {_trim_ws('x')} <> '')) AS BIGINT) AS n_nonblank_head,
+       CAST(len(list_filter(el, lambda x: contains(x, 'Estadísticas de Medio Ambiente'))) AS BIGINT) AS n_section
 FROM e"""
 
 

@@ -83,3 +83,14 @@ def test_rename_phases_survive_retries(scratch):
     assert sorted(os.listdir(d)) == ["b.csv", "c.csv"]
     assert open(os.path.join(d, "b.csv")).read() == "a.csv"
     assert open(os.path.join(d, "c.csv")).read() == "b.csv"
+
+
+def test_command_line_exit_codes(spark, scratch):
+    from berth.__main__ import main
+    d = os.path.join(scratch, "cli")
+    write(os.path.join(d, "Temperatura media.csv"), "a\n1\n")
+    assert main(["--missingfiles", "--dir", d]) == 2          # 86 titles missing
+    assert main(["--countfiles", "--dir", os.path.join(scratch, "nope")]) == 3
+    assert main(["--standardize", "--dry-run", "--dir", d]) == 0
+    assert main(["--loaddb", "--dir", d, "--location", os.path.join(scratch, "t")]) == 0
+    assert os.listdir(os.path.join(scratch, "t", "public")) == ["temperatura_media"]  # stem identifier

@@ -108,3 +108,30 @@ def test_ascii_fold_is_nfkd_without_marks(spark):
     s = "ﬁ º ² Ångström ø 𝐀"
     want = "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
     assert _one(spark, ascii_fold(F.col("s")), s) == want
+
+
+def _identifier_reference(raw: str) -> str:
+    """Independent Python statement of the identifier rule."""
+    import re
+    s = "".join(c for c in unicodedata.normalize("NFKD", raw) if not unicodedata.combining(c))
+    s = re.sub(r"[^a-z0-9]+", "_", s.lower()).strip("_")
+    s = s or "t"
+    if s[0].isdigit() or s in {"user", "table", "select", "where", "group", "order", "limit", "offset",
+                               "insert", "update", "delete", "having", "join", "on", "from", "into", "as",
+                               "and", "or", "not", "by", "in", "is", "null", "true", "false"}:
+        s = "t_" + s
+    return s[:63]
+
+
+def test_identifier_property_on_random_text(spark):
+    import random
+    import re
+    rng = random.Random(11)
+    alphabet = "abcXYZ019 _-.,()ñÁéÍóúüçÅøßﬁ²º½Ⅻ한́̈\t"
+    raws = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 90))) for _ in range(400)]
+    raws += ["select", "SELECT", "2x", "___", "  "]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, r string")
+    got = {row["i"]: row["o"] for row in df.select("i", sql_identifier("r").alias("o")).collect()}
+    for i, r in enumerate(raws):
+        assert re.fullmatch(r"[a-z][a-z0-9_]{0,62}", got[i]), (r, got[i])
+        assert got[i] == _identifier_reference(r), (r, got[i])

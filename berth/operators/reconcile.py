@@ -143,13 +143,25 @@ def missing(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None)
 
 def with_match_flag(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None,
                     out: str = "__matched") -> DataFrame:
-    """Add boolean ``out``: does the file match some title. In-row set test
-    while the key set is inlined; otherwise a left join on ``file_id``."""
+    """Add boolean ``out``: does the file match some title. While the key set
+    is inlined this is an in-row test — an OR over the catalogue's key
+    lengths of "``_`` at that byte and the prefix is one of the keys of that
+    length" (short-circuiting, no per-row array); otherwise a left join on
+    ``file_id``."""
     ix = index or catalog_index(cat)
     if ix.inline is not None:
-        lit_keys = F.array(*[F.lit(k) for k in ix.inline]).cast("array<string>")
-        d = with_name_keys(files, ix.lengths)
-        return d.withColumn(out, F.arrays_overlap("__keys", lit_keys)).drop("__keys")
+        by_len: dict[int, list[str]] = {}
+        for k in ix.inline:
+            by_len.setdefault(len(k.encode("utf-8")), []).append(k)
+        d = files.withColumn("__b", _name_bytes("name"))
+        b = F.col("__b")
+        terms = [_exact_key(b).isin(*ix.inline)] if ix.inline else []
+        for length, keys in sorted(by_len.items()):
+            terms.append(_prefix_key(b, length).isin(*keys))
+        cond = F.lit(False)
+        for t in terms:
+            cond = cond | F.coalesce(t, F.lit(False))
+        return d.withColumn(out, cond).drop("__b")
     hit = title_matches(cat, files, ix).select("file_id").distinct().withColumn(out, F.lit(True))
     return files.join(hit, "file_id", "left").fillna({out: False})
 

@@ -11,7 +11,7 @@ catalogue keys, which are bounded by the catalogue size and broadcast:
 
 * missing titles: explode keys → broadcast hash join → partial ``distinct idx``
   (at most one row per title leaves each map task) → anti join the catalogue;
-* extra / matched files: an in-row ``arrays_overlap`` with the catalogue key
+* extra / matched files: an in-row membership test against the catalogue key
   set (no join, no shuffle) while that set is small; past ``inline_limit`` keys
   it becomes a semi/anti join on ``file_id``.
 

@@ -51,18 +51,36 @@ HOT_COUNT = 32
 BUCKET_ENTRIES = 1_500_000
 #: Bytes of text that one verification task holds.
 BLOCK_BYTES = 12_000_000
+#: Groups up to this size are one leaf: their pairs are tested together, without a tree.
+LEAF_GROUP = 48
 _FAN = 8
 
 
 def _counted(k: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held, size = [], 0
+
+        def fold(token, count):
+            t = np.sort(np.concatenate(held))
+            at = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            c = np.diff(np.append(at, len(t)))
+            t, c = t[at[c > 1]], c[c > 1]
+            token, count = np.concatenate([token, t]), np.concatenate([count, c])
+            order = np.argsort(token, kind="stable")
+            token, count = token[order], count[order]
+            at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            return token[at], np.add.reduceat(count, at) if len(at) else count
+
         for part in parts:
             for _, raw, offsets in wordhash.batches(part.column("text")):
-                t, c = np.unique(wordhash.shingles(raw, offsets, k)[0], return_counts=True)
-                token, count = np.concatenate([token, t[c > 1]]), np.concatenate([count, c[c > 1]])
-            token, back = np.unique(token, return_inverse=True)
-            count = np.bincount(back, count, len(token)).astype(np.int64)
+                held.append(wordhash.shingles(raw, offsets, k)[0])
+                size += len(held[-1])
+                if size > 1_000_000:
+                    token, count = fold(token, count)
+                    held, size = [], 0
+        if size:
+            token, count = fold(token, count)
         keep = count >= 4
         yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(count[keep])], ["token", "n"])
     return run
@@ -328,12 +346,18 @@ def _candidates(percent: int):
         _, first = np.unique(np.stack([kin[many], count[many].astype(np.uint64)]), axis=1, return_index=True)
         at, count = at[many][first], count[many][first]
         maps, forest = Bitmaps(bits), Forest(len(docs))
-        two = at[count == 2]
-        if len(two):
-            x, y = np.unique(np.stack([owner[two], owner[two + 1]]), axis=1)
+        pairs = []
+        for m in np.unique(count[count <= LEAF_GROUP]).tolist():
+            i, j = np.triu_indices(m, 1)
+            for s in chunks(len(some := at[count == m]), max(1, 4_000_000 // len(i))):
+                x, y = owner[some[s, None] + i].ravel(), owner[some[s, None] + j].ravel()
+                ok = (percent * size[x] <= 100 * size[y]) & (percent * size[y] <= 100 * size[x])
+                pairs.append(np.unique(x[ok] * len(docs) + y[ok]))
+        if pairs:
+            x, y = np.divmod(np.unique(np.concatenate(pairs)), len(docs))
             ok = pairs_possible(x, y, size, maps, percent)
             forest.join_all(x[ok], y[ok])
-        for a, n in zip(at[count > 2].tolist(), count[count > 2].tolist()):
+        for a, n in zip(at[count > LEAF_GROUP].tolist(), count[count > LEAF_GROUP].tolist()):
             for i, j in _tree_pairs(owner[a:a + n], size, maps, percent):
                 forest.join_all(i, j)
         root = np.array([forest.find(i) for i in range(len(docs))])

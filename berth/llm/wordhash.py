@@ -18,16 +18,17 @@ _FOLD = np.arange(256)
 _FOLD[0x41:0x5B] += 0x20
 _BYTE = np.random.default_rng(20240501).integers(1, 2**63, 256, dtype=np.uint64)[_FOLD]
 _RADIX = 0x9E3779B97F4A7C15
-_POWERS = np.ones(1, np.uint64)
+_INVERSE = pow(_RADIX, -1, 2**64)
+_POWERS = {_RADIX: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
 
 
-def _powers(n: int) -> np.ndarray:
-    """radix^0 .. radix^(n-1) modulo 2^64."""
-    global _POWERS
-    while len(_POWERS) < n:
-        step = np.uint64(pow(_RADIX, len(_POWERS), 2**64))
-        _POWERS = np.concatenate([_POWERS, _POWERS * step])
-    return _POWERS
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64, kept between calls."""
+    known = _POWERS[base]
+    while len(known) < n:
+        known = np.concatenate([known, known * np.uint64(pow(base, len(known), 2**64))])
+    _POWERS[base] = known
+    return known[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,9 +49,9 @@ def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def batches(column: pa.Array, limit: int = 4_000_000):
-    """(first row, bytes, offsets) for runs of rows of about ``limit`` bytes; one
-    longer text makes a run of its own."""
+def batches(column: pa.Array, limit: int = 400_000):
+    """(first row, bytes, offsets) for runs of rows of about ``limit`` bytes, so that
+    the arrays of a run stay in a core's cache; one longer text makes a run of its own."""
     raw, offsets = batch_bytes(column)
     n, at = len(offsets) - 1, 0
     while at < n:
@@ -59,29 +60,33 @@ def batches(column: pa.Array, limit: int = 4_000_000):
         at = end
 
 
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """sums[i]: values[:i], each weighted by the power of its place, modulo 2^64."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(_RADIX, len(values)), out=sums[1:])
+    return sums
+
+
+def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the spans [start, end), equal wherever the span stands."""
+    return mix((sums[end] - sums[start]) * powers(_INVERSE, len(sums))[start] + (end - start).astype(np.uint64) * np.uint64(_RADIX))
+
+
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint of each word, index of the first word of each text and the end)."""
     n = len(raw)
-    inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_WS[raw]
-    # a text's first byte starts a word even if the text before ends in one
-    starts = inside[1:-1] & ~inside[:-2]
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    starts[firsts] = inside[1:-1][firsts]
-    start = np.flatnonzero(starts)
-    if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    ends = inside[1:-1] & ~inside[2:]
-    ends[firsts[1:] - 1] = inside[1:-1][firsts[1:] - 1]
-    end = np.flatnonzero(ends) + 1
-    width = end - start
-    place = np.arange(n, dtype=np.int64)
-    owner = np.repeat(start, width)
-    taken = place[inside[1:-1]]
-    values = _BYTE[raw[taken]] * _powers(int(width.max()))[taken - owner]
-    sums = np.add.reduceat(values, np.concatenate([[0], np.cumsum(width)[:-1]]))
-    found = mix(sums + width.astype(np.uint64) * np.uint64(_RADIX))
-    return found, np.searchsorted(start, offsets)
+    inside = ~_WS[raw]
+    edge = np.zeros(n + 1, bool)
+    edge[0], edge[n] = n > 0 and inside[0], n > 0 and inside[-1]
+    np.not_equal(inside[1:], inside[:-1], out=edge[1:-1])
+    # a word also ends where its text ends
+    seams = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
+    seams = np.unique(seams[inside[seams] & inside[seams - 1]])
+    border = np.flatnonzero(edge)
+    if len(seams):
+        border = np.sort(np.concatenate([border, seams, seams]), kind="stable")
+    start, end = border[::2], border[1::2]
+    return spans(prefix_sums(_BYTE[raw]), start, end), np.searchsorted(start, offsets)
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,11 +102,12 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
     if not bounds[-1]:
         return np.zeros(0, np.uint64), bounds
     first = np.repeat(at[:-1] - bounds[:-1], number) + np.arange(bounds[-1])
-    long = np.repeat(count >= k, number)
     padded = np.concatenate([word, np.zeros(k, np.uint64)])
     out = np.zeros(len(first), np.uint64)
-    left = np.repeat(np.minimum(count, k), number)
+    short = np.flatnonzero(np.repeat(count < k, number))
+    length = np.repeat(count, number)[short]
     for j in range(k):
-        here = np.where(long | (left > j), padded[first + j], np.uint64(0))
-        out = mix(out * np.uint64(_RADIX) + here + np.uint64(j + 1))
-    return out, bounds
+        here = padded[first + j]
+        here[short[length <= j]] = 0
+        out += here * np.uint64(pow(_RADIX, j + 1, 2**64))
+    return mix(out), bounds

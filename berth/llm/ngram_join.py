@@ -11,9 +11,9 @@ Texts are sets of distinct k-word shingles; two link when
    commonest shingles, counted over all texts, as last; only the first
    ``hot_limit`` of them are told apart, which bounds what is broadcast and
    touches speed only.
-2. **Signature trees**: documents meet under the shingles of their prefixes, in
-   buckets of shingles. Equal sets fold into the smallest id before they are
-   shuffled and again where they meet. Each group of a shingle becomes a tree
+2. **Signature trees**: equal sets fold into the smallest id, then documents meet
+   under the shingles of their prefixes; shingles with the same documents make
+   one group. The documents of a group bring their bitmaps and become a tree
    whose nodes hold the OR of their bitmaps and ranges of set size and bit
    count; a dual traversal drops node pairs whose largest possible overlap is
    too small. What survives joins a union-find, and only its spanning edges
@@ -49,6 +49,8 @@ HOT_LIMIT = 200_000
 HOT_COUNT = 32
 #: Prefix entries gathered by one signature-tree task.
 BUCKET_ENTRIES = 1_500_000
+#: Rows of sharing groups, with their bitmaps, that one task tests.
+PACK_ROWS = 100_000
 #: Bytes of text that one verification task holds.
 BLOCK_BYTES = 12_000_000
 #: Groups up to this size are one leaf: their pairs are tested together, without a tree.
@@ -265,91 +267,85 @@ def _tree_pairs(members: np.ndarray, size: np.ndarray, maps: Bitmaps, percent: i
 
 # -- candidates --------------------------------------------------------------
 
-_PACK = "bucket int, doc binary, n binary, f binary, width binary, bits binary, token binary, owner binary"
+_ENTRIES = "bucket int, token binary, doc binary, n binary"
 
 
-def _packed(buckets: int):
-    """Profiles to (bucket of shingles, packed documents and prefix entries); equal sets fold."""
-    def flush(rows: dict):
+def _entries(buckets: int):
+    """Prefixes to (bucket of shingles, packed shingle, document, set size)."""
+    def flush(rows: list):
         if not rows:
             return
-        docs = np.array([v[0] for v in rows.values()], np.int64)
-        size = np.array([k[0] for k in rows], np.int64)
-        prints = np.array([k[1:] for k in rows], np.int64)
-        bits = [v[1] for v in rows.values()]
-        prefix = [np.frombuffer(v[2], np.uint64) for v in rows.values()]
+        prefix = [np.frombuffer(r[2], np.uint64) for r in rows]
+        times = [len(p) for p in prefix]
         token = np.concatenate(prefix)
-        owner = np.repeat(np.arange(len(docs)), [len(p) for p in prefix])
+        doc, size = np.repeat(np.array([r[0] for r in rows], np.int64), times), np.repeat(np.array([r[1] for r in rows], np.int32), times)
         bucket = (wordhash.mix(token) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        token, owner, bucket = token[order], owner[order], bucket[order]
+        token, doc, size, bucket = token[order], doc[order], size[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        out = []
-        for at, end in zip(cuts, [*cuts[1:], len(bucket)]):
-            local, back = np.unique(owner[at:end], return_inverse=True)
-            out.append((int(bucket[at]), docs[local].tobytes(), size[local].tobytes(), prints[local].tobytes(),
-                        np.array([len(bits[i]) for i in local], np.int64).tobytes(), b"".join(bits[i] for i in local),
-                        token[at:end].tobytes(), back.astype(np.int32).tobytes()))
-        names = [c.split()[0] for c in _PACK.split(", ")]
-        for s in chunks(len(out), 256):
-            columns = list(zip(*out[s]))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names)
+        ends = [*cuts[1:].tolist(), len(bucket)]
+        for s in chunks(len(cuts), 256):
+            spans = list(zip(cuts[s].tolist(), ends[s]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[s]], pa.int32()), *(pa.array([x[a:e].tobytes() for a, e in spans], pa.binary()) for x in (token, doc, size))],
+                ["bucket", "token", "doc", "n"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict = {}
+        rows: list = []
         held = 0
         for part in parts:
-            for doc, n, f1, f2, bits, prefix in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n", "f1", "f2", "bits", "prefix"))):
-                key = (n, f1, f2)
-                if key in rows:
-                    rows[key] = (min(doc, rows[key][0]), bits, prefix)
-                else:
-                    rows[key] = (doc, bits, prefix)
-                    held += len(bits) + len(prefix)
-            if held > 64_000_000:
+            found = list(zip(*(part.column(c).to_pylist() for c in ("doc_id", "n", "prefix"))))
+            rows += found
+            held += sum(len(r[2]) for r in found)
+            if held > 16_000_000:
                 yield from flush(rows)
-                rows, held = {}, 0
+                rows, held = [], 0
         yield from flush(rows)
     return run
 
 
-def _candidates(percent: int):
-    """One bucket's spanning edges between sets that its signature trees can't tell apart."""
+def _sharing(percent: int):
+    """One bucket's groups of documents that share a shingle: (gid, doc_id). Shingles
+    with the same documents make one group; its id depends on them alone."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        take = lambda name, kind: [np.frombuffer(x, kind) for x in group[name]]
-        docs, size = np.concatenate(take("doc", np.int64)), np.concatenate(take("n", np.int64))
-        prints = np.concatenate(take("f", np.int64)).reshape(-1, 2)
-        bits = []
-        for widths, blob in zip(take("width", np.int64), group["bits"]):
-            ends = np.cumsum(widths)
-            bits += [blob[e - w:e] for e, w in zip(ends.tolist(), widths.tolist())]
-        starts = np.cumsum([0] + [len(x) // 8 for x in group["doc"]][:-1])
-        owner = np.concatenate([o + s for o, s in zip(take("owner", np.int32), starts)])
-        token = np.concatenate(take("token", np.uint64))
-        # equal sets from different tasks fold into the smallest id
-        order = np.lexsort((docs, size, prints[:, 1], prints[:, 0]))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(prints[order], axis=0) != 0).any(1) | (np.diff(size[order]) != 0)
-        fold = np.empty(len(order), np.int64)
-        fold[order] = order[new][np.cumsum(new) - 1]
-        owner = fold[owner]
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
+        token = np.frombuffer(b"".join(group["token"]), np.uint64)
+        doc, size = np.frombuffer(b"".join(group["doc"]), np.int64), np.frombuffer(b"".join(group["n"]), np.int32).astype(np.int64)
+        order = np.lexsort((doc, token))
+        token, doc, size = token[order], doc[order], size[order]
         once = np.ones(len(token), bool)
-        once[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-        token, owner = token[once], owner[once]
+        once[1:] = (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])
+        token, doc, size = token[once], doc[once], size[once]
         at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         count = np.diff(np.append(at, len(token)))
-        # shingles of one passage have the same members: one group for all
-        kin = np.add.reduceat(wordhash.mix(owner.astype(np.uint64) + np.uint64(1)), at)
+        gid = np.add.reduceat(wordhash.mix(doc.astype(np.uint64)), at)
         many = count > 1
-        _, first = np.unique(np.stack([kin[many], count[many].astype(np.uint64)]), axis=1, return_index=True)
-        at, count = at[many][first], count[many][first]
+        many[many] = percent * np.maximum.reduceat(size, at)[many] <= 100 * np.minimum.reduceat(size, at)[many] * np.where(count[many] > 2, 10**6, 1)
+        _, first = np.unique(gid[many], return_index=True)
+        at, count, gid = at[many][first], count[many][first], gid[many][first]
+        take = np.repeat(at - np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64), count) + np.arange(int(count.sum()))
+        return pd.DataFrame({"gid": np.repeat(gid, count).view(np.int64), "doc_id": doc[take]})
+    return run
+
+
+def _candidates(percent: int):
+    """Spanning edges between the documents of sharing groups that their signature trees
+    can't tell apart."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        docs, first, owner = np.unique(rows["doc_id"].to_numpy(np.int64), return_index=True, return_inverse=True)
+        size, bits = rows["n"].to_numpy(np.int64)[first], [bytes(rows["bits"].iat[i]) for i in first.tolist()]
+        gid = rows["gid"].to_numpy(np.int64)
+        order = np.lexsort((owner, gid))
+        gid, owner = gid[order], owner[order]
+        once = np.ones(len(gid), bool)
+        once[1:] = (gid[1:] != gid[:-1]) | (owner[1:] != owner[:-1])
+        gid, owner = gid[once], owner[once]
+        at = np.flatnonzero(np.concatenate([[True], gid[1:] != gid[:-1]]))
+        count = np.diff(np.append(at, len(gid)))
         maps, forest = Bitmaps(bits), Forest(len(docs))
         pairs = []
         for m in np.unique(count[count <= LEAF_GROUP]).tolist():
             i, j = np.triu_indices(m, 1)
-            for s in chunks(len(some := at[count == m]), max(1, 4_000_000 // len(i))):
+            for s in chunks(len(some := at[count == m]), max(1, 4_000_000 // max(1, len(i)))):
                 x, y = owner[some[s, None] + i].ravel(), owner[some[s, None] + j].ravel()
                 ok = (percent * size[x] <= 100 * size[y]) & (percent * size[y] <= 100 * size[x])
                 pairs.append(np.unique(x[ok] * len(docs) + y[ok]))
@@ -360,7 +356,7 @@ def _candidates(percent: int):
         for a, n in zip(at[count > LEAF_GROUP].tolist(), count[count > LEAF_GROUP].tolist()):
             for i, j in _tree_pairs(owner[a:a + n], size, maps, percent):
                 forest.join_all(i, j)
-        root = np.array([forest.find(i) for i in range(len(docs))])
+        root = np.array([forest.find(i) for i in range(len(docs))], np.int64)
         moved = np.flatnonzero(root != np.arange(len(docs)))
         return pd.DataFrame({"a": docs[moved], "b": docs[root[moved]]})
     return run
@@ -409,13 +405,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     told = stash(profiles(docs, k, percent))
     real = told.where("n > 0 and doc_id is not null")
-    entries = real.agg(F.sum(F.octet_length("prefix")) / 8).first()[0] or 0
+    equal = stash(real.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("head")))
+    # one document stands for all equal sets
+    heads = stash(real.join(equal.select(F.col("head").alias("doc_id"), "n", "f1", "f2"), ["doc_id", "n", "f1", "f2"])
+                  .select("doc_id", "n", "bits", "prefix").dropDuplicates(["doc_id", "n"]))
+    entries = heads.agg(F.sum(F.octet_length("prefix")) / 8).first()[0] or 0
     buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
-    near = (real.mapInArrow(_packed(buckets), _PACK)
-            .groupBy("bucket").applyInPandas(_candidates(percent), "a long, b long"))
+    groups = stash(heads.select("doc_id", "n", "prefix").mapInArrow(_entries(buckets), _ENTRIES)
+                   .groupBy("bucket").applyInPandas(_sharing(percent), "gid long, doc_id long"))
+    packs = max(1, -(-groups.count() // PACK_ROWS))
+    near = (groups.join(heads.select("doc_id", "n", "bits"), "doc_id")
+            .groupBy(F.pmod(F.xxhash64("gid"), F.lit(packs)).alias("pack")).applyInPandas(_candidates(percent), "a long, b long"))
     linked = components(near)
-    heads = linked.select(F.col("component").alias("id"), "component").distinct()
-    member = stash(linked.unionByName(heads))
+    tops = linked.select(F.col("component").alias("id"), "component").distinct()
+    member = stash(linked.unionByName(tops))
     # how much text each candidate component holds decides on blocks
     sized = stash(docs.where("doc_id is not null")
                   .join(member.select(F.col("id").alias("doc_id"), F.col("component").alias("cand")), "doc_id"))
@@ -429,7 +432,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
               .withColumn("task", F.when(F.col("blocks") > 1, F.xxhash64("cand", "i", "j"))
                           .otherwise(F.pmod(F.xxhash64("cand"), F.lit(groups)))))
     sure = placed.groupBy("task", "i", "j").applyInPandas(_verified(k, percent), "a long, b long")
-    equal = stash(real.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("head")))
     # rows that repeat a doc_id are one node, and so are the sets that they hold
     again = real.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
     again = real.join(again, "doc_id").join(equal, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))

@@ -4,17 +4,91 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from berth.llm import ngram_join
+from berth.llm import (bpe, chat, ctw, gam, kdtree, line_dedup, mixing, ngram_join,
+                       quality_rules, suffix_dedup)
 from berth.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
 
-def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed vocabulary files keep ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def fold(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op1_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+
+
+def op2_additive_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    marks = labels.where(fold(F.col("doc_id"), 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    scored = gam.score(docs, gam.train(docs, marks), fold(F.col("doc_id"), 5) == 0)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op4_pareto_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit(chat.END + chat.START + "assistant ok")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.format_conversations(turns))
+
+
+def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
+                       F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op8_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = kdtree.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return kdtree.top_k(vectors, F.col("id") % 20 == 0, k=20)
+
+
+def op10_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 #: name -> (query, DuckDB twin or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
-    "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
+    "op1_chunk_reuse_bpe": (op1_chunk_reuse_bpe, None),
+    "op2_additive_quality_model": (op2_additive_quality_model, None),
+    "op3_signature_tree_join": (op3_signature_tree_join, None),
+    "op4_pareto_source_mix": (op4_pareto_source_mix, mixing.ORACLE_SQL),
+    "op5_suffix_repeats": (op5_suffix_repeats, None),
+    "op6_chat_format": (op6_chat_format, chat.ORACLE_SQL),
+    "op7_fuzzy_line_dedup": (op7_fuzzy_line_dedup, None),
+    "op8_decision_list_rules": (op8_decision_list_rules, None),
+    "op9_kd_tree_top_k": (op9_kd_tree_top_k, kdtree.ORACLE_SQL),
+    "op10_context_tree_score": (op10_context_tree_score, None),
 }

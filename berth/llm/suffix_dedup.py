@@ -35,7 +35,6 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,7 +53,6 @@ MIN_DEPTH = 48
 _PLAIN = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 
 
-@lru_cache
 def difference_cover(length: int) -> tuple[int, tuple[int, ...]]:
     """(v, places): a cover modulo v of size 6r + 4, v = 24r^2 + 36r + 13, for the largest r
     that leaves samples of ``MIN_DEPTH`` bytes; (1, (0,)) if none does."""

@@ -7,8 +7,8 @@ fingerprint of its first L bytes: equal prefixes, equal names.
 
 A difference cover modulo v makes the work small: for any two places there is a
 shift below v that brings both onto the cover. If two strings of ``length`` bytes
-are equal, then every cover sample inside one of them has an equal sample in the
-other at depth ``length - v + 1``.
+are equal, then some cover sample of depth ``length - v + 1`` inside one of them
+equals a cover sample of the other.
 
 1. Equal texts of a map task fold into one; texts are dealt by hash into blocks of
    about ``BLOCK_BYTES`` bytes, where equal texts meet and fold.
@@ -16,7 +16,7 @@ other at depth ``length - v + 1``.
    and sends each name once to the bucket of its range. Buckets of about
    ``BUCKET_NAMES`` names are sorted one at a time; a name is answered with one
    bit: does it occur again.
-3. **Long ties**: only a suffix whose cover samples all occur again can be a
+3. **Long ties**: only a suffix with a cover sample that occurs again can be a
    repeat. Those suffixes alone are named at full depth and sorted, again one
    bucket at a time, each name once a block, again answered by bits.
 4. Blocks mark, cut and fingerprint their texts.
@@ -99,16 +99,16 @@ class Block:
         return at, self.fingerprints(at, depth) >> np.uint64(16), self.copied[owner]
 
     def suffixes(self, at: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, name, copied) of the suffixes whose cover samples all occur again."""
+        """(place, name, copied) of the suffixes with a cover sample that occurs again."""
         v, _ = difference_cover(self.length)
-        single = np.zeros(len(self.raw) + 1, np.int32)
-        single[at[~again] + 1] = 1
-        single = np.cumsum(single, dtype=np.int32)
+        twice = np.zeros(len(self.raw) + 1, np.int32)
+        twice[at[again] + 1] = 1
+        twice = np.cumsum(twice, dtype=np.int32)
         starts = [np.zeros(0, np.int64)]
         for t in self.long.tolist():
             a, b = int(self.offsets[t]), int(self.offsets[t + 1])
             i = np.arange(a, b - self.length + 1)
-            starts.append(i[single[i + v] == single[i]])
+            starts.append(i[twice[i + v] > twice[i]])
         i = np.concatenate(starts)
         owner = np.searchsorted(self.offsets, i, "right") - 1
         return i, self.fingerprints(i, self.length), self.copied[owner]

@@ -192,7 +192,7 @@ def token_strings(json_text: str) -> list[str]:
     return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
 
 
-def _decoded(json_text, digest: bool):
+def _decoded(json_text, digest: bool, keep_ids: bool = False):
     import hashlib
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +211,8 @@ def _decoded(json_text, digest: bool):
                 second.append(hashlib.sha256(text).hexdigest() if digest else text.decode())
             columns = [part.column("doc_id"), pa.array(n, pa.int64())]
             if digest:
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(first, pa.string()), pa.array(second, pa.string())],
-                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(first, pa.string()), pa.array(second, pa.string()), *[ids] * keep_ids],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
             else:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(second, pa.string())], ["doc_id", "n_tokens", "decoded"])
     return run
@@ -225,8 +225,10 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     return encoded.mapInArrow(_decoded(json_text, False), "doc_id long, n_tokens long, decoded string")
 
 
-def digests(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encode``'s rows, decoded alike."""
+def digests(encoded: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encode``'s rows, decoded alike;
+    and their ``ids``, if asked for."""
     with open(tokenizer_path, encoding="utf-8") as f:
         json_text = encoded.sparkSession.sparkContext.broadcast(f.read())
-    return encoded.mapInArrow(_decoded(json_text, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
+    return encoded.mapInArrow(_decoded(json_text, True, keep_ids), kind)

@@ -68,7 +68,7 @@ def _matrix(rows: pd.Series, dim: int) -> np.ndarray:
     return out
 
 
-def leaves(points: np.ndarray, size: int = LEAF_ROWS) -> list[np.ndarray]:
+def leaves(points: np.ndarray, size: int) -> list[np.ndarray]:
     """Row indices of the leaves of a KD-tree: median splits of the widest dimension."""
     out, todo = [], [np.arange(len(points))]
     while todo:
@@ -97,7 +97,7 @@ def search(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, v: np.ndarray, v
     order = np.argsort(v_ids, kind="stable")
     v, v_ids = v[order], v_ids[order]
     exact = max(v.shape[1], 1) * max(np.abs(q).max(initial=0), 1) * max(np.abs(v).max(initial=0), 1) < 2**53
-    parts = leaves(v)
+    parts = leaves(v, LEAF_ROWS)
     lo, hi = np.stack([v[p].min(0) for p in parts]), np.stack([v[p].max(0) for p in parts])
     bound = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
     if not exact:

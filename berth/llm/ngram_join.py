@@ -399,6 +399,17 @@ def _verified(k: int, percent: int):
     return run
 
 
+def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, one row for
+    each; rows without doc_id stay."""
+    told = stash(jaccard_components(docs, k, percent).where("doc_id is not null"))
+    losers = told.where("component_id <> doc_id").select(F.col("doc_id").alias("__loser")).distinct()
+    kept = docs.join(losers, docs["doc_id"] == F.col("__loser"), "left_anti")
+    if not told.groupBy("doc_id").count().where("count > 1").head(1):
+        return kept
+    return kept.where(docs["doc_id"].isNull()).unionByName(kept.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"]))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession

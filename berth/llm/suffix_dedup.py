@@ -17,8 +17,11 @@ equals a cover sample of the other.
    ``BUCKET_NAMES`` names are sorted one at a time; a name is answered with one
    bit: does it occur again.
 3. **Long ties**: only a suffix with a cover sample that occurs again can be a
-   repeat. Those suffixes alone are named at full depth and sorted, again one
-   bucket at a time, each name once a block, again answered by bits.
+   repeat, and then the sample occurs again together with half of the string's
+   other bytes, before or behind it. Samples that occur again are asked for at
+   that depth first; the suffixes that are left alone are named at full depth
+   and sorted, again one bucket at a time, each name once a block, again
+   answered by bits.
 4. Blocks mark, cut and fingerprint their texts.
 
 No task holds more than a block or a bucket; a name held by a third of all texts
@@ -98,17 +101,32 @@ class Block:
         owner = np.searchsorted(self.offsets, at, "right") - 1
         return at, self.fingerprints(at, depth) >> np.uint64(16), self.copied[owner]
 
-    def suffixes(self, at: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place, name, copied) of the suffixes with a cover sample that occurs again."""
+    def extended(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(sample place, name, copied, is on the left) of samples with half of a string's
+        other bytes on one side; those that would cross a text's end are left out."""
         v, _ = difference_cover(self.length)
-        twice = np.zeros(len(self.raw) + 1, np.int32)
-        twice[at[again] + 1] = 1
-        twice = np.cumsum(twice, dtype=np.int32)
+        half, depth = (v - 1) // 2, self.length - v + 1
+        owner = np.searchsorted(self.offsets, at, "right") - 1
+        right = at + depth + half <= self.offsets[owner + 1]
+        left = at - half >= self.offsets[owner]
+        place = np.concatenate([at[right], at[left]])
+        side = np.arange(len(place)) >= right.sum()
+        name = self.fingerprints(np.where(side, place - half, place), depth + half) ^ (side * np.uint64(1 << 63))
+        return place, name >> np.uint64(16), self.copied[np.concatenate([owner[right], owner[left]])], side
+
+    def suffixes(self, at: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, name, copied) of the suffixes whose first ``length`` bytes hold one of the
+        extended samples at ``at``, ``left`` or right."""
+        v, _ = difference_cover(self.length)
+        half = (v - 1) // 2
+        near = np.zeros(len(self.raw) + 2, np.int32)
+        np.add.at(near, np.maximum(at - np.where(left, v - 1, v - 1 - half), 0), 1)
+        np.add.at(near, at - np.where(left, half, 0) + 1, -1)
+        near = np.cumsum(near, dtype=np.int32) > 0
         starts = [np.zeros(0, np.int64)]
         for t in self.long.tolist():
             a, b = int(self.offsets[t]), int(self.offsets[t + 1])
-            i = np.arange(a, b - self.length + 1)
-            starts.append(i[twice[i + v] > twice[i]])
+            starts.append(np.flatnonzero(near[a:b - self.length + 1]) + a)
         i = np.concatenate(starts)
         owner = np.searchsorted(self.offsets, i, "right") - 1
         return i, self.fingerprints(i, self.length), self.copied[owner]
@@ -188,15 +206,27 @@ def _ask_samples(length: int, buckets: int):
     return run
 
 
-def _ask_suffixes(length: int, sample_buckets: int, buckets: int):
+def _extended(block: Block, answers: pd.DataFrame, buckets: int):
+    at, name, copied = block.samples()
+    return block.extended(at[_repeated(answers, 0, name, copied, buckets, 48)])
+
+
+def _suffixes(block: Block, answers: pd.DataFrame, buckets: int):
+    at, name, copied, left = _extended(block, answers, buckets)
+    again = _repeated(answers, 1, name, copied, buckets, 48)
+    return block.suffixes(at[again], left[again])
+
+
+def _ask_more(length: int, kind: int, sample_buckets: int, buckets: int):
+    """Names of extended samples (kind 1) or of suffixes (kind 2), given the answers so far."""
     def run(group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        bits = 48 if kind == 1 else 64
         if group.empty:
-            return _asked(1, 0, np.zeros(0, np.uint64), np.zeros(0, bool), buckets, 64)
+            return _asked(kind, 0, np.zeros(0, np.uint64), np.zeros(0, bool), buckets, bits)
         block = Block(group, length)
-        at, name, copied = block.samples()
-        _, name, copied = block.suffixes(at, _repeated(answers, 0, name, copied, sample_buckets, 48))
+        _, name, copied, *_ = (_extended if kind == 1 else _suffixes)(block, answers, sample_buckets)
         distinct, _, again = _names(name, copied)
-        return _asked(1, int(group["block"].iloc[0]), distinct, again, buckets, 64)
+        return _asked(kind, int(group["block"].iloc[0]), distinct, again, buckets, bits)
     return run
 
 
@@ -208,9 +238,8 @@ def _cut(length: int, sample_buckets: int, buckets: int):
         rows = []
         if not group.empty:
             block = Block(group, length)
-            at, name, copied = block.samples()
-            start, name, copied = block.suffixes(at, _repeated(answers, 0, name, copied, sample_buckets, 48))
-            start = start[_repeated(answers, 1, name, copied, buckets, 64)]
+            start, name, copied = _suffixes(block, answers, sample_buckets)
+            start = start[_repeated(answers, 2, name, copied, buckets, 64)]
             edge = np.zeros(len(block.raw) + 1, np.int32)
             np.add.at(edge, start, 1)
             np.add.at(edge, start + length, -1)
@@ -247,9 +276,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
               .withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks))))
     asked = placed.groupBy("block").applyInPandas(_ask_samples(length, sample_buckets), _ASK)
     answers = asked.groupBy("bucket").applyInPandas(_answered(48), _ANSWER)
-    asked = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_ask_suffixes(length, sample_buckets, buckets), _ASK)
-    final = asked.groupBy("bucket").applyInPandas(_answered(64), _ANSWER)
-    return (placed.groupBy("block").cogroup(answers.unionByName(final).groupBy("block"))
+
+    def ask(kind: int, buckets: int) -> DataFrame:
+        more = _ask_more(length, kind, sample_buckets, buckets)
+        asked = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(more, _ASK)
+        return asked.groupBy("bucket").applyInPandas(_answered(48 if kind == 1 else 64), _ANSWER)
+
+    answers = answers.unionByName(ask(1, sample_buckets))
+    answers = answers.unionByName(ask(2, buckets))
+    return (placed.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInPandas(_cut(length, sample_buckets, buckets), _RESULT))
 
 

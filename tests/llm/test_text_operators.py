@@ -279,7 +279,7 @@ def test_chat_round_trip(spark):
 # -- op7 ---------------------------------------------------------------------
 
 def line_words(line: str) -> list[str]:
-    return [w for w in re.split(r"[^\w]+|_+", line.lower()) if w]
+    return [w for w in line.lower().split(" ") if w]
 
 
 def sim_hash(words: list[str]) -> int:

@@ -37,9 +37,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--jdbc-url", help="write tables through JDBC (batch 10,000)")
     p.add_argument("--csv-sep", default=",")
     p.add_argument("--csv-encoding", default="UTF-8")
+    p.add_argument("--lenient", action="store_true", help="convert text columns that hold numbers or dates")
     return p.parse_args(argv)
 
 
+def _lines(df) -> None:
+    """All rows, tab-separated; the driver holds one partition at a time."""
+    print("\t".join(df.columns))
+    for r in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in r))
+
+
 def main(argv: list[str] | None = None) -> int:
     from berth.plans import jobs
     from berth.plans.load import LoadError, load_totals
@@ -53,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         if status:
             print(f"folder not found: {args.dir}")
             return status
-        by_ext.show(truncate=False)
+        _lines(by_ext)
         report.show(truncate=False)
         return 0
     if args.missingfiles:
@@ -68,19 +76,19 @@ def main(argv: list[str] | None = None) -> int:
         except jobs.FolderNotFound:
             print(f"folder not found: {args.dir}")
             return 3
-        changes.select("src", "dst").show(1000, truncate=False)
+        _lines(changes.select("src", "dst"))
         return 0
     if args.loaddb:
         try:
             manifest = jobs.load_folder(spark, args.dir, args.schema, args.if_exists, args.csv_sep,
-                                        args.csv_encoding, args.location, args.jdbc_url)
+                                        args.csv_encoding, args.location, args.jdbc_url, args.lenient)
         except jobs.FolderNotFound:
             print(f"folder not found: {args.dir}")
             return 3
         except LoadError as e:
             print(f"load failed: {e}")
             return 2
-        manifest.show(1000, truncate=False)
+        _lines(manifest)
         load_totals(manifest).show()
         return 0
     print("nothing to do: pass --countfiles, --missingfiles, --standardize or --loaddb")

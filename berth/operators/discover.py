@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 NAV_CONTAINER = r"(?s)<nav\b[^>]*>(.*?)</nav>"
 ANY_LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
 DATASET_LINK = r"""(?s)<a\b[^>]*\bclass\s*=\s*["'][^"']*\bds\b[^"']*["'][^>]*>(.*?)</a>"""
-# A module section starts at its tree item and ends where the next tree item
-# of class "t" starts.
-MODULE_SECTION = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b[^"']*["'][^>]*>\s*<span\b[^>]*>[^<]*{name}[^<]*</span>"""
-                  r"""(.*?)(?=<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b|$)""")
+# A module's tree item, up to the end of its title; what follows is its content.
+MODULE_ITEM = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b[^"']*["'][^>]*>\s*<span\b[^>]*>[^<]*{name}[^<]*</span>"""
+               r"""(.*)$""")
+TREE = r"""(?si)<(ul|div)\b[^>]*\bclass\s*=\s*["'][^"']*\btreeview\b"""
+TREE_FIRST_N = 15
 SURVEY_KEYWORDS = ("VBA", "Módulo", "Estado")
 SURVEY_FIRST_N = 20
 SURVEY_SECTION = "Estadísticas de Medio Ambiente"
@@ -48,28 +49,60 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def link_texts(html: Column, container: str | None, link: str) -> Column:
-    """Ordered array of link texts inside the first ``container`` match
-    (whole page when ``container`` is None): trimmed, blanks dropped,
-    duplicates dropped keeping the first position."""
-    scope = html if container is None else F.regexp_extract(html, container, 1)
-    raw = F.regexp_extract_all(scope, F.lit(link), 1)
+def element_content(tail: Column, tag: str = "li") -> Column:
+    """The part of ``tail`` before the end tag that closes the ``tag`` it starts in:
+    a running depth over opening and closing tags, so nested elements stay inside."""
+    parts = F.split(tail, rf"(?i)</{tag}\s*>")
+    opened = F.transform(parts, lambda p: F.regexp_count(p, F.lit(rf"(?i)<{tag}\b")))
+    zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
+    state = F.aggregate(opened, zero, lambda a, n: F.when(a["depth"] == 0, a).otherwise(
+        F.struct((a["depth"] + n - 1).alias("depth"), (a["taken"] + 1).alias("taken"))))
+    return F.array_join(F.slice(parts, F.lit(1), state["taken"]), f"</{tag}>")
+
+
+def _texts(scopes: Column, link: str) -> Column:
+    """Link texts in an array of page parts: trimmed, blanks dropped, duplicates
+    dropped keeping the first position."""
+    raw = F.flatten(F.transform(scopes, lambda s: F.regexp_extract_all(s, F.lit(link), 1)))
     texts = F.transform(raw, lambda x: strip_ws(element_text(x)))
     return F.array_distinct(F.filter(texts, lambda x: x != ""))
 
 
+def link_texts(html: Column, container: str | None, link: str) -> Column:
+    """Ordered array of link texts inside every ``container`` match (the
+    whole page when ``container`` is None)."""
+    scopes = F.array(html) if container is None else F.regexp_extract_all(html, F.lit(container), 1)
+    return _texts(scopes, link)
+
+
+def _listed(d: DataFrame) -> DataFrame:
+    return d.select("page_id", F.posexplode("__t").alias("__p", "text")).select(
+        "page_id", (F.col("__p") + 1).cast("bigint").alias("ordinal"), "text")
+
+
 def discover_links(pages: DataFrame, container: str | None = NAV_CONTAINER,
                    link: str = ANY_LINK) -> DataFrame:
     """``page_id, ordinal, text`` — the discovered link texts in page order."""
-    d = pages.select("page_id", link_texts(F.col("html"), container, link).alias("__t"))
-    return d.select("page_id", F.posexplode("__t").alias("__p", "text")).select(
-        "page_id", (F.col("__p") + 1).cast("bigint").alias("ordinal"), "text")
+    return _listed(pages.select("page_id", link_texts(F.col("html"), container, link).alias("__t")))
 
 
 def discover_module_datasets(pages: DataFrame, module_name: str) -> DataFrame:
-    """Dataset links (``a.ds``) inside one module of the portal tree."""
-    section = MODULE_SECTION.replace("{name}", re.escape(module_name))
-    return discover_links(pages, section, DATASET_LINK)
+    """Dataset links (``a.ds``) inside one module of the portal tree, those of
+    nested items included."""
+    tail = F.regexp_extract("html", MODULE_ITEM.replace("{name}", re.escape(module_name)), 1)
+    d = pages.select("page_id", tail.alias("__tail"))
+    return _listed(d.select("page_id", _texts(F.array(element_content(F.col("__tail"))), DATASET_LINK).alias("__t")))
+
+
+def tree_survey(pages: DataFrame, first_n: int = TREE_FIRST_N) -> DataFrame:
+    """Per page: spans inside the (first) tree, and how many of the first
+    ``first_n`` are not blank."""
+    d = pages.select("page_id", F.regexp_extract("html", TREE + "(.*)$", 2).alias("__tail"),
+                     F.lower(F.regexp_extract("html", TREE, 1)).alias("__tag"))
+    tree = F.when(F.col("__tag") == "ul", element_content(F.col("__tail"), "ul")).otherwise(element_content(F.col("__tail"), "div"))
+    d = d.select("page_id", _elements(tree, "span").alias("__e"))
+    return d.select("page_id", F.size("__e").cast("bigint").alias("n_tree_items"),
+                    F.size(F.filter(F.slice("__e", 1, first_n), lambda x: strip_ws(x) != "")).cast("bigint").alias("n_nonblank_head"))
 
 
 def element_survey(pages: DataFrame, tags: Sequence[str] = SURVEYED_TAGS) -> DataFrame:

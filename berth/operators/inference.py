@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from berth.functions.text import sql_identifier
 from berth.operators.columns import DATE_LIKE_PATTERN
+from berth.operators.sizing import join_small
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — the CSV reader's default missing-value tokens, the boolean
@@ -94,8 +95,8 @@ def typed_cells(cells: DataFrame, profile: DataFrame, lenient: bool = False) ->
     long_value, double_value, bool_value, ts_value, string_value``."""
     tcol = "lenient_type" if lenient else "inferred_type"
     types = profile.select("table_id", "col", F.col(tcol).alias("type"))
-    # One row per column: small next to the cells, joined on the column key.
-    d = cells.join(types, ["table_id", "col"])
+    # One row per column, broadcast once counted: the cells stay where they are.
+    d = join_small(cells, types, ["table_id", "col"])
     v = cleaned(F.col("value"))
     t = F.col("type")
     return d.select(

@@ -61,17 +61,11 @@ class CatalogIndex:
         return _maybe_broadcast(self.keys, 2 * self.n_rows)
 
 
-_INDEXES: dict[int, tuple[DataFrame, CatalogIndex]] = {}
-
-
 def catalog_index(cat: DataFrame) -> CatalogIndex:
-    """The index of ``cat``, computed once per catalogue object."""
-    hit = _INDEXES.get(id(cat))
-    if hit is not None and hit[0] is cat:
-        return hit[1]
-    ix = CatalogIndex(cat)
-    _INDEXES[id(cat)] = (cat, ix)
-    return ix
+    """The index of ``cat``, computed once and kept with the catalogue object."""
+    if "_berth_index" not in vars(cat):
+        cat._berth_index = CatalogIndex(cat)
+    return cat._berth_index
 
 
 def catalog_keys(cat: DataFrame) -> DataFrame:
@@ -106,20 +100,10 @@ def _prefix_key(b: Column, length: Column | int) -> Column:
                   F.substring(b, F.lit(1), length).cast("string"))
 
 
-def with_name_keys(files: DataFrame, lengths: list[int], name: str = "name",
-                   out: str = "__keys") -> DataFrame:
-    """Add array column ``out``: the candidate keys of each file name — the
-    normalised name without ``.csv`` (if it ends so) and its prefixes that are
-    followed by ``_``, taken only at the byte lengths catalogue keys have."""
-    d = files.withColumn("__b", _name_bytes(name))
-    b = F.col("__b")
-    cands = [_exact_key(b)] + [_prefix_key(b, l) for l in lengths]
-    return d.withColumn(out, F.array_compact(F.array(*cands))).drop("__b")
-
-
 def exploded_name_keys(files: DataFrame, lengths: list[int], name: str = "name") -> DataFrame:
-    """``file_id, key`` — one row per candidate key (see :func:`with_name_keys`):
-    a generator over the catalogue's key lengths, filtered in the same stage."""
+    """``file_id, key`` — one row per candidate key: the normalised name without
+    ``.csv`` and its prefixes followed by ``_``, at the byte lengths that catalogue
+    keys have; a generator over these lengths, filtered in the same stage."""
     d = files.select("file_id", _name_bytes(name).alias("__b"))
     g = d.select("file_id", "__b", F.explode(F.array(*[F.lit(l) for l in [-1] + lengths])).alias("__l"))
     b, l = F.col("__b"), F.col("__l")
@@ -146,8 +130,8 @@ def with_match_flag(cat: DataFrame, files: DataFrame, index: CatalogIndex | None
     """Add boolean ``out``: does the file match some title. While the key set
     is inlined this is an in-row test — an OR over the catalogue's key
     lengths of "``_`` at that byte and the prefix is one of the keys of that
-    length" (short-circuiting, no per-row array); otherwise a left join on
-    ``file_id``."""
+    length" (short-circuiting, no per-row array); otherwise a left join on the
+    name, which alone decides."""
     ix = index or catalog_index(cat)
     if ix.inline is not None:
         by_len: dict[int, list[str]] = {}
@@ -162,8 +146,9 @@ def with_match_flag(cat: DataFrame, files: DataFrame, index: CatalogIndex | None
         for t in terms:
             cond = cond | F.coalesce(t, F.lit(False))
         return d.withColumn(out, cond).drop("__b")
-    hit = title_matches(cat, files, ix).select("file_id").distinct().withColumn(out, F.lit(True))
-    return files.join(hit, "file_id", "left").fillna({out: False})
+    names = files.select("name", F.col("name").alias("file_id")).distinct()
+    hit = title_matches(cat, names, ix).select(F.col("file_id").alias("name")).distinct().withColumn(out, F.lit(True))
+    return files.join(hit, "name", "left").select(*files.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
 def extras(cat: DataFrame, files: DataFrame, index: CatalogIndex | None = None) -> DataFrame:
@@ -180,8 +165,9 @@ def missing_by_module(cat: DataFrame, files: DataFrame,
                       index: CatalogIndex | None = None) -> DataFrame:
     """``scope, module, n_expected, n_missing`` per module plus a total row
     (scope and module NULL); modules with nothing missing show 0."""
-    miss = missing(cat, files, index).select("idx", F.lit(1).alias("m"))
-    j = cat.join(F.broadcast(miss), "idx", "left")
+    ix = index or catalog_index(cat)
+    miss = missing(cat, files, ix).select("idx", F.lit(1).alias("m"))
+    j = cat.join(_maybe_broadcast(miss, ix.n_rows), "idx", "left")
     g = (j.rollup("scope", "module")
          .agg(F.count("*").alias("n_expected"),
               F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n_missing"),

@@ -9,16 +9,21 @@ their first file appears in the folder listing (sorted by lower-cased name).
 
 Destinations can still collide across groups (a group named ``x_v2`` meets
 member 2 of group ``x``). Collisions are resolved greedily in plan order: a
-taken destination gets the smallest free ``_vN`` (N ≥ 2). Every alternative
+taken destination gets the smallest free ``_vN`` (N >= 2). Every alternative
 stays in its *family* — the destination stem with one trailing ``_vN``
-removed — so families are independent. Families without a duplicate pass
-through untouched; only families that contain one are folded, each in one
-grouped pandas call over three small columns.
-
-Plan shape: the semantic mapping runs on distinct bases (see
-:func:`with_semantic_name_distinct`); grouping is a window partitioned by
-(folder, group key); duplicate detection is one aggregate on (folder,
-destination) — the only shuffles.
+removed — so families are independent.
+
+The rule needs groups, not files. In plan order a group is one single name
+(its first member) and one range of slots 2..n in the family of its own name,
+and a range that meets slots already taken takes the free ones in rising order:
+member ``k`` moves up by one for every taken slot at or below it. So a family
+is settled over one row per group (name, size, first position), only where
+several groups meet, and the outcome is a first name and a short list of slots
+to skip per group. Files get theirs by a join on the group and an expression
+on their rank; no file row is ever gathered by family.
+
+Plan shape: the semantic mapping runs on distinct bases; ranks come from range
+slices (:mod:`berth.operators.ranking`); groups are a partial aggregate.
 """
 
 from __future__ import annotations
@@ -26,18 +31,17 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from berth.functions.shorten import with_semantic_name
 from berth.functions.stems import TIMESTAMP_SUFFIX, stem, ts_to_int, with_parsed_stem
 from berth.functions.text import sql_identifier
 from berth.operators.ranking import rank_within
-from berth.operators.sizing import map_distinct
+from berth.operators.sizing import join_small, map_distinct
 
 CSV = ".csv"
 _VER_TAIL = r"(?i)_v\d+$"
-_VER_TAIL_RE = re.compile(r"_v\d+$", re.IGNORECASE)
 
 
 def _base_identifiers(files: DataFrame) -> DataFrame:
@@ -50,7 +54,7 @@ def _base_identifiers(files: DataFrame) -> DataFrame:
 
 
 def plan_targets(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
-    """``file_id, dir, name, gkey, rank, plan_first, dst`` before collision
+    """``file_id, dir, name, gkey, rank`` before collision
     resolution. ``files`` needs ``file_id, dir, name, mtime``."""
     d = _base_identifiers(files)
     gkey = F.col("base_sql") if drop_timestamp else F.when(
@@ -62,81 +66,68 @@ def plan_targets(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
     # skew-safe (a hot folder/group is split by its order keys).
     newest_first = [F.desc("ts_int"), F.desc_nulls_first("mtime"), F.asc("lname"), F.asc("name")]
     d = rank_within(d, ["dir", "gkey"], newest_first, "rank")
-    stem_final = F.when(F.col("rank") == 1, F.col("gkey")).otherwise(
-        F.concat("gkey", F.lit("_v"), F.col("rank").cast("string")))
-    if drop_timestamp:
-        # A timestamp can survive inside the base; the final stem drops it.
-        stem_final = F.regexp_replace(stem_final, TIMESTAMP_SUFFIX, "")
-    return d.select("file_id", "dir", "name", "gkey", "rank", stem_final.alias("dst_stem"))
-
-
-def group_firsts(planned: DataFrame) -> DataFrame:
-    """``dir, gkey, plan_first``: where each group first appears in the
-    folder listing (lower-cased name order) — a partial aggregate."""
-    return planned.groupBy("dir", "gkey").agg(
-        F.min(F.struct(F.lower("name").alias("lname"), F.col("name"))).alias("plan_first"))
-
-
-_FOLD_SCHEMA = "file_id long, dir string, name string, final_stem string"
-
-
-def _fold_partition(batches):
-    """Greedy collision resolution, family by family, over one partition
-    sorted by (folder, family, plan order). Families are contiguous; one may
-    span Arrow batches, so the state carries over."""
-    key = None
-    used: set[str] = set()
-    next_free: dict[str, int] = {}
-    for pdf in batches:
-        out = []
-        for d, fam, dst in zip(pdf["dir"].to_numpy(), pdf["family"].to_numpy(), pdf["dst_stem"].to_numpy()):
-            if (d, fam) != key:
-                key, used, next_free = (d, fam), set(), {}
-            if dst in used:
-                base = _VER_TAIL_RE.sub("", dst, count=1)
-                n = next_free.get(base, 2)
-                while f"{base}_v{n}" in used:
-                    n += 1
-                next_free[base] = n + 1
-                dst = f"{base}_v{n}"
-            used.add(dst)
-            out.append(dst)
-        yield pd.DataFrame({"file_id": pdf["file_id"], "dir": pdf["dir"], "name": pdf["name"],
-                            "final_stem": out})
-
-
-def resolve_collisions(planned: DataFrame) -> DataFrame:
-    """``file_id, dir, name, final_stem``: ``dst_stem`` made collision-free.
-
-    One hash partitioning on (folder, family) serves all three steps — the
-    duplicate count per destination (a destination determines its family),
-    the per-family flag — and the fold runs once per partition over the
-    flagged rows, re-partitioned by family and sorted in plan order (no
-    per-group call). A family is folded in one task: its rows are a few short
-    columns, and families without a duplicate skip the fold entirely.
-    """
-    p = planned.withColumn("family", F.regexp_replace("dst_stem", _VER_TAIL, ""))
-    p = p.repartition("dir", "family")  # see docstring: reused by both windows
-    same_dst = Window.partitionBy("dir", "family", "dst_stem")
-    same_family = Window.partitionBy("dir", "family")
-    p = p.withColumn("__dup", (F.count(F.lit(1)).over(same_dst) > 1).cast("int"))
-    p = p.withColumn("__fold", F.max("__dup").over(same_family) > 0)
-    clean = p.where(~F.col("__fold")).select("file_id", "dir", "name", F.col("dst_stem").alias("final_stem"))
-    todo = (p.where(F.col("__fold"))
-            .join(group_firsts(planned), ["dir", "gkey"])
-            .select("dir", "family", "file_id", "name", "dst_stem",
-                    F.col("plan_first.lname").alias("first_l"), F.col("plan_first.name").alias("first_n"),
-                    "rank")
-            # the join may re-partition by group; families must be whole
-            .repartition("dir", "family")
-            .sortWithinPartitions("dir", "family", "first_l", "first_n", "rank"))
-    folded = todo.mapInPandas(_fold_partition, _FOLD_SCHEMA)
-    return clean.unionByName(folded)
+    return d.select("file_id", "dir", "name", "gkey", "rank")
+
+
+_SETTLED = "dir string, gkey string, first_stem string, skips array<int>"
+
+
+def _settle(pieces: pd.DataFrame) -> pd.DataFrame:
+    """One family: its groups' single names and ranges, settled in plan order."""
+    pieces = pieces.sort_values(["first_l", "first_n", "kind"], kind="stable")
+    family = pieces["family"].iloc[0]
+    slot_of = re.compile(re.escape(family) + r"_v([1-9][0-9]*)")
+    names, slots, full, out = set(), set(), 1, []  # every slot from 2 to ``full`` is taken
+    for dir_, gkey, kind, want, n in zip(pieces["dir"], pieces["gkey"], pieces["kind"], pieces["want"], pieces["n"]):
+        if kind == 1:
+            skips = []
+            for i, slot in enumerate(sorted(s for s in slots if s > 1)):
+                if slot - i > n:
+                    break
+                skips.append(slot - i)
+            full = int(n) + len(skips)
+            out.append((dir_, gkey, None, skips))
+            continue
+        found = slot_of.fullmatch(want)
+        slot = int(found[1]) if found else None
+        if want in names or (slot is not None and 2 <= slot <= full):
+            slot = full + 1
+            while slot in slots:
+                slot += 1
+            want = f"{family}_v{slot}"
+        names.add(want)
+        if slot is not None:
+            slots.add(slot)
+        out.append((dir_, gkey, want, None))
+    return pd.DataFrame(out, columns=["dir", "gkey", "first_stem", "skips"])
+
+
+def resolve_collisions(planned: DataFrame, drop_timestamp: bool = False) -> DataFrame:
+    """``file_id, dir, name, final_stem`` of ``file_id, dir, name, gkey, rank``."""
+    # A timestamp can survive inside the base; the first member's stem drops it.
+    bare = F.regexp_replace("gkey", TIMESTAMP_SUFFIX, "") if drop_timestamp else F.col("gkey")
+    groups = planned.groupBy("dir", "gkey").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.lower("name").alias("l"), F.col("name").alias("n"))).alias("first"))
+    single = F.struct(F.lit(0).alias("kind"), F.regexp_replace(bare, _VER_TAIL, "").alias("family"), bare.alias("want"))
+    ranged = F.struct(F.lit(1).alias("kind"), F.col("gkey").alias("family"), F.lit(None).cast("string").alias("want"))
+    pieces = groups.select(
+        "dir", "gkey", "n", F.col("first.l").alias("first_l"), F.col("first.n").alias("first_n"),
+        F.explode(F.when(F.col("n") > 1, F.array(single, ranged)).otherwise(F.array(single))).alias("p"))
+    pieces = pieces.select("dir", "gkey", "n", "first_l", "first_n", "p.kind", "p.family", "p.want")
+    shared = (pieces.groupBy("dir", "family").agg(F.min("gkey").alias("__lo"), F.max("gkey").alias("__hi"))
+              .where("__lo <> __hi").select("dir", "family"))
+    settled = pieces.join(shared, ["dir", "family"]).groupBy("dir", "family").applyInPandas(_settle, _SETTLED)
+    settled = settled.groupBy("dir", "gkey").agg(F.max("first_stem").alias("first_stem"), F.max("skips").alias("skips"))
+    d = join_small(planned, settled, ["dir", "gkey"], "left")
+    ahead = F.coalesce(F.size(F.filter("skips", lambda s: s <= F.col("rank"))), F.lit(0))
+    stem_final = F.when(F.col("rank") == 1, F.coalesce("first_stem", bare)).otherwise(
+        F.concat("gkey", F.lit("_v"), (F.col("rank") + ahead).cast("string")))
+    return d.select("file_id", "dir", "name", stem_final.alias("final_stem"))
 
 
 def rename_plan(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
     """``file_id, dir, src, dst`` for every CSV file of every folder."""
-    r = resolve_collisions(plan_targets(files, drop_timestamp))
+    r = resolve_collisions(plan_targets(files, drop_timestamp), drop_timestamp)
     return r.select("file_id", "dir", F.col("name").alias("src"),
                     F.concat("final_stem", F.lit(CSV)).alias("dst"))
 

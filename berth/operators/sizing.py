@@ -6,10 +6,11 @@ bound known in advance. Two ways are used:
 * when the side is cheap to recompute (e.g. an aggregate of a checkpointed
   frame), it is counted up to ``max_rows`` first and broadcast only under
   that bound (:func:`join_small`);
-* otherwise the join is left to AQE, which measures the side's actual
-  shuffle output at run time and broadcasts it only under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` — else a sort-merge
-  join whose skewed partitions AQE splits (:func:`map_distinct`).
+* beyond that bound the join is left to AQE: a sort-merge join whose skewed
+  partitions it splits.
+
+:func:`map_distinct` counts the distinct values first, so the rows that carry
+them are not shuffled while those are few.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def map_distinct(df: DataFrame, src: str, mapper, key: str = "__map_key") -> Dat
     """Apply ``mapper`` (DataFrame → DataFrame adding columns, keyed by
     column ``key``) to the distinct values of ``src`` only — a partial
     aggregate before its shuffle — and join the new columns back NULL-safely
-    (AQE picks broadcast by measured size)."""
+    (broadcast if the distinct values were counted under the bound)."""
     keys = df.select(F.col(src).alias(key)).distinct()
     mapped = mapper(keys)
-    return df.join(mapped, df[src].eqNullSafe(mapped[key]), "left").drop(key)
+    side = F.broadcast(mapped) if fits(keys) else mapped
+    return df.join(side, df[src].eqNullSafe(mapped[key]), "left").drop(key)

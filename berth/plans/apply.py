@@ -8,30 +8,21 @@ temporary name derived from the run id and its own name, and only after all
 of them moved, each temporary file takes its destination — so a chain
 ``a → b, b → c`` never overwrites anything. Both steps are idempotent (a
 retried task skips what is already done). Paths go through ``pyarrow.fs``,
-so local, HDFS or object-store folders are handled alike.
+so local, HDFS or object-store folders are handled alike. Destinations were
+resolved in the plan against the complete listing; a file that takes one in the
+meantime stops the job, and nothing is overwritten.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.session import ensure_checkpoint_dir
-
-_VER_TAIL_RE = re.compile(r"_v\d+$", re.IGNORECASE)
-
-
-def _fs_and_path(uri: str):
-    from pyarrow import fs as pafs
-    if uri.startswith("file:"):
-        path = re.sub(r"^file:(//)?", "", uri)
-        return pafs.LocalFileSystem(), path if path.startswith("/") else "/" + path
-    return pafs.FileSystem.from_uri(uri)
-
+from berth.sources.files import file_system
 
 def _exists(fs, path: str) -> bool:
     from pyarrow import fs as pafs
@@ -45,7 +36,7 @@ def _tmp_name(run_id: str, src: str) -> str:
 def _phase1(run_id: str):
     def run(rows):
         for r in rows:
-            fs, d = _fs_and_path(r["dir"])
+            fs, d = file_system(r["dir"])
             src, tmp = f"{d}/{r['src']}", f"{d}/{_tmp_name(run_id, r['src'])}"
             if _exists(fs, src):
                 fs.move(src, tmp)
@@ -57,17 +48,13 @@ def _phase1(run_id: str):
 def _phase2(run_id: str):
     def run(rows):
         for r in rows:
-            fs, d = _fs_and_path(r["dir"])
+            fs, d = file_system(r["dir"])
             tmp = f"{d}/{_tmp_name(run_id, r['src'])}"
             if not _exists(fs, tmp):
                 continue  # done by an earlier attempt
             dst = f"{d}/{r['dst']}"
-            if _exists(fs, dst):  # taken by a file outside the plan
-                stem = r["dst"][:-4] if r["dst"].lower().endswith(".csv") else r["dst"]
-                base, n = _VER_TAIL_RE.sub("", stem), 2
-                while _exists(fs, f"{d}/{base}_v{n}.csv"):
-                    n += 1
-                dst = f"{d}/{base}_v{n}.csv"
+            if _exists(fs, dst):  # the plan saw every file, so this one came later
+                raise FileExistsError(dst)
             fs.move(tmp, dst)
     return run
 

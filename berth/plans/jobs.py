@@ -50,7 +50,7 @@ def standardize(spark: SparkSession, folder: str, drop_timestamp: bool = False,
 
 def load_folder(spark: SparkSession, folder: str, schema: str = "public", if_exists: str = "append",
                 sep: str = ",", encoding: str = "UTF-8", location: str | None = None,
-                jdbc_url: str | None = None) -> DataFrame:
+                jdbc_url: str | None = None, lenient: bool = False) -> DataFrame:
     """Load every CSV under ``folder`` (recursively); returns the manifest."""
     target = load.Target(schema=schema, location=location, jdbc_url=jdbc_url)
-    return load.load_directory(spark, folder, target, mode=if_exists, sep=sep, encoding=encoding)
+    return load.load_directory(spark, folder, target, mode=if_exists, sep=sep, encoding=encoding, lenient=lenient)

@@ -1,41 +1,53 @@
 """Load landing CSV files into tables.
 
 Each CSV file feeds the table named by the SQL identifier of its stem (or of
-its folder, ``table_from="dir"``). Files are grouped by table, and each
-table costs two passes over its files, whatever their number:
-
-1. an aggregate that, through grouping sets, yields both the per-column
-   value counts that pick each column's type (one partial row per task) and
-   the per-file row counts of the manifest;
-2. the typed write (``append`` | ``replace`` | ``fail``) to a catalogue
-   table, a folder of parquet files, or a JDBC table (batch 10,000).
-
-Headers are read as text and named by position (the reader's duplicate
-renaming, identifiers, ``_n`` numbering); a name that still repeats stops
-the load of that table. Only header lines and table names reach the driver.
+its folder, ``table_from="dir"``). Headers are read by the tasks, a few bytes a
+file, and files are grouped by (table, header). A table costs three passes over
+its files, whatever their number:
+
+1. one aggregate, a single row, that picks each column's type and finds a row
+   with more fields than its header;
+2. rows per file, kept as a frame for the manifest;
+3. the typed write (``append`` | ``replace`` | ``fail``) to a catalogue table, a
+   folder of parquet files, or a JDBC table (batch 10,000).
+
+Columns are named by position (the reader's duplicate renaming, identifiers,
+``_n`` numbering); a name that still repeats stops the load. Files of one table
+unite by name: the file that comes first gives the table's columns, a column
+that another file lacks is NULL there, and one that the table lacks stops the
+load, as does a row that is too wide. Quotes are doubled inside quoted fields
+and fields may hold line breaks; ``multiline=False`` lets Spark split files that
+hold none. The driver sees headers, types and the paths that a read needs.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.functions.stems import stem
 from berth.functions.text import sql_identifier
 from berth.operators import columns as C
 from berth.operators import inference as I
-from berth.sources.files import csv_files
+from berth.session import ensure_checkpoint_dir
+from berth.sources.files import FolderNotFound, csv_files, file_system
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 JDBC_BATCH = 10_000
 PARALLEL_TABLES = 8
 
 
+_EXTRA = "__extra"
+
+
 class LoadError(Exception):
     pass
 
@@ -56,6 +68,20 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema.replace('`', '``')}`")
 
 
+def ensure_database_schema(spark: SparkSession, target: Target) -> None:
+    """The same in the database behind ``target.jdbc_url`` (never run here: no database)."""
+    if target.schema:
+        manager = spark._jvm.java.sql.DriverManager
+        properties = spark._jvm.java.util.Properties()
+        for k, v in (target.jdbc_properties or {}).items():
+            properties.setProperty(k, str(v))
+        connection = manager.getConnection(target.jdbc_url, properties)
+        try:
+            connection.createStatement().execute('CREATE SCHEMA IF NOT EXISTS "' + target.schema.replace('"', '""') + '"')
+        finally:
+            connection.close()
+
+
 def file_tables(files: DataFrame, table_from: str = "stem") -> DataFrame:
     """``path, name, table`` for CSV files (``files`` from :func:`csv_files`)."""
     if table_from == "stem":
@@ -67,10 +93,31 @@ def file_tables(files: DataFrame, table_from: str = "stem") -> DataFrame:
     return files.select("path", "name", sql_identifier(source).alias("table"))
 
 
-def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    row = (spark.read.option("header", "false").option("sep", sep).option("encoding", encoding)
-           .csv(path).limit(1).collect())
-    return [c for c in row[0]] if row else []
+def _first_record(stream, sep: str, encoding: str) -> list[str]:
+    """The first CSV record of an open file; [] if it is empty."""
+    import csv
+    import io
+    data, size = b"", 1 << 16
+    while True:
+        part = stream.read(size)
+        data += part
+        text = data.decode("utf-8-sig" if encoding.upper().replace("_", "-") in ("UTF-8", "UTF-8-SIG", "UTF8") else encoding, "replace")
+        rows = list(zip(range(2), csv.reader(io.StringIO(text, newline=""), delimiter=sep)))
+        if not part or len(rows) > 1:
+            return rows[0][1] if rows else []
+        size *= 2
+
+
+def _headers(sep: str, encoding: str):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = []
+            for path in part.column("path").to_pylist():
+                fs, at = file_system(path)
+                with fs.open_input_stream(at) as stream:
+                    found.append(_first_record(stream, sep, encoding))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.string()))], [*part.schema.names, "header"])
+    return run
 
 
 def column_names(spark: SparkSession, table: str, raw: list[str | None]) -> list[str]:
@@ -87,24 +134,36 @@ def column_names(spark: SparkSession, table: str, raw: list[str | None]) -> list
 
 
 def read_table_files(spark: SparkSession, paths: list[str], names: list[str], sep: str,
-                     encoding: str) -> DataFrame:
-    schema = ", ".join(f"`{n}` STRING" for n in names)
+                     encoding: str, multiline: bool = True) -> DataFrame:
+    """Cells of files with one header as text, ``__file``, and ``__extra``: the first
+    field behind the header's last, NULL in a well-formed row."""
+    schema = ", ".join(f"`{n}` STRING" for n in [*names, _EXTRA])
+    literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
     return (spark.read.schema(schema).option("header", "true").option("sep", sep)
-            .option("encoding", encoding).option("mode", "PERMISSIVE").csv(paths)
-            .withColumn("__file", F.col("_metadata.file_path")))
+            .option("encoding", encoding).option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+            .option("multiLine", multiline).csv(literal)
+            .withColumn("__file", _listed_path(F.col("_metadata.file_path"))))
 
 
-def infer_and_count(raw: DataFrame, names: list[str]) -> tuple[dict[str, str], dict[str, int]]:
-    """Types of every column (lenient rules off) and rows per file, in one
-    aggregate pass with grouping sets ((file), ())."""
-    aggs = [F.count("*").alias("__rows")]
+def _listed_path(uri: Column) -> Column:
+    """A reader's URI-encoded path as the listing writes it."""
+    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
+def infer_types(raw: DataFrame, names: list[str], lenient: bool = False) -> dict[str, str]:
+    """Types of every column, in one aggregate row; raises on a row that is too wide."""
+    aggs = [F.count("*").alias("__rows"), F.max(F.when(F.col(_EXTRA).isNotNull(), F.col("__file"))).alias("__wide")]
     for i, n in enumerate(names):
         v = I.cleaned(F.col(f"`{n}`"))
         aggs += [F.count_if(v.isNull()).alias(f"n{i}"), F.count_if(I.as_long(v).isNotNull()).alias(f"i{i}"),
                  F.count_if(I.as_double(v).isNotNull()).alias(f"f{i}"),
                  F.count_if(I.as_boolean(v).isNotNull()).alias(f"b{i}")]
-    rows = raw.rollup("__file").agg(*aggs).collect()  # one row per file + total
-    total = next(r for r in rows if r["__file"] is None)
+        if lenient:
+            aggs.append(F.count_if(I.as_timestamp(v).isNotNull()).alias(f"d{i}"))
+    total = raw.agg(*aggs).first()
+    if total["__wide"] is not None:
+        raise LoadError(f"a row has more fields than the header: {total['__wide']}")
     types = {}
     for i, n in enumerate(names):
         nonnull = total["__rows"] - total[f"n{i}"]
@@ -114,15 +173,17 @@ def infer_and_count(raw: DataFrame, names: list[str]) -> tuple[dict[str, str], d
             types[n] = I.DOUBLE
         elif total[f"b{i}"] == nonnull:
             types[n] = I.BOOLEAN
+        elif lenient and re.search(C.DATE_LIKE_PATTERN, n) and total[f"d{i}"]:
+            types[n] = I.TIMESTAMP
+        elif lenient and total[f"f{i}"]:
+            types[n] = I.LONG if total[f"i{i}"] == total[f"f{i}"] else I.DOUBLE
         else:
             types[n] = I.STRING
-    # File metadata paths are URI-encoded; listings carry decoded paths.
-    per_file = {unquote(r["__file"]): r["__rows"] for r in rows if r["__file"] is not None}
-    return types, per_file
+    return types
 
 
 def typed(raw: DataFrame, types: dict[str, str]) -> DataFrame:
-    cast = {I.LONG: I.as_long, I.DOUBLE: I.as_double, I.BOOLEAN: I.as_boolean}
+    cast = {I.LONG: I.as_long, I.DOUBLE: I.as_double, I.BOOLEAN: I.as_boolean, I.TIMESTAMP: I.as_timestamp}
     out = []
     for n, t in types.items():
         v = I.cleaned(F.col(f"`{n}`"))
@@ -145,42 +206,80 @@ def write_table(df: DataFrame, table: str, mode: str, target: Target) -> None:
         writer.saveAsTable(f"`{target.schema}`.`{table}`" if target.schema else f"`{table}`")
 
 
-def load_directory(spark: SparkSession, folder: str, target: Target | None = None,
-                   mode: str = "append", sep: str = ",", encoding: str = "UTF-8",
-                   recursive: bool = True, table_from: str = "stem",
-                   parallel_tables: int = PARALLEL_TABLES) -> DataFrame:
-    """Load every CSV file under ``folder``; returns the manifest
-    ``path, table, n_rows`` (files in lower-cased name order)."""
-    target = target or Target()
+def load_files(files: DataFrame, target: Target | None = None, mode: str = "append", sep: str = ",",
+               encoding: str = "UTF-8", parallel_tables: int = PARALLEL_TABLES, lenient: bool = False,
+               multiline: bool = True) -> DataFrame:
+    """Load ``files(path, name, table)``; returns the manifest ``path, table,
+    n_rows`` (files in lower-cased name order)."""
+    spark, target = files.sparkSession, target or Target()
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}: {mode!r}")
-    if not target.location and not target.jdbc_url:
+    if target.jdbc_url:
+        ensure_database_schema(spark, target)
+    elif not target.location:
         ensure_schema(spark, target.schema)
-    ft = file_tables(csv_files(spark, folder, recursive), table_from)
-    # Table → its files: the listing is metadata Spark already holds on the driver.
-    groups: dict[str, list[str]] = {}
-    for r in ft.select("table", "path").collect():
-        groups.setdefault(r["table"], []).append(r["path"])
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-manifest-{uuid.uuid4().hex}"
+    schema = "path string, name string, table string, header array<string>"
+    files.select("path", "name", "table").mapInArrow(_headers(sep, encoding), schema).write.parquet(f"{scratch}/files")
+    told = spark.read.schema(schema).parquet(f"{scratch}/files")
+    bare = told.where(F.size("header") == 0).select("path").head()
+    if bare:
+        raise LoadError(f"no header: {bare[0]}")
+    groups: dict[str, list] = {}
+    first = F.min(F.struct(F.lower("name").alias("l"), F.col("path"))).alias("first")
+    for r in told.groupBy("table", "header").agg(first, F.sort_array(F.collect_list("path")).alias("paths")).collect():
+        groups.setdefault(r["table"], []).append(r)
     if mode == "fail":
-        shared = {t: p for t, p in groups.items() if len(p) > 1}
+        shared = sorted(t for t, g in groups.items() if sum(len(r["paths"]) for r in g) > 1)
         if shared:
             raise LoadError(f"several files map to one table: {shared}")
-    def load_one(item: tuple[str, list[str]]) -> list[tuple[str, str, int]]:
-        table, paths = item
-        names = column_names(spark, table, _header(spark, sorted(paths)[0], sep, encoding))
-        raw = read_table_files(spark, paths, names, sep, encoding)
-        types, per_file = infer_and_count(raw, names)
+
+    def load_one(item: tuple[str, list]) -> None:
+        table, own = item
+        raw = names = None
+        for r in sorted(own, key=lambda r: r["first"]):
+            found = column_names(spark, table, list(r["header"]))
+            names = names or found
+            if unknown := [c for c in found if c not in names]:
+                raise LoadError(f"table {table} has no column {unknown}: {r['paths'][0]}")
+            part = read_table_files(spark, r["paths"], found, sep, encoding, multiline)
+            raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
+        types = infer_types(raw, names, lenient)
+        raw.groupBy("__file").count().write.parquet(f"{scratch}/rows/{table}")
         write_table(typed(raw, types), table, mode, target)
-        return [(p, table, int(per_file.get(p, 0))) for p in paths]
 
     # Tables are independent: their jobs are submitted side by side (the
     # scheduler shares the cluster), so many small tables do not queue.
-    manifest: list[tuple[str, str, int]] = []
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
-        for rows in pool.map(load_one, sorted(groups.items())):
-            manifest += rows
-    rows = sorted(manifest, key=lambda r: (os.path.basename(r[0]).lower(), r[0]))
-    return spark.createDataFrame(rows, "path STRING, table STRING, n_rows BIGINT")
+        list(pool.map(load_one, sorted(groups.items())))
+    manifest = told.select("path", "name", "table")
+    if groups:
+        rows = spark.read.schema("__file string, count long").parquet(*(f"{scratch}/rows/{t}" for t in sorted(groups)))
+        manifest = manifest.join(rows, F.col("path") == F.col("__file"), "left")
+    else:
+        manifest = manifest.withColumn("count", F.lit(0))
+    return manifest.orderBy(F.lower("name"), "path").select(
+        "path", "table", F.coalesce("count", F.lit(0)).cast("bigint").alias("n_rows"))
+
+
+def load_directory(spark: SparkSession, folder: str, target: Target | None = None,
+                   mode: str = "append", sep: str = ",", encoding: str = "UTF-8",
+                   recursive: bool = True, table_from: str = "stem", **options) -> DataFrame:
+    """Load every CSV file under ``folder``; ``options`` as in :func:`load_files`."""
+    return load_files(file_tables(csv_files(spark, folder, recursive), table_from), target, mode, sep, encoding, **options)
+
+
+def load_csv(spark: SparkSession, path: str, table: str | None = None, target: Target | None = None,
+             mode: str = "append", **options) -> DataFrame:
+    """Load one CSV file into ``table`` (by default named after the file)."""
+    path = os.path.abspath(path) if "://" not in path and not path.startswith("file:") else path
+    fs, at = file_system(path)
+    if not fs.get_file_info(at).is_file:
+        raise FolderNotFound(path)
+    listed = path if "://" in path or path.startswith("file:") else "file:" + path
+    one = spark.createDataFrame([(listed, os.path.basename(at))], "path string, name string")
+    name = F.lit(table) if table else stem("name")
+    return load_files(one.withColumn("table", sql_identifier(name)), target, mode, **options)
 
 
 def table_columns(spark: SparkSession, table: str, target: Target) -> list[tuple[str, str]]:

@@ -194,8 +194,47 @@ def loaded_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table STRING, ordinal BIGINT, column_name STRING, type STRING")
 
 
-def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recursive file listing (binaryFile, no file body read) of the table
-    folder, counted by extension."""
-    from berth.sources.files import inventory
-    return counts.count_by_extension(inventory(spark, sf_dir))
+def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from berth.plans import load
+    manifest, _ = _load_events(spark, sf_dir)
+    return load.load_totals(manifest).select("n_rows")
+
+
+def expected_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected titles per scope beside the titles that the landing zone holds."""
+    found = reconcile.title_matches(catalog(spark), _files(spark, sf_dir)).select("idx").distinct().withColumn("held", F.lit(1))
+    rows = catalog(spark).join(F.broadcast(found), "idx", "left")  # at most one row a title
+    return rows.groupBy("scope").agg(F.count("*").alias("n_expected"), F.count("held").alias("n_held"))
+
+
+def module_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.discover_module_datasets(fixtures.portal_pages(spark, sf_dir), fixtures.MODULE_NAMES[0])
+
+
+def tree_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.tree_survey(fixtures.portal_pages(spark, sf_dir))
+
+
+def portal_keyword_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.keyword_survey(fixtures.portal_pages(spark, sf_dir))
+
+
+def portal_module_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.module_element(fixtures.portal_pages(spark, sf_dir), fixtures.MODULE_NAMES)
+
+
+def quoted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` landed as CSV text of our own (doubled quotes, line breaks inside
+    fields, two header orders, half-numeric, boolean and empty columns), loaded
+    leniently and read back."""
+    import uuid
+
+    from berth.plans import load
+    from berth.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-quoted-{uuid.uuid4().hex}"
+    fixtures.land_quoted(spark, sf_dir, f"{root}/landing")
+    target = load.Target(schema="landing", location=f"{root}/tables")
+    load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir", lenient=True)
+    loaded = spark.read.parquet(f"{root}/tables/landing/events")
+    return loaded.withColumn("fecha", F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))

@@ -77,7 +77,7 @@ def missing_report_lines(cat: DataFrame, files: DataFrame, stamp: str, target_di
     head = _fixed(spark, [(0, 0, MISSING_TITLE.format(stamp=stamp)),
                           (0, 1, MISSING_DIR.format(dir=target_dir)), (0, 2, rule)])
     per_module = (cat.select("idx", "scope", "module")
-                  .join(F.broadcast(miss.select("idx", F.lit(1).alias("m"))), "idx", "left")
+                  .join(reconcile._maybe_broadcast(miss.select("idx", F.lit(1).alias("m")), ix.n_rows), "idx", "left")
                   .groupBy("scope", "module")
                   .agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n")))
     sec = order[F.col("scope")]

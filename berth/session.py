@@ -3,7 +3,10 @@ checkpoint folder taken from the cluster's own configuration."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,11 +33,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """``spark.checkpoint.dir`` is unset on a cluster."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir``, as a cluster sets it);
-    only when it is unset — local tests — a fresh scratch folder is made.
+    Read from the session (``spark.checkpoint.dir``, as a cluster sets it).
+    Only a local master, as in tests, gets a scratch folder of its own when it
+    is unset; that folder is removed when the driver ends.
     """
     sc = spark.sparkContext
     current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
@@ -42,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise NoSharedFolder(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="berth-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set(CHECKPOINT_CONF, path)
     sc.setCheckpointDir(path)
     return path

@@ -124,3 +124,66 @@ def landing_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("file_id") + COPY_ID_OFFSET).alias("file_id"), "dir",
         F.concat(stem("name"), F.lit(" v2.csv")).alias("name"), "mtime", "length")
     return land.unionByName(copies)
+
+
+MODULE_NAMES = ("Módulo VBA- Estado - Aire", "Módulo VBA- Estado- Agua")
+
+
+def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, html`` — pages of the portal's shape made from ``pages``: a tree of
+    spans with the module titles (whole on even pages, one word of them on every
+    third, none on the others), nested items and ``a.ds`` links named after the page
+    and its url, one of them twice and one blank."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    i, url = F.col("page_id").cast("string"), F.col("url")
+    air = F.when(F.col("page_id") % 2 == 0, MODULE_NAMES[0]).when(F.col("page_id") % 3 == 0, "Calidad del Aire").otherwise("Otros")
+    water = F.when(F.col("page_id") % 4 == 0, MODULE_NAMES[1]).when(F.col("page_id") % 3 == 0, "Agua dulce").otherwise("")
+    link = lambda text: F.concat(F.lit('<li><a class="x ds" href="#">'), text, F.lit("</a></li>"))
+    html = F.concat(
+        F.lit('<html><body><span>Estadísticas de Medio Ambiente</span><ul class="treeview"><li class="t"><span>'), air, F.lit("</span><ul>"),
+        link(F.concat(F.lit("serie "), i)), F.lit('<li class="t sub"><span>Estado '), i, F.lit("</span><ul>"), link(url),
+        link(F.concat(F.lit("serie "), i)), F.lit("</ul></li>"), link(F.lit("  ")), link(F.concat(F.lit(" final "), i)),
+        F.lit('</ul></li><li class="t"><span> '), water, F.lit("</span><ul>"), link(F.concat(F.lit("agua "), i)),
+        F.lit("</ul></li>"), F.repeat(F.lit("<span>n</span>"), (F.col("page_id") % 20).cast("int")),
+        F.lit("</ul>"), F.repeat(F.lit("<span>pie</span>"), (F.col("page_id") % 20).cast("int")), F.lit("</body></html>"))
+    return p.select("page_id", html.alias("html"))
+
+
+def land_quoted(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """``events`` as CSV text under ``folder/events``, two header orders by parity."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = quote(F.concat(F.lit('say "'), F.col("event_type"), F.lit('",\nthen \\')))
+    half = F.when(F.col("event_id") % 3 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+    cells = {"event_id": F.col("event_id").cast("string"), "note": note, "half": half,
+             "flag": F.when(F.col("event_id") % 2 == 0, "True").otherwise("FALSE"), "none": F.lit("n/a"),
+             "fecha": F.date_format("ts", "yyyy-MM-dd"), "value": F.col("value").cast("string")}
+    orders = (list(cells), ["value", "note", "event_id", "fecha", "flag", "half"])
+    for parity, names in enumerate(orders):
+        rows = e.where((F.col("event_id") % 2 == parity)).select(F.concat_ws(",", *(F.coalesce(cells[n], F.lit("")) for n in names)).alias("line"))
+        # a file's first line is its header: every part file gets one
+        lines = rows.mapInArrow(_with_header(",".join(names)), "line string")
+        lines.write.mode("append").option("compression", "none").text(f"{folder}/text{parity}")
+    _as_csv(spark, folder)
+
+
+def _with_header(header: str):
+    import pyarrow as pa
+
+    def run(parts):
+        yield pa.RecordBatch.from_arrays([pa.array([header])], ["line"])
+        yield from parts
+    return run
+
+
+def _as_csv(spark: SparkSession, folder: str) -> None:
+    """Give the part files of ``folder/text*`` the names ``events/*.csv``."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    target = jvm.org.apache.hadoop.fs.Path(folder + "/events")
+    fs.mkdirs(target)
+    for source in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder + "/text*/part-*.txt")):
+        path = source.getPath()
+        name = path.getParent().getName() + "-" + path.getName().replace(".txt", ".csv")
+        fs.rename(path, jvm.org.apache.hadoop.fs.Path(target, name))

@@ -379,3 +379,54 @@ SELECT tbl, 2, 'ts', 'STRING' FROM t UNION ALL
 SELECT tbl, 3, 'user_id', 'LONG' FROM t UNION ALL
 SELECT tbl, 4, 'value', CASE WHEN nv = 0 THEN 'LONG' ELSE 'DOUBLE' END FROM t UNION ALL
 SELECT tbl, 5, 'props', 'STRING' FROM t"""
+
+
+def load_totals() -> str:
+    return "SELECT count(*) AS n_rows FROM events"
+
+
+def expected_by_scope() -> str:
+    return with_landing(pairs_cte(), "held AS (SELECT DISTINCT idx FROM pairs)") + (
+        "SELECT c.scope, count(*) AS n_expected, count(h.idx) AS n_held "
+        "FROM catalog c LEFT JOIN held h USING (idx) GROUP BY c.scope")
+
+
+# Pages of the portal's shape: what they hold follows from page_id and url alone.
+_AIR = ("CASE WHEN page_id % 2 = 0 THEN 'Módulo VBA- Estado - Aire' WHEN page_id % 3 = 0 THEN 'Calidad del Aire' ELSE 'Otros' END")
+_WATER = ("CASE WHEN page_id % 4 = 0 THEN 'Módulo VBA- Estado- Agua' WHEN page_id % 3 = 0 THEN 'Agua dulce' ELSE '' END")
+
+
+def module_datasets() -> str:
+    url = _trim_ws(_decode("url"))
+    return f"""SELECT page_id, CAST(1 AS BIGINT) AS ordinal, 'serie ' || CAST(page_id AS VARCHAR) AS text FROM pages WHERE page_id % 2 = 0
+UNION ALL SELECT page_id, 2, {url} FROM pages WHERE page_id % 2 = 0
+UNION ALL SELECT page_id, 3, 'final ' || CAST(page_id AS VARCHAR) FROM pages WHERE page_id % 2 = 0"""
+
+
+def tree_survey() -> str:
+    return f"""SELECT page_id, CAST(3 + page_id % 20 AS BIGINT) AS n_tree_items,
+       CAST(2 + CASE WHEN {_WATER} <> '' THEN 1 ELSE 0 END + least(12, page_id % 20) AS BIGINT) AS n_nonblank_head FROM pages"""
+
+
+def portal_keyword_survey() -> str:
+    return f"""SELECT page_id, CAST(4 + 2 * (page_id % 20) AS BIGINT) AS n_elements,
+       CAST(1 + CASE WHEN page_id % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN page_id % 4 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_keyword_hits,
+       CAST(3 + CASE WHEN {_WATER} <> '' THEN 1 ELSE 0 END + least(16, 2 * (page_id % 20)) AS BIGINT) AS n_nonblank_head,
+       CAST(1 AS BIGINT) AS n_section FROM pages"""
+
+
+def portal_module_element() -> str:
+    return f"""WITH p AS (SELECT page_id, {_AIR} AS air, {_WATER} AS water FROM pages)
+SELECT page_id, 'Módulo VBA- Estado - Aire' AS module,
+       CASE WHEN air <> 'Otros' THEN CAST(2 AS BIGINT) END AS ordinal, CASE WHEN air <> 'Otros' THEN air END AS text,
+       CASE WHEN page_id % 2 = 0 THEN 'exact' WHEN page_id % 3 = 0 THEN 'fallback' ELSE 'none' END AS how FROM p
+UNION ALL
+SELECT page_id, 'Módulo VBA- Estado- Agua', CASE WHEN water <> '' THEN CAST(4 AS BIGINT) END, CASE WHEN water <> '' THEN ' ' || water END,
+       CASE WHEN page_id % 4 = 0 THEN 'exact' WHEN page_id % 3 = 0 THEN 'fallback' ELSE 'none' END FROM p"""
+
+
+def quoted_load() -> str:
+    return """SELECT event_id, 'say "' || event_type || '",' || chr(10) || 'then ' || chr(92) AS note,
+       CASE WHEN event_id % 3 <> 0 THEN CAST(user_id AS BIGINT) END AS half,
+       event_id % 2 = 0 AS flag, CAST(NULL AS BIGINT) AS "none",
+       strftime(ts, '%Y-%m-%d') || ' 00:00:00' AS fecha, value FROM events"""

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from berth.functions.shorten import (MP25_DOT_PATTERN, MP25_DOT_REPLACEMENT, POLLUTANT_TOKENS,
-                                     SCOPE_SUFFIXES, SEMANTIC_RULES)
-from berth.functions.text import RESERVED_WORDS
-from berth.sources.catalog import catalog_rows
+from oracle.values import (MP25_DOT_PATTERN, MP25_DOT_REPLACEMENT, POLLUTANT_TOKENS, RESERVED_WORDS,
+                           SCOPE_SUFFIXES, SEMANTIC_RULES, catalog_rows)
 
 
 def q(s: str) -> str:

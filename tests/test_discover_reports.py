@@ -59,3 +59,14 @@ def test_run_summary_text(spark):
     assert lines[5:10] == ["Módulo: Módulo VBA- Estado - Aire", "Modo: AUTO-DESCUBRIMIENTO",
                            "Archivos descargados: 2", "", "  - b.csv"]
     assert lines[-2:] == ["TOTAL DE ARCHIVOS DESCARGADOS: 2", "=" * 60]
+
+
+def test_nested_items_and_every_container(spark):
+    from berth.operators import discover as D
+    html = ('<ul class="treeview"><li class="t"><span>Mod A</span><ul><li class="t sub"><span>s</span><ul><li><a class="ds">one</a></li></ul></li>'
+            '<li><a class="x ds">two</a></li></ul></li><li class="t"><span> </span><a class="ds">other</a></li></ul><span>out</span>'
+            '<nav><a>n1</a></nav><nav><a>n2</a><a>n1</a></nav>')
+    pages = spark.createDataFrame([(1, html), (2, "<p>none</p>"), (3, None)], "page_id long, html string")
+    assert [r["text"] for r in D.discover_module_datasets(pages, "Mod A").orderBy("ordinal").collect()] == ["one", "two"]
+    assert [r["text"] for r in D.discover_links(pages).orderBy("ordinal").collect()] == ["n1", "n2"]
+    assert {tuple(r) for r in D.tree_survey(pages.where("html is not null")).collect()} == {(1, 3, 2), (2, 0, 0)}

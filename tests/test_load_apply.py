@@ -94,3 +94,65 @@ def test_command_line_exit_codes(spark, scratch):
     assert main(["--standardize", "--dry-run", "--dir", d]) == 0
     assert main(["--loaddb", "--dir", d, "--location", os.path.join(scratch, "t")]) == 0
     assert os.listdir(os.path.join(scratch, "t", "public")) == ["temperatura_media"]  # stem identifier
+
+
+def test_listing_is_complete_and_literal(spark, scratch):
+    d = os.path.join(scratch, "in[b]ox {x}")
+    for n, text in [("Temperatura media.csv", ""), ("_u.csv", "a\n"), (".h", "x"), ("b.csv", "a\n1\n"), ("B.CSV", "a\n"),
+                    ("deep/x.csv/inner.csv", "a\n"), ("noext", ""), ("deep/er/+%20.csv", "a\n")]:
+        write(os.path.join(d, n), text)
+    every = {(r["name"], r["length"]) for r in inventory(spark, d).collect()}
+    assert every == {("Temperatura media.csv", 0), ("_u.csv", 2), (".h", 1), ("b.csv", 4), ("B.CSV", 2), ("inner.csv", 2),
+                     ("noext", 0), ("+%20.csv", 2)}
+    from berth.sources.files import csv_files
+    assert {r["name"] for r in csv_files(spark, d, recursive=False).collect()} == {"Temperatura media.csv", "_u.csv", "b.csv"}
+    row = next(r for r in inventory(spark, d).collect() if r["name"] == "b.csv")
+    assert row["dir"] == "file:" + d and row["path"] == f"file:{d}/b.csv" and row["mtime"] is not None
+    with pytest.raises(FolderNotFound):
+        inventory(spark, os.path.join(d, "b.csv"))
+    assert jobs.count_files(spark, os.path.join(d, "noext"))[0] == 3
+
+
+def test_quotes_newlines_and_header_orders(spark, scratch):
+    land = os.path.join(scratch, "land")
+    write(os.path.join(land, "t", "a.csv"), 'id,t\n1,"a ""b"" c"\n2,"line1\nline2"\n3,"c:\\dir\\"\n4,z\n')
+    write(os.path.join(land, "t", "b[1]+.csv"), 't,id\n"x,y",5\n')
+    write(os.path.join(land, "t", "c.csv"), "id\n6\n")
+    tgt = L.Target(schema="", location=os.path.join(scratch, "out"))
+    m = L.load_directory(spark, land, tgt, mode="replace", table_from="dir")
+    assert [(os.path.basename(r["path"]), r["table"], r["n_rows"]) for r in m.collect()] == [
+        ("a.csv", "t", 4), ("b[1]+.csv", "t", 1), ("c.csv", "t", 1)]
+    rows = spark.read.parquet(os.path.join(scratch, "out", "t")).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, 'a "b" c'), (2, "line1\nline2"), (3, "c:\\dir\\"), (4, "z"), (5, "x,y"), (6, None)]
+    assert L.load_totals(m).first()["n_rows"] == 6
+
+
+@pytest.mark.parametrize("bad", [{"w.csv": "a,b\n1,2\n4,5,6\n"}, {"w.csv": "x,y\n1,2\n", "z.csv": "y,x,z\n1,2,3\n"}, {"w.csv": ""}])
+def test_load_refuses_what_it_would_lose(spark, scratch, bad):
+    for n, text in bad.items():
+        write(os.path.join(scratch, "l", "t", n), text)
+    with pytest.raises(L.LoadError, match="csv"):
+        L.load_directory(spark, os.path.join(scratch, "l"), L.Target(location=os.path.join(scratch, "o")), table_from="dir")
+
+
+def test_single_file_lenient_and_catalogue_table(spark, scratch):
+    write(os.path.join(scratch, "x y.csv"), "fecha,half,none\n2024-01-02,1,n/a\nsoon,k,\n")
+    for mode, n in (("replace", 2), ("append", 4)):
+        m = L.load_csv(spark, os.path.join(scratch, "x y.csv"), "My Table", L.Target(schema="berth_t"), mode=mode, lenient=True)
+        assert [tuple(r)[1:] for r in m.collect()] == [("my_table", 2)]
+        assert spark.table("berth_t.my_table").count() == n
+    assert dict(L.table_columns(spark, "my_table", L.Target(schema="berth_t"))) == {"fecha": "TIMESTAMP", "half": "LONG", "none": "LONG"}
+    with pytest.raises(Exception):
+        L.load_csv(spark, os.path.join(scratch, "x y.csv"), "My Table", L.Target(schema="berth_t"), mode="fail")
+    with pytest.raises(FolderNotFound):
+        L.load_csv(spark, os.path.join(scratch, "nope.csv"))
+    spark.sql("DROP SCHEMA berth_t CASCADE")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from berth.session import NoSharedFolder, ensure_checkpoint_dir
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(NoSharedFolder):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d)))

@@ -54,25 +54,38 @@ def _sequential(entries):
     return out
 
 
-def test_collision_fold_matches_sequential_rule(spark):
+def test_collisions_on_groups_match_the_sequential_rule_on_files(spark):
     rng = random.Random(7)
     rows, expected = [], {}
     fid = 0
-    for fam in range(40):
+    for fam in range(60):
+        keys = [f"f{fam}{t}" for t in ("", "_v2", "_v3", "_V2", "_v02", "_v5", "_v2_v2", "_v9", "_v1")]
+        rng.shuffle(keys)
         entries = []
-        for k in range(rng.randint(1, 12)):
-            d = rng.choice([f"f{fam}", f"f{fam}_v2", f"f{fam}_v3", f"f{fam}_V2", f"f{fam}_v02", f"f{fam}_v5"])
-            entries.append((fid, d))
-            rows.append((fid, "dir", d, k))
-            fid += 1
+        for order, key in enumerate(keys[:rng.randint(1, 9)]):
+            for rank in range(1, rng.choice([1, 1, 2, 3, 12]) + 1):
+                entries.append((fid, key if rank == 1 else f"{key}_v{rank}"))
+                rows.append((fid, "dir", f"{fam:03d}-{order:03d}-{rank:03d}", key, rank))
+                fid += 1
         expected.update(_sequential(entries))
-    df = spark.createDataFrame(rows, "file_id long, dir string, dst_stem string, k int")
-    planned = df.select("file_id", "dir", F.lit("n").alias("name"), F.lit("g").alias("gkey"),
-                        F.col("k").alias("rank"), "dst_stem")
+    planned = spark.createDataFrame(rows, "file_id long, dir string, name string, gkey string, rank int")
     got = {r["file_id"]: r["final_stem"] for r in RN.resolve_collisions(planned).collect()}
     assert got == expected
 
 
+def test_a_hot_group_stays_spread(spark):
+    """One folder and stem with most files: no exchange gathers its rows in one partition."""
+    n = 60_000
+    files = spark.range(n).select(
+        F.col("id").alias("file_id"), F.lit("d").alias("dir"),
+        F.concat(F.lit("x_"), F.lpad(F.col("id").cast("string"), 8, "2"), F.lit("_000000.csv")).alias("name"),
+        F.lit(None).cast("timestamp").alias("mtime"))
+    plan_ = RN.rename_plan(files, True)
+    sizes = [r["count"] for r in plan_.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == n == plan_.select("dst").distinct().count()
+    assert len(sizes) > 1 and max(sizes) <= 2 * n / len(sizes)
+
+
 def test_registered_collision_query_gives_unique_destinations(spark):
     from tests.conftest import SF_SMALL
     p = Q.rename_collisions(spark, SF_SMALL)

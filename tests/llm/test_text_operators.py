@@ -283,8 +283,8 @@ def line_words(line: str) -> list[str]:
 
 
 def sim_hash(words: list[str]) -> int:
-    hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words]
-    return sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > len(words))
+    hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(words)]
+    return sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
 def distance(a: str, b: str) -> int:

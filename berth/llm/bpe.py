@@ -38,7 +38,7 @@ from berth.llm.common import stash
 #: Chunks average 2^CHUNK_BITS bytes; shorter cores than MIN_SHARED are not shared.
 CHUNK_BITS, MIN_SHARED = 10, 128
 #: Distinct words that a task remembers before it starts anew.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 800_000
 _WINDOW_STEPS = 5  # 2^5 = 32 bytes
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -66,12 +66,25 @@ class Memo(dict):
     def __init__(self, json_text: str):
         super().__init__()
         self.tokenizer = load(json_text)
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        self.folds = all(ids(w) == ids(w.lower()) and ids(w + m) == ids(w) + ids(m)
+                         for w in ("Word", "ÉTÉ", "ab's", "x1y") for m in (".", ",", "!?", ":;", "..."))
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > MEMO_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        out = self[word] = np.array(ids, np.uint32).tobytes()
+        # case and marks at the end don't matter where the tokenizer folds and splits them
+        # anyway, so one entry serves many forms of a word
+        stem = word.lower() if self.folds and b"<" not in word else word
+        bare = stem.rstrip(b".,;:!?") if self.folds else stem
+        if bare != stem and not (bare and bare.decode("utf-8")[-1].isalpha()):
+            bare = stem
+        if bare != word:
+            out = self[bare] + self[stem[len(bare):]] if bare != stem else self[stem]
+        else:
+            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            out = np.array(ids, np.uint32).tobytes()
+        self[word] = out
         return out
 
     def encode(self, text: bytes) -> bytes:
@@ -174,13 +187,13 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     with open(tokenizer_path, encoding="utf-8") as f:
         json_text = docs.sparkSession.sparkContext.broadcast(f.read())
     load(json_text.value)
-    # the key is never null, so that both joins read one and the same exchange
+    # a key that is never null, and the same columns: both joins read one and the same exchange
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("key"), F.col("text").cast("binary").alias("text"))
     refs = stash(rows.select("doc_id", "text").mapInArrow(_cores, "doc_id long, core binary").where("doc_id is not null"))
     owners = refs.groupBy("core").agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where("n > 1")
     owned = owners.groupBy(F.col("owner").alias("key")).agg(F.collect_list("core").alias("cores"))
-    once = (rows.join(owned, "key").select("text", "cores").mapInArrow(_owned(json_text), "core binary, ids binary")
+    once = (rows.join(owned, "key").select("doc_id", "text", "cores").mapInArrow(_owned(json_text), "core binary, ids binary")
             .groupBy("core").agg(F.first("ids").alias("ids")))
     shared = refs.join(once, "core").groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("core", "ids")).alias("shared"))
     return (rows.join(shared, "key", "left").select("doc_id", "text", "shared")

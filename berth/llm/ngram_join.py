@@ -4,7 +4,7 @@ Texts are sets of distinct k-word shingles; two link when
 ``100 * |A & B| >= percent * |A | B|``. The join is complete:
 
 1. **Profiles** (one pass over the texts): set size, a 128-bit fingerprint of
-   the set, a token bitmap about twice as wide as the set, and the *prefix*:
+   the set, a token bitmap about as wide as the set, and the *prefix*:
    the ``n - ceil(percent * n / 100) + 1`` rarest shingles under one global
    order. Linked sets share a prefix shingle whatever the order is; rare ones
    first keeps the groups of a shared shingle small. The order takes the
@@ -96,8 +96,9 @@ def hot_shingles(docs: DataFrame, k: int, limit: int = HOT_LIMIT) -> np.ndarray:
     return np.array([r.token for r in reversed(found)], np.int64).view(np.uint64)
 
 
-def _width(n: int) -> int:
-    return max(64, 1 << (2 * n - 1).bit_length())
+def _width(n: int, room: int = 1) -> int:
+    """Bits of a set's bitmap: a power of two, at least ``room`` a member."""
+    return max(64, 1 << (room * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
@@ -375,7 +376,7 @@ def _verified(k: int, percent: int):
             token, bounds = wordhash.shingles(raw, offsets, k)
             sets += [np.unique(token[bounds[x]:bounds[x + 1]]) for x in range(len(bounds) - 1)]
         size = np.array([len(s) for s in sets], np.int64)
-        bits = [_bitmap(s, _width(len(s))).tobytes() if len(s) else b"" for s in sets]
+        bits = [_bitmap(s, _width(len(s), 4)).tobytes() if len(s) else b"" for s in sets]
         maps, forest = Bitmaps(bits), Forest(len(docs))
         cuts = np.flatnonzero(np.diff(cand, prepend=cand[0] - 1))
         for a, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(cand)]):

@@ -172,7 +172,7 @@ def _with_header(header: str):
 
     def run(parts):
         yield pa.RecordBatch.from_arrays([pa.array([header])], ["line"])
-        yield from parts
+        yield from (pa.RecordBatch.from_arrays([part.column(0)], ["line"]) for part in parts)
     return run
 
 

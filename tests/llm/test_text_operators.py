@@ -288,12 +288,12 @@ def sim_hash(words: list[str]) -> int:
 
 
 def distance(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    x, at = np.array([ord(c) for c in b]), np.arange(len(b) + 1)
+    row = at.copy()
+    for i, c in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (x != ord(c)))])
+        row = np.minimum.accumulate(new - at) + at
+    return int(row[-1])
 
 
 def brute_lines(rows):

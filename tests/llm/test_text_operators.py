@@ -378,6 +378,12 @@ def test_whole_line_dedup_finds_all_lines_of_one_or_two_changed_words(spark):
     assert got == {i: t if i % 2 == 0 else "" for i, t in rows}
 
 
+def test_whole_line_dedup_folds_equal_lines_of_any_length(spark):
+    rows = [(1, "Les.\n\none two\n \t\nsame\tfive words by tabs"), (2, "les.\nONE  two\r\nonly here\n"), (3, "same five\x0bwords by tabs\n les.\none\ttwo three"), (None, "LES.")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()}
+    assert got == {None: "LES.", 1: "\none two\n \t\nsame\tfive words by tabs", 2: "only here\n", 3: "one\ttwo three"}
+
+
 # -- op8 ---------------------------------------------------------------------
 
 def test_statistics_equal_brute_force(docs, empty):

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.llm import (bpe, chat, ctw, gam, kdtree, line_dedup, mixing, ngram_join,
-                       quality_rules, suffix_dedup)
-from berth.llm.common import table
+                       periodic, quality_rules, suffix_dedup)
+from berth.llm.common import SPACE, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -79,6 +79,27 @@ def op10_context_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
 
 
+def repeated_tail(doc_id: Column, text: Column) -> Column:
+    """The contract's input of op11: a tenth of the texts, by crc32 of the id, repeat a
+    stretch of their words to the end; the others, and texts without words, stay."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def tail(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+    return F.when((h % 10 == 0) & text.rlike(f"[^{SPACE}]"), F.get(F.transform(F.array(words), tail), F.lit(0))).otherwise(text)
+
+
+def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.digests(periodic.find_runs(docs.select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))))
+
+
 #: name -> (query, DuckDB twin or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_reuse_bpe": (op1_chunk_reuse_bpe, None),
@@ -91,4 +112,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_decision_list_rules": (op8_decision_list_rules, None),
     "op9_kd_tree_top_k": (op9_kd_tree_top_k, kdtree.ORACLE_SQL),
     "op10_context_tree_score": (op10_context_tree_score, None),
+    "op11_maximal_pair_runs": (op11_maximal_pair_runs, None),
 }

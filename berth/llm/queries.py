@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from berth.llm import (bpe, chat, ctw, gam, kdtree, line_dedup, mixing, ngram_join,
+from berth.llm import (bpe, chat, ctw, filter_audit, gam, kdtree, line_dedup, mixing, ngram_join,
                        periodic, quality_rules, suffix_dedup)
 from berth.llm.common import SPACE, table
 
@@ -100,6 +100,12 @@ def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find_runs(docs.select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    facts, tables = filter_audit.failing_ids(docs, labels, filter_audit.text_rules(F.coalesce("text", F.lit(""))), copies="E")
+    return filter_audit.audit(facts, tables)
+
+
 #: name -> (query, DuckDB twin or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_reuse_bpe": (op1_chunk_reuse_bpe, None),
@@ -113,4 +119,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_kd_tree_top_k": (op9_kd_tree_top_k, kdtree.ORACLE_SQL),
     "op10_context_tree_score": (op10_context_tree_score, None),
     "op11_maximal_pair_runs": (op11_maximal_pair_runs, None),
+    "op13_filter_interaction_audit": (op13_filter_interaction_audit, filter_audit.ORACLE_SQL),
 }

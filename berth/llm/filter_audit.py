@@ -65,8 +65,9 @@ def failing_ids(docs: DataFrame, labels: DataFrame, rules: Mapping[str, Column],
     facts = stash(told.select("uid", "doc_id", "part").join(marks, "doc_id", "left")
                   .select("uid", "part", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic")))
     tables = {name: stash(told.where(f"fails_{name}").select("uid")) for name in rules}
-    first = (told.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-             .select("digest", "first"))
+    # written first: a join of two exchanges is one whose hot keys adaptive execution may split
+    first = stash(told.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+                  .select("digest", "first"))
     tables[copies] = stash(told.join(first, "digest").where("doc_id > first").select("uid"))
     return facts, tables
 

@@ -11,23 +11,25 @@ Texts are sets of distinct k-word shingles; two link when
    commonest shingles, counted over all texts, as last; only the first
    ``hot_limit`` of them are told apart, which bounds what is broadcast and
    touches speed only.
-2. **Signature trees**: equal sets fold into the smallest id, then documents meet
-   under the shingles of their prefixes; shingles with the same documents make
-   one group. The documents of a group bring their bitmaps and become a tree
-   whose nodes hold the OR of their bitmaps and ranges of set size and bit
-   count; a dual traversal drops node pairs whose largest possible overlap is
-   too small. What survives joins a union-find, and only its spanning edges
-   leave the task.
-3. **Verification**: the candidate components (few, tight) bring whole texts
-   together; components past ``block_words`` are split into blocks that meet
-   pairwise. Exact set intersections decide; again only spanning edges leave.
-4. Components of the verified edges, then members of equal sets.
+2. **Signature trees**: equal sets are one node (:mod:`berth.llm.similar`). Nodes meet
+   under the shingles of their prefixes; shingles with the same nodes make one
+   group. The nodes of a group bring their bitmaps. A few representatives are held
+   against all others first; what they leave becomes trees whose nodes hold the OR of
+   their bitmaps and ranges of set size and bit count. A dual traversal drops node
+   pairs whose largest possible overlap is too small, or that are connected already,
+   and feeds each batch of leaves to a union-find at once. Large groups are dealt into
+   parts; only spanning edges leave a task.
+3. **Verification**: the candidate components bring whole texts together, large ones in
+   blocks. Exact set intersections decide; again only spanning edges leave.
+4. Components of the verified edges, then the rows of each node.
 
 Defined cases: a null text is empty; a text without words has size 0 and links
 with nothing; fewer than k words make one shingle of the whole sequence;
 documents with equal sets of size > 0 link; a null doc_id links with nothing and
-has a null component; rows that repeat a doc_id are one node; an empty table
-gives an empty result; other columns are ignored.
+has a null component; rows that repeat a doc_id are one document with several sets,
+each of which links for itself, and count as connected (``one_per_component`` judges
+each row by its own set); an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,21 +42,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from berth.llm import wordhash
-from berth.llm.common import Forest, chunks, components, stash
+from berth.llm import similar, wordhash
+from berth.llm.common import Forest, chunks, stash
+from berth.llm.similar import bitmap, width
 
 #: Commonest shingles told apart in the global order (16 bytes each when broadcast).
 HOT_LIMIT = 200_000
 #: Shingles counted at least so often are worth ordering.
 HOT_COUNT = 32
-#: Prefix entries gathered by one signature-tree task.
-BUCKET_ENTRIES = 1_500_000
-#: Rows of sharing groups, with their bitmaps, that one task tests.
-PACK_ROWS = 100_000
-#: Bytes of text that one verification task holds.
-BLOCK_BYTES = 12_000_000
-#: Groups up to this size are one leaf: their pairs are tested together, without a tree.
-LEAF_GROUP = 48
+#: Members that are held against all others before trees are built.
+REPRESENTATIVES = 3
 _FAN = 8
 
 
@@ -69,10 +66,12 @@ def _counted(k: int):
             c = np.diff(np.append(at, len(t)))
             t, c = t[at[c > 1]], c[c > 1]
             token, count = np.concatenate([token, t]), np.concatenate([count, c])
+            if not len(token):
+                return token, count
             order = np.argsort(token, kind="stable")
             token, count = token[order], count[order]
             at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            return token[at], np.add.reduceat(count, at) if len(at) else count
+            return token[at], np.add.reduceat(count, at)
 
         for part in parts:
             for _, raw, offsets in wordhash.batches(part.column("text")):
@@ -96,18 +95,7 @@ def hot_shingles(docs: DataFrame, k: int, limit: int = HOT_LIMIT) -> np.ndarray:
     return np.array([r.token for r in reversed(found)], np.int64).view(np.uint64)
 
 
-def _width(n: int, room: int = 1) -> int:
-    """Bits of a set's bitmap: a power of two, at least ``room`` a member."""
-    return max(64, 1 << (room * n - 1).bit_length())
-
-
-def _bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
-    on = np.zeros(width, np.uint8)
-    on[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(on, bitorder="little")
-
-
-_PROFILE = ("doc_id long, n long, f1 long, f2 long, bits binary, prefix binary")
+_PROFILE = "uid long, doc_id long, mark long, n long, f1 long, f2 long, bits binary, prefix binary"
 
 
 def _profiled(k: int, percent: int, hot):
@@ -118,17 +106,17 @@ def _profiled(k: int, percent: int, hot):
         maybe = np.zeros(1 << 22, bool)
         maybe[(late & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         for part in parts:
-            ids = part.column("doc_id")
             for at, raw, offsets in wordhash.batches(part.column("text")):
                 token, bounds = wordhash.shingles(raw, offsets, k)
                 size, f1, f2, bits, prefix = [], [], [], [], []
                 for i in range(len(bounds) - 1):
                     s = np.unique(token[bounds[i]:bounds[i + 1]])
                     n = len(s)
+                    one, two = similar.fingerprint(s)
                     size.append(n)
-                    f1.append(int(s.sum(dtype=np.uint64).view(np.int64)) if n else 0)
-                    f2.append(int(wordhash.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) if n else 0)
-                    bits.append(_bitmap(s, _width(n)).tobytes() if n else b"")
+                    f1.append(one)
+                    f2.append(two)
+                    bits.append(bitmap(s, width(n)).tobytes() if n else b"")
                     need = n - (percent * n + 99) // 100 + 1 if n else 0
                     common = np.flatnonzero(maybe[(s & np.uint64((1 << 22) - 1)).astype(np.int64)])
                     if len(common):
@@ -140,16 +128,15 @@ def _profiled(k: int, percent: int, hot):
                             rest = np.concatenate([rest, s[common][np.argsort(order[j], kind="stable")]])
                         s = rest
                     prefix.append(s[:need].tobytes())
-                rows = [ids.slice(at, len(size)), pa.array(size, pa.int64()), pa.array(f1, pa.int64()),
-                        pa.array(f2, pa.int64()), pa.array(bits, pa.binary()), pa.array(prefix, pa.binary())]
-                yield pa.RecordBatch.from_arrays(rows, ["doc_id", "n", "f1", "f2", "bits", "prefix"])
+                rows = [*(part.column(c).slice(at, len(size)) for c in ("uid", "doc_id", "mark")), pa.array(size, pa.int64()),
+                        pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(bits, pa.binary()), pa.array(prefix, pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, ["uid", "doc_id", "mark", "n", "f1", "f2", "bits", "prefix"])
     return run
 
 
 def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, k))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return docs.mapInArrow(_profiled(k, percent, hot), _PROFILE)
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs.select(F.col("text").cast("binary").alias("text")), k))
+    return similar.numbered(docs).mapInArrow(_profiled(k, percent, hot), _PROFILE)
 
 
 # -- signature trees ---------------------------------------------------------
@@ -179,21 +166,35 @@ def _possible(one, two, i, j, percent) -> np.ndarray:
     return ok
 
 
-def dual_traversal(one: list, two: list | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of sets of two trees (of one tree, if ``two`` is None) that may link."""
+def _uniform(label: np.ndarray) -> list[np.ndarray]:
+    """For each tree level: the label that all sets below a node have, or -1."""
+    out = [label]
+    while len(out[-1]) > 1:
+        at = np.arange(0, len(out[-1]), _FAN)
+        low, high = np.minimum.reduceat(out[-1], at), np.maximum.reduceat(out[-1], at)
+        out.append(np.where(low == high, low, -1))
+    return out
+
+
+def dual_traversal(one: list, two: list | None, percent: int, labels: tuple | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of pairs of sets of two trees (of one tree, if ``two`` is None) that may link.
+    ``labels`` (of both trees, by level) drops node pairs that are connected already."""
     same, two = two is None, two or one
     top = max(len(one), len(two)) - 1
-    found: list[tuple[np.ndarray, np.ndarray]] = []
     todo = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while todo:
         level, i, j = todo.pop()
         a, b = min(level, len(one) - 1), min(level, len(two) - 1)
+        if labels is not None:
+            left, right = labels[0][a][i], labels[1][b][j]
+            apart = (left != right) | (left < 0)
+            i, j = i[apart], j[apart]
         ok = _possible(one[a], two[b], i, j, percent)
         i, j = i[ok], j[ok]
         if not len(i):
             continue
         if level == 0:
-            found.append((i, j))
+            yield i, j
             continue
         down_a, down_b = min(level - 1, len(one) - 1), min(level - 1, len(two) - 1)
         step_a, step_b = (_FAN if down_a < a else 1), (_FAN if down_b < b else 1)
@@ -204,9 +205,6 @@ def dual_traversal(one: list, two: list | None, percent: int) -> tuple[np.ndarra
             if same:
                 keep &= (x <= y) if level > 1 else (x < y)
             todo.append((level - 1, x[keep], y[keep]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 class Bitmaps:
@@ -246,210 +244,80 @@ def pairs_possible(x: np.ndarray, y: np.ndarray, size: np.ndarray, maps: Bitmaps
     return ok
 
 
-def _tree_pairs(members: np.ndarray, size: np.ndarray, maps: Bitmaps, percent: int):
-    """Pairs of ``members`` (indices) that may link; bitmaps of one width make a tree,
-    and the trees of neighbouring widths meet after folding the wider one. Linked sets
-    differ less than twofold in size, so their widths are equal or neighbours."""
-    width = maps.width[members]
-    for w in np.unique(width).tolist():
-        at = members[width == w]
-        at = at[np.argsort(size[at], kind="stable")]
-        tree = _levels(maps.at(at, w), size[at])
-        if len(at) > 1:
-            i, j = dual_traversal(tree, None, percent)
-            yield at[i], at[j]
-        wide = members[width == 2 * w]
-        wide = wide[percent * size[wide] <= 100 * size[at].max()]
-        if len(wide):
-            wide = wide[np.argsort(size[wide], kind="stable")]
-            i, j = dual_traversal(tree, _levels(maps.at(wide, w), size[wide]), percent)
-            yield at[i], wide[j]
+class Trees(similar.Comparer):
+    """Which nodes may link, by their bitmaps."""
 
+    def __init__(self, rows: pd.DataFrame, percent: int):
+        self.percent = percent
+        self.size = rows["n"].to_numpy(np.int64)
+        self.maps = Bitmaps([bytes(b) for b in rows["bits"]])
 
-# -- candidates --------------------------------------------------------------
+    def test(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return pairs_possible(x, y, self.size, self.maps, self.percent)
 
-_ENTRIES = "bucket int, token binary, doc binary, n binary"
+    def inside(self, members: np.ndarray, forest: Forest) -> None:
+        self.across(members, members, forest)
 
-
-def _entries(buckets: int):
-    """Prefixes to (bucket of shingles, packed shingle, document, set size)."""
-    def flush(rows: list):
-        if not rows:
+    def across(self, one: np.ndarray, two: np.ndarray, forest: Forest) -> None:
+        """Representatives first, then trees for each bitmap width: those of one width, and of
+        neighbouring widths after folding the wider one. Linked sets differ less than twofold
+        in size, so their widths are equal or neighbours."""
+        same = one is two
+        for x in np.unique(two[np.linspace(0, len(two) - 1, REPRESENTATIVES).astype(int)]).tolist() if len(two) else []:
+            far = one[[forest.find(i) != forest.find(x) for i in one.tolist()]]
+            near = far[self.test(far, np.full(len(far), x))]
+            forest.join_all(near, np.full(len(near), x))
+        for w in np.unique(self.maps.width[one]).tolist():
+            here = self._tree(one, w, w, forest)
+            if same:
+                self._meet(here, None, forest)
+            else:
+                self._meet(here, self._tree(two, w, w, forest), forest)
+                self._meet(here, self._tree(two, w // 2, w // 2, forest), forest, fold=True)
+            self._meet(here, self._tree(two, 2 * w, w, forest), forest)
+
+    def _tree(self, members: np.ndarray, own: int, shown: int, forest: Forest):
+        at = members[self.maps.width[members] == own]
+        if not len(at):
+            return None
+        at = at[np.argsort(self.size[at], kind="stable")]
+        label = np.array([forest.find(i) for i in at.tolist()], np.int64)
+        return at, _levels(self.maps.at(at, shown), self.size[at]), _uniform(label)
+
+    def _meet(self, one, two, forest: Forest, fold: bool = False) -> None:
+        if one is None or (two is None and len(one[0]) < 2):
             return
-        prefix = [np.frombuffer(r[2], np.uint64) for r in rows]
-        times = [len(p) for p in prefix]
-        token = np.concatenate(prefix)
-        doc, size = np.repeat(np.array([r[0] for r in rows], np.int64), times), np.repeat(np.array([r[1] for r in rows], np.int32), times)
-        bucket = (wordhash.mix(token) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        token, doc, size, bucket = token[order], doc[order], size[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        ends = [*cuts[1:].tolist(), len(bucket)]
-        for s in chunks(len(cuts), 256):
-            spans = list(zip(cuts[s].tolist(), ends[s]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts[s]], pa.int32()), *(pa.array([x[a:e].tobytes() for a, e in spans], pa.binary()) for x in (token, doc, size))],
-                ["bucket", "token", "doc", "n"])
+        if fold:
+            if two is None:
+                return
+            at = one[0]
+            one = (at, _levels(self.maps.at(at, two[1][0][0].shape[1]), self.size[at]), one[2])
+        (a, tree, label), (b, other, others) = one, two or one
+        for i, j in dual_traversal(tree, None if two is None else other, self.percent, (label, others)):
+            forest.join_all(a[i], b[j])
+            label[0][:] = [forest.find(x) for x in a.tolist()]  # seen by the next batch of leaves
+            others[0][:] = [forest.find(x) for x in b.tolist()]
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list = []
-        held = 0
-        for part in parts:
-            found = list(zip(*(part.column(c).to_pylist() for c in ("doc_id", "n", "prefix"))))
-            rows += found
-            held += sum(len(r[2]) for r in found)
-            if held > 16_000_000:
-                yield from flush(rows)
-                rows, held = [], 0
-        yield from flush(rows)
-    return run
 
-
-def _sharing(percent: int):
-    """One bucket's groups of documents that share a shingle: (gid, doc_id). Shingles
-    with the same documents make one group; its id depends on them alone."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        token = np.frombuffer(b"".join(group["token"]), np.uint64)
-        doc, size = np.frombuffer(b"".join(group["doc"]), np.int64), np.frombuffer(b"".join(group["n"]), np.int32).astype(np.int64)
-        order = np.lexsort((doc, token))
-        token, doc, size = token[order], doc[order], size[order]
-        once = np.ones(len(token), bool)
-        once[1:] = (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])
-        token, doc, size = token[once], doc[once], size[once]
-        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        count = np.diff(np.append(at, len(token)))
-        gid = np.add.reduceat(wordhash.mix(doc.astype(np.uint64)), at)
-        many = count > 1
-        many[many] = percent * np.maximum.reduceat(size, at)[many] <= 100 * np.minimum.reduceat(size, at)[many] * np.where(count[many] > 2, 10**6, 1)
-        _, first = np.unique(gid[many], return_index=True)
-        at, count, gid = at[many][first], count[many][first], gid[many][first]
-        take = np.repeat(at - np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64), count) + np.arange(int(count.sum()))
-        return pd.DataFrame({"gid": np.repeat(gid, count).view(np.int64), "doc_id": doc[take]})
-    return run
+def candidates(nodes: similar.Nodes, percent: int) -> DataFrame:
+    """Spanning edges between nodes that their signature trees can't tell apart."""
+    groups = similar.sharing_groups(nodes.heads, "prefix", percent)
+    return similar.linked(groups, nodes.heads.select("uid", "n", "bits"), lambda rows: Trees(rows, percent), similar.PACK_ROWS)
 
 
-def _candidates(percent: int):
-    """Spanning edges between the documents of sharing groups that their signature trees
-    can't tell apart."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs, first, owner = np.unique(rows["doc_id"].to_numpy(np.int64), return_index=True, return_inverse=True)
-        size, bits = rows["n"].to_numpy(np.int64)[first], [bytes(rows["bits"].iat[i]) for i in first.tolist()]
-        gid = rows["gid"].to_numpy(np.int64)
-        order = np.lexsort((owner, gid))
-        gid, owner = gid[order], owner[order]
-        once = np.ones(len(gid), bool)
-        once[1:] = (gid[1:] != gid[:-1]) | (owner[1:] != owner[:-1])
-        gid, owner = gid[once], owner[once]
-        at = np.flatnonzero(np.concatenate([[True], gid[1:] != gid[:-1]]))
-        count = np.diff(np.append(at, len(gid)))
-        maps, forest = Bitmaps(bits), Forest(len(docs))
-        pairs = []
-        for m in np.unique(count[count <= LEAF_GROUP]).tolist():
-            i, j = np.triu_indices(m, 1)
-            for s in chunks(len(some := at[count == m]), max(1, 4_000_000 // max(1, len(i)))):
-                x, y = owner[some[s, None] + i].ravel(), owner[some[s, None] + j].ravel()
-                ok = (percent * size[x] <= 100 * size[y]) & (percent * size[y] <= 100 * size[x])
-                pairs.append(np.unique(x[ok] * len(docs) + y[ok]))
-        if pairs:
-            x, y = np.divmod(np.unique(np.concatenate(pairs)), len(docs))
-            ok = pairs_possible(x, y, size, maps, percent)
-            forest.join_all(x[ok], y[ok])
-        for a, n in zip(at[count > LEAF_GROUP].tolist(), count[count > LEAF_GROUP].tolist()):
-            for i, j in _tree_pairs(owner[a:a + n], size, maps, percent):
-                forest.join_all(i, j)
-        root = np.array([forest.find(i) for i in range(len(docs))], np.int64)
-        moved = np.flatnonzero(root != np.arange(len(docs)))
-        return pd.DataFrame({"a": docs[moved], "b": docs[root[moved]]})
-    return run
-
-
-# -- verification ------------------------------------------------------------
-
-def _verified(k: int, percent: int):
-    """Exact links inside each candidate component of the group, as spanning edges."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["cand", "doc_id"], kind="stable")
-        docs, cand = group["doc_id"].to_numpy(np.int64), group["cand"].to_numpy(np.int64)
-        part, i_block, j_block = (group[c].to_numpy(np.int64) for c in ("part", "i", "j"))
-        sets: list[np.ndarray] = []
-        for _, raw, offsets in wordhash.batches(pa.array(group["text"], pa.binary())):
-            token, bounds = wordhash.shingles(raw, offsets, k)
-            sets += [np.unique(token[bounds[x]:bounds[x + 1]]) for x in range(len(bounds) - 1)]
-        size = np.array([len(s) for s in sets], np.int64)
-        bits = [_bitmap(s, _width(len(s), 4)).tobytes() if len(s) else b"" for s in sets]
-        maps, forest = Bitmaps(bits), Forest(len(docs))
-        cuts = np.flatnonzero(np.diff(cand, prepend=cand[0] - 1))
-        for a, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(cand)]):
-            for x in range(a + 1, e):
-                if docs[x] == docs[x - 1]:
-                    forest.join(x, x - 1)
-            members = np.arange(a, e)
-            cross = i_block[a] != j_block[a]
-            for i, j in _tree_pairs(members[size[a:e] > 0], size, maps, percent):
-                for x, y in zip(i.tolist(), j.tolist()):
-                    if (cross and part[x] == part[y]) or forest.find(x) == forest.find(y):
-                        continue
-                    small, large = (sets[x], sets[y]) if size[x] <= size[y] else (sets[y], sets[x])
-                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    both = int((large[at] == small).sum())
-                    if 100 * both >= percent * (len(small) + len(large) - both):
-                        forest.join(x, y)
-        root = np.array([forest.find(x) for x in range(len(docs))], np.int64)
-        moved = np.flatnonzero(docs[root] != docs)
-        return pd.DataFrame({"a": docs[moved], "b": docs[root[moved]]})
-    return run
+def _links(docs: DataFrame, k: int, percent: int) -> tuple[similar.Nodes, DataFrame]:
+    nodes = similar.Nodes(stash(profiles(docs, k, percent)), ("bits", "prefix"))
+    return nodes, similar.exact_links(docs, nodes, candidates(nodes, percent), k, percent)
 
 
 def one_per_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, one row for
-    each; rows without doc_id stay."""
-    told = stash(jaccard_components(docs, k, percent).where("doc_id is not null"))
-    losers = told.where("component_id <> doc_id").select(F.col("doc_id").alias("__loser")).distinct()
-    kept = docs.join(losers, docs["doc_id"] == F.col("__loser"), "left_anti")
-    if not told.groupBy("doc_id").count().where("count > 1").head(1):
-        return kept
-    return kept.where(docs["doc_id"].isNull()).unionByName(kept.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"]))
+    """The rows of ``docs`` that stay when one of each group of linked sets does; texts without
+    words and rows without doc_id stay."""
+    nodes, links = _links(docs, k, percent)
+    return similar.first_of_each(docs, nodes, links)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    told = stash(profiles(docs, k, percent))
-    real = told.where("n > 0 and doc_id is not null")
-    equal = stash(real.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("head")))
-    # one document stands for all equal sets
-    heads = stash(real.join(equal.select(F.col("head").alias("doc_id"), "n", "f1", "f2"), ["doc_id", "n", "f1", "f2"])
-                  .select("doc_id", "n", "bits", "prefix").dropDuplicates(["doc_id", "n"]))
-    entries = heads.agg(F.sum(F.octet_length("prefix")) / 8).first()[0] or 0
-    buckets = max(1, -(-int(entries) // BUCKET_ENTRIES))
-    groups = stash(heads.select("doc_id", "n", "prefix").mapInArrow(_entries(buckets), _ENTRIES)
-                   .groupBy("bucket").applyInPandas(_sharing(percent), "gid long, doc_id long"))
-    packs = max(1, -(-groups.count() // PACK_ROWS))
-    near = (groups.join(heads.select("doc_id", "n", "bits"), "doc_id")
-            .groupBy(F.pmod(F.xxhash64("gid"), F.lit(packs)).alias("pack")).applyInPandas(_candidates(percent), "a long, b long"))
-    linked = components(near)
-    tops = linked.select(F.col("component").alias("id"), "component").distinct()
-    member = stash(linked.unionByName(tops))
-    # how much text each candidate component holds decides on blocks
-    sized = stash(docs.where("doc_id is not null")
-                  .join(member.select(F.col("id").alias("doc_id"), F.col("component").alias("cand")), "doc_id"))
-    total = sized.groupBy("cand").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    blocks = F.ceil(F.col("bytes") / F.lit(BLOCK_BYTES)).cast("int")
-    groups = max(1, -(-int(total.agg(F.sum("bytes")).first()[0] or 0) // BLOCK_BYTES))
-    placed = (sized.join(total.select("cand", blocks.alias("blocks")), "cand")
-              .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.greatest("blocks", F.lit(1))).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
-              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-              .withColumn("task", F.when(F.col("blocks") > 1, F.xxhash64("cand", "i", "j"))
-                          .otherwise(F.pmod(F.xxhash64("cand"), F.lit(groups)))))
-    sure = placed.groupBy("task", "i", "j").applyInPandas(_verified(k, percent), "a long, b long")
-    # rows that repeat a doc_id are one node, and so are the sets that they hold
-    again = real.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    again = real.join(again, "doc_id").join(equal, ["n", "f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    final = components(sure.unionByName(again))
-    top = equal.join(final, F.col("head") == F.col("id"), "left").select(
-        "n", "f1", "f2", F.coalesce("component", "head").alias("top"))
-    return (told.join(top, ["n", "f1", "f2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id")).alias("component_id")))
+    nodes, links = _links(docs, k, percent)
+    return similar.document_components(nodes, links)

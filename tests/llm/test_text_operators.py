@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from berth.llm import bpe, chat, ctw, gam, line_dedup, mixing, ngram_join, quality_rules, queries, suffix_dedup, wordhash
+from berth.llm import bpe, chat, ctw, gam, line_dedup, mixing, ngram_join, quality_rules, queries, similar, suffix_dedup, wordhash
 
 SCHEMA = "doc_id long, text string, source string, n_words string, key int, token string, size int, score string"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -165,10 +165,10 @@ def test_jaccard_components_equal_brute_force(spark, docs, empty):
 
 def test_dense_groups_blocks_and_trees(spark, monkeypatch):
     """Near copies at all similarities, with trees, buckets and blocks made tiny."""
-    monkeypatch.setattr(ngram_join, "LEAF_GROUP", 3)
-    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 6000)
-    monkeypatch.setattr(ngram_join, "PACK_ROWS", 500)
-    monkeypatch.setattr(ngram_join, "BUCKET_ENTRIES", 400)
+    monkeypatch.setattr(similar, "SMALL_GROUP", 3)
+    monkeypatch.setattr(similar, "BLOCK_BYTES", 6000)
+    monkeypatch.setattr(similar, "PACK_ROWS", 500)
+    monkeypatch.setattr(similar, "BUCKET_ENTRIES", 400)
     rng = random.Random(3)
     base = [f"w{rng.randrange(10**6)}" for _ in range(90)]
     rows = []
@@ -182,6 +182,46 @@ def test_dense_groups_blocks_and_trees(spark, monkeypatch):
     assert len({c for _, _, c in got}) > 3
 
 
+@pytest.mark.parametrize("heavy", [1, 30])
+def test_large_groups_are_dealt_into_parts(spark, monkeypatch, heavy):
+    """Groups beyond one task's rows and bytes: parts, representatives, and the rest against all."""
+    for name, value in (("SMALL_GROUP", 3), ("BLOCK_BYTES", 4000), ("PACK_ROWS", 12), ("HEAVY_ENTRIES", heavy), ("PIVOTS", 2)):
+        monkeypatch.setattr(similar, name, value)
+    rng = random.Random(heavy)
+    rows = []
+    for family in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        for i in range(40):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                own[rng.randrange(80)] = f"n{rng.randrange(10**6)}"
+            rows.append((100 * family + i, " ".join(own)))
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()), key=str)
+    assert got == brute_components(rows, 3, 90)
+
+
+def test_tables_without_a_repeated_shingle(spark):
+    rows = [(1, "a b c d"), (2, "e f g h")] + [(i, " ".join(f"{i}x{j}" for j in range(i))) for i in range(3, 40)]
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()), key=str)
+    assert got == brute_components(rows, 3, 90)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    rows, clean = [], 0
+    for i in range(30):
+        one, two = [word() for _ in range(40)], [word() for _ in range(40 + i % 2)]
+        near = list(two)
+        near[-1] = word()
+        rows += [(i, " ".join(one)), (i, " ".join(two)), (i + 100, " ".join(near))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in ngram_join.jaccard_components(docs, 3, 90).collect()), key=str)
+    assert got == brute_components(rows, 3, 90)
+    kept = Counter(tuple(r) for r in ngram_join.one_per_component(docs, 3, 90).collect())
+    assert kept == Counter(r for r in rows if r[0] < 100)  # both texts of an id, and no near copy of one
+
+
 def test_one_per_component_keeps_columns(docs):
     kept = ngram_join.one_per_component(docs, 3, 90)
     assert kept.columns == docs.columns

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.llm import (bpe, chat, ctw, filter_audit, gam, kdtree, line_dedup, mixing, ngram_join,
-                       periodic, quality_rules, suffix_dedup)
+                       periodic, quality_rules, suffix_dedup, super_minhash)
 from berth.llm.common import SPACE, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -100,6 +100,10 @@ def op11_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find_runs(docs.select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))))
 
 
+def op12_super_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_minhash.near_duplicates(table(spark, sf_dir, "documents"), k=5, percent=85)
+
+
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     facts, tables = filter_audit.failing_ids(docs, labels, filter_audit.text_rules(F.coalesce("text", F.lit(""))), copies="E")
@@ -119,5 +123,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_kd_tree_top_k": (op9_kd_tree_top_k, kdtree.ORACLE_SQL),
     "op10_context_tree_score": (op10_context_tree_score, None),
     "op11_maximal_pair_runs": (op11_maximal_pair_runs, None),
+    "op12_super_minhash_dedup": (op12_super_minhash_dedup, None),
     "op13_filter_interaction_audit": (op13_filter_interaction_audit, filter_audit.ORACLE_SQL),
 }

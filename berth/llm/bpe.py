@@ -8,11 +8,13 @@ fingerprint (16 bytes each are shuffled, counted map-side), encoded once, in the
 document that owns them, and their ids travel to the documents that share them;
 all other cores are encoded where they stand, each distinct word once a task.
 
-Joints are repaired by re-encoding: from the last white space before a cut to
-the first white space behind it (across several cuts if a chunk has none) the
-text is encoded anew. At white space the encodings of both sides agree exactly,
-since the tokenizer drops white space and splits there before it merges; this is
-checked when the tokenizer is loaded, and one without that property is refused.
+Joints are repaired by re-encoding until exact agreement: from the last white space
+before a cut to the first white space behind it (across several cuts if a chunk has
+none) the text is encoded anew. Where the repaired joint meets a core, the word on
+either side is encoded once more, together with the other; if that does not give the
+ids of the two, the joint grows over the core and on to the next place, until both
+sides agree. (Tokenizers whose encodings white space does not separate at all are
+refused when they are loaded.)
 
 Defined cases: null text is empty and has no ids; special tokens' strings in a
 text become the special ids, as the tokenizer does; a null doc_id encodes on its
@@ -37,8 +39,11 @@ from berth.llm.common import stash
 
 #: Chunks average 2^CHUNK_BITS bytes; shorter cores than MIN_SHARED are not shared.
 CHUNK_BITS, MIN_SHARED = 10, 128
-#: Distinct words that a task remembers before it starts anew.
-MEMO_WORDS = 800_000
+#: Bytes of words and ids that a task remembers: two generations of half of it, so that
+#: words in use outlive those seen once.
+MEMO_BYTES = 24_000_000
+#: Documents that leave a task together.
+ROWS = 512
 _WINDOW_STEPS = 5  # 2^5 = 32 bytes
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -66,24 +71,35 @@ class Memo(dict):
     def __init__(self, json_text: str):
         super().__init__()
         self.tokenizer = load(json_text)
-        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        self.folds = all(ids(w) == ids(w.lower()) and ids(w + m) == ids(w) + ids(m)
-                         for w in ("Word", "ÉTÉ", "ab's", "x1y") for m in (".", ",", "!?", ":;", "..."))
+        self.folds = all(self.encoded(w) == self.encoded(w.lower()) and self.encoded(w + m) == self.encoded(w) + self.encoded(m)
+                         for w in (b"Word", b"ab's", b"x1y") for m in (b".", b",", b"!?", b":;", b"..."))
+        self.older: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def encoded(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, np.uint32).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > MEMO_WORDS:
+        out = self.older.get(word)
+        if out is None:
+            # the case of ASCII words, and marks behind an ASCII letter, don't matter where the
+            # tokenizer folds and splits them anyway, so one entry serves many forms of a word;
+            # other letters may be normalised together with what follows them
+            form = word.lower() if self.folds and word.isascii() and b"<" not in word else word
+            bare = form.rstrip(b".,;:!?") if self.folds and b"<" not in word else form
+            if not bare[-1:].isalpha():
+                bare = form
+            if bare != form:
+                out = self[bare] + self[form[len(bare):]]
+            elif form != word:
+                out = self[form]
+            else:
+                out = self.encoded(word)
+        if self.size > MEMO_BYTES // 2:
+            self.older = dict(self)
             self.clear()
-        # case and marks at the end don't matter where the tokenizer folds and splits them
-        # anyway, so one entry serves many forms of a word
-        stem = word.lower() if self.folds and b"<" not in word else word
-        bare = stem.rstrip(b".,;:!?") if self.folds else stem
-        if bare != stem and not (bare and bare.decode("utf-8")[-1].isalpha()):
-            bare = stem
-        if bare != word:
-            out = self[bare] + self[stem[len(bare):]] if bare != stem else self[stem]
-        else:
-            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-            out = np.array(ids, np.uint32).tobytes()
+            self.size = 0
+        self.size += len(word) + len(out) + 150
         self[word] = out
         return out
 
@@ -164,6 +180,121 @@ def _owned(json_text):
     return run
 
 
+def _agree(memo: Memo, one: bytes, two: bytes) -> bool:
+    """Whether the encodings of two neighbouring pieces meet exactly: the last word of the
+    first and the first word of the second, encoded together, give the ids of both."""
+    left, right = one.split()[-1:], two.split()[:1]
+    if not left or not right:
+        return True
+    return memo.encoded(left[0] + b" " + right[0]) == memo[left[0]] + memo[right[0]]
+
+
+def repaired(memo: Memo, text: bytes, cuts: list[int], known: dict[bytes, bytes]) -> bytes:
+    """The ids of a text: ``known`` ids for shared cores, everything else encoded here, joints
+    grown until they agree with what they meet."""
+    out: list[tuple[bytes, bytes]] = []  # (piece, ids)
+    for core, piece in pieces(text, cuts):
+        ids = (known.get(xxhash.xxh3_128_digest(piece)) if core else None) or memo.encode(piece)
+        while out and not _agree(memo, out[-1][0], piece):
+            before, _ = out.pop()
+            piece = before + piece
+            ids = memo.encoded(piece)
+        out.append((piece, ids))
+    return b"".join(ids for _, ids in out)
+
+
+def _assembled(json_text):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = None
+        for part in parts:
+            memo = memo or Memo(json_text.value)
+            for s in range(0, part.num_rows, ROWS):
+                some = part.slice(s, ROWS)
+                shared, out = some.column("shared"), []
+                for row, text, cuts in _documents(some.column("text")):
+                    known = {e["core"]: e["ids"] for e in shared[row].as_py() or ()}
+                    out.append(repaired(memo, text, cuts, known) if known else memo.encode(text))
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
+    return run
+
+
+def encode(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split()))
+
+
+def cut_points(raw: np.ndarray) -> np.ndarray:
+    """Places (exclusive ends) where the rolling hash cuts, moved to character starts."""
+    h = _GEAR[raw]
+    for s in range(_WINDOW_STEPS):
+        step = 1 << s
+        if len(h) > step:
+            h[step:] += h[:-step] << np.uint32(step)  # right side is read before it is written
+    cuts = np.flatnonzero(h >> np.uint32(32 - CHUNK_BITS) == 0) + 1
+    cuts = cuts[cuts < len(raw)]
+    while len(move := np.flatnonzero((raw[cuts] & 0xC0) == 0x80)):
+        cuts[move] += 1
+        cuts = cuts[cuts < len(raw)]
+    return np.unique(cuts)
+
+
+def pieces(text: bytes, cuts: list[int]) -> Iterator[tuple[bool, bytes]]:
+    """(is a core, bytes) in order: cores of chunks, and the joints between them."""
+    loose, at = b"", 0
+    for end in [*cuts, len(text)]:
+        chunk, at = text[at:end], end
+        first = _SPACE.search(chunk)
+        if first is None:
+            loose += chunk
+            continue
+        i = first.start()
+        j = max(chunk.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) + 1
+        if loose or i:
+            yield False, loose + chunk[:i]
+        yield True, chunk[i:j]
+        loose = chunk[j:]
+    if loose:
+        yield False, loose
+
+
+def _documents(column: pa.Array) -> Iterator[tuple[int, bytes, list[int]]]:
+    """(row, text, cuts) of a binary column; the hash runs over batches, and cuts that
+    depend on bytes of the text before are left out."""
+    for at, raw, offsets in wordhash.batches(column):
+        ends = offsets.tolist()
+        data = raw.tobytes()
+        for i in range(len(ends) - 1):
+            text = data[ends[i]:ends[i + 1]]
+            yield at + i, text, cut_points(raw[ends[i]:ends[i + 1]]).tolist() if len(text) > MIN_SHARED else []
+
+
+def _cores(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        ids = part.column("doc_id").to_pylist()
+        docs, prints = [], []
+        for row, text, cuts in _documents(part.column("text")):
+            own = {xxhash.xxh3_128_digest(p) for core, p in pieces(text, cuts) if core and len(p) >= MIN_SHARED}
+            docs += [ids[row]] * len(own)
+            prints += own
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.binary())], ["doc_id", "core"])
+
+
+def _owned(json_text):
+    """Owners' texts and the cores to encode there -> (core, ids)."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = None
+        for part in parts:
+            memo = memo or Memo(json_text.value)
+            wanted, found, seen = part.column("cores"), [], set()
+            for row, text, cuts in _documents(part.column("text")):
+                want = set(wanted[row].as_py())
+                for core, p in pieces(text, cuts):
+                    if core and len(p) >= MIN_SHARED and (key := xxhash.xxh3_128_digest(p)) in want and key not in seen:
+                        seen.add(key)
+                        found.append((key, memo.encode(p)))
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["core", "ids"])
+    return run
+
+
 def _assembled(json_text):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = None
@@ -182,8 +313,8 @@ def _assembled(json_text):
     return run
 
 
-def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """``(doc_id, ids)`` per row of ``docs(doc_id, text)``; ids are little-endian uint32."""
+def _joined(docs: DataFrame, tokenizer_path: str):
+    """(rows with the ids of their shared cores, the tokenizer's text broadcast)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         json_text = docs.sparkSession.sparkContext.broadcast(f.read())
     load(json_text.value)
@@ -196,8 +327,13 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     once = (rows.join(owned, "key").select("doc_id", "text", "cores").mapInArrow(_owned(json_text), "core binary, ids binary")
             .groupBy("core").agg(F.first("ids").alias("ids")))
     shared = refs.join(once, "core").groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("core", "ids")).alias("shared"))
-    return (rows.join(shared, "key", "left").select("doc_id", "text", "shared")
-            .mapInArrow(_assembled(json_text), "doc_id long, ids binary"))
+    return rows.join(shared, "key", "left").select("doc_id", "text", "shared"), json_text
+
+
+def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``(doc_id, ids)`` per row of ``docs(doc_id, text)``; ids are little-endian uint32."""
+    joined, json_text = _joined(docs, tokenizer_path)
+    return joined.mapInArrow(_assembled(json_text), "doc_id long, ids binary")
 
 
 def token_strings(json_text: str) -> list[str]:
@@ -238,10 +374,10 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     return encoded.mapInArrow(_decoded(json_text, False), "doc_id long, n_tokens long, decoded string")
 
 
-def digests(encoded: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encode``'s rows, decoded alike;
-    and their ``ids``, if asked for."""
-    with open(tokenizer_path, encoding="utf-8") as f:
-        json_text = encoded.sparkSession.sparkContext.broadcast(f.read())
+def digests(docs: DataFrame, tokenizer_path: str, keep_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` per row of ``docs(doc_id, text)``: encoded
+    and decoded in one pass; and the ``ids``, if asked for."""
+    joined, json_text = _joined(docs, tokenizer_path)
+    encoded, decoded = _assembled(json_text), _decoded(json_text, True, keep_ids)
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return encoded.mapInArrow(_decoded(json_text, True, keep_ids), kind)
+    return joined.mapInArrow(lambda parts: decoded(encoded(parts)), kind)

@@ -27,8 +27,7 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def op1_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op2_additive_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

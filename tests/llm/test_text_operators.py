@@ -89,11 +89,42 @@ def test_bpe_equals_the_library(docs, empty):
         ids = own.encode(t or "", add_special_tokens=False).ids
         want.append((i, len(ids), sha(" ".join(map(str, ids)).encode()), sha(own.decode(ids, skip_special_tokens=False).encode())))
     encoded = bpe.encode(docs, path)
-    got = [tuple(r) for r in bpe.digests(encoded, path).collect()]
+    got = [tuple(r) for r in bpe.digests(docs, path).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert {r.doc_id: r.decoded for r in bpe.decode(encoded, path).collect()}[21] == own.decode(
         own.encode(ROWS[21][1], add_special_tokens=False).ids, skip_special_tokens=False)
-    assert bpe.digests(bpe.encode(empty, path), path).count() == 0
+    assert bpe.digests(empty, path).count() == 0
+
+
+ALPHABETS = ("abcXYZ", "İIiıŞğé", "J\u030cH\u0331T\u0308w\u030aʾ", "ΑΒΣσςάΐ", "ЖжЙй\u0306", "漢字かなガｶﾞ", "אבגש\u05c1", "अआक\u094d", "ǅǈﬁﬀſK", "0127½²",
+             ".,;:!?", "'’\"<>|", " \t\n\u00a0\u2003\x85", "\u0301\u0307\u0323", "\U0001F600\U0001F468\u200d")
+
+
+def random_text(rng) -> str:
+    own = rng.sample(ALPHABETS, rng.randint(1, 4)) + [".,!", "ab "]
+    return "".join(rng.choice(rng.choice(own)) for _ in range(rng.randint(1, 12)))
+
+
+def test_words_encode_as_the_library_does(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 400_000)
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        memo = bpe.Memo(f.read())
+    rng = random.Random(12)
+    texts = ["bİ!", "J\u030c!", "H\u0331.", "'S!", "it's,", "<|endoftext|>!", "A<|startoftext|>b."] + [random_text(rng) for _ in range(20_000)]
+    for text in texts:
+        want = memo.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(memo.encode(text.encode()), np.uint32).tolist() == want, text
+
+
+def test_joints_grow_until_both_sides_agree(monkeypatch):
+    """A tokenizer that joins words over white space: its joints swallow the pieces around them."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        memo = bpe.Memo(f.read())
+    plain = memo.encoded
+    joining = lambda t: plain(b" ".join(t.split()).replace(b"new york", b"newyork"))
+    monkeypatch.setattr(memo, "encoded", joining, raising=False)
+    monkeypatch.setattr(bpe, "pieces", lambda text, cuts: iter([(True, b"in old new "), (False, b"york"), (True, b" city halls")]))
+    assert bpe.repaired(memo, b"", [], {}) == joining(b"in old new york city halls")
 
 
 def test_chunks_are_shared_and_joints_repaired():

@@ -41,7 +41,7 @@ from berth.llm.common import stash
 CHUNK_BITS, MIN_SHARED = 10, 128
 #: Bytes of words and ids that a task remembers: two generations of half of it, so that
 #: words in use outlive those seen once.
-MEMO_BYTES = 24_000_000
+MEMO_BYTES = 64_000_000
 #: Documents that leave a task together.
 ROWS = 512
 _WINDOW_STEPS = 5  # 2^5 = 32 bytes
@@ -66,18 +66,20 @@ def load(json_text: str):
 
 
 class Memo(dict):
-    """Word (bytes without white space) to its ids as little-endian uint32 bytes."""
+    """Word (bytes without white space) to its ids as little-endian bytes, two an id where
+    the vocabulary allows."""
 
     def __init__(self, json_text: str):
         super().__init__()
         self.tokenizer = load(json_text)
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.folds = all(self.encoded(w) == self.encoded(w.lower()) and self.encoded(w + m) == self.encoded(w) + self.encoded(m)
                          for w in (b"Word", b"ab's", b"x1y") for m in (b".", b",", b"!?", b":;", b"..."))
         self.older: dict[bytes, bytes] = {}
         self.size = 0
 
     def encoded(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, np.uint32).tobytes()
+        return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, self.kind).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         out = self.older.get(word)
@@ -106,6 +108,10 @@ class Memo(dict):
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
+    def wide(self, ids: bytes) -> bytes:
+        """The ids as little-endian uint32."""
+        return np.frombuffer(ids, self.kind).astype(np.uint32).tobytes()
+
 
 def cut_points(raw: np.ndarray) -> np.ndarray:
     """Places (exclusive ends) where the rolling hash cuts, moved to character starts."""
@@ -180,25 +186,32 @@ def _owned(json_text):
     return run
 
 
-def _agree(memo: Memo, one: bytes, two: bytes) -> bool:
-    """Whether the encodings of two neighbouring pieces meet exactly: the last word of the
-    first and the first word of the second, encoded together, give the ids of both."""
-    left, right = one.split()[-1:], two.split()[:1]
+def _agree(memo: Memo, *pieces: bytes) -> bool:
+    """Whether the encodings of neighbouring pieces meet exactly: the last word of the first,
+    whatever is between, and the first word of the last give the same ids together as alone."""
+    left, right = pieces[0].rsplit(None, 1)[-1:], pieces[-1].split(None, 1)[:1]
     if not left or not right:
         return True
-    return memo.encoded(left[0] + b" " + right[0]) == memo[left[0]] + memo[right[0]]
+    words = [*left, *pieces[1:-1], *right]
+    return memo.encoded(b" ".join(words)) == b"".join(map(memo.encode, words))
 
 
 def repaired(memo: Memo, text: bytes, cuts: list[int], known: dict[bytes, bytes]) -> bytes:
     """The ids of a text: ``known`` ids for shared cores, everything else encoded here, joints
     grown until they agree with what they meet."""
+    parts = list(pieces(text, cuts))
+    fine = [False] * (len(parts) + 1)  # does the part agree with the one before it
+    for i in range(1, len(parts) - 1):
+        if not parts[i][0] and _agree(memo, parts[i - 1][1], parts[i][1], parts[i + 1][1]):
+            fine[i] = fine[i + 1] = True
     out: list[tuple[bytes, bytes]] = []  # (piece, ids)
-    for core, piece in pieces(text, cuts):
+    for i, (core, piece) in enumerate(parts):
         ids = (known.get(xxhash.xxh3_128_digest(piece)) if core else None) or memo.encode(piece)
-        while out and not _agree(memo, out[-1][0], piece):
+        while out and not (fine[i] or _agree(memo, out[-1][0], piece)):
             before, _ = out.pop()
             piece = before + piece
             ids = memo.encoded(piece)
+            fine[i] = False
         out.append((piece, ids))
     return b"".join(ids for _, ids in out)
 
@@ -213,7 +226,7 @@ def _assembled(json_text):
                 shared, out = some.column("shared"), []
                 for row, text, cuts in _documents(some.column("text")):
                     known = {e["core"]: e["ids"] for e in shared[row].as_py() or ()}
-                    out.append(repaired(memo, text, cuts, known) if known else memo.encode(text))
+                    out.append(memo.wide(repaired(memo, text, cuts, known) if known else memo.encode(text)))
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
     return run
 
@@ -326,6 +339,7 @@ def _joined(docs: DataFrame, tokenizer_path: str):
     owned = owners.groupBy(F.col("owner").alias("key")).agg(F.collect_list("core").alias("cores"))
     once = (rows.join(owned, "key").select("doc_id", "text", "cores").mapInArrow(_owned(json_text), "core binary, ids binary")
             .groupBy("core").agg(F.first("ids").alias("ids")))
+    once = stash(once)  # a join of two exchanges is one whose hot keys adaptive execution may split
     shared = refs.join(once, "core").groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("core", "ids")).alias("shared"))
     return rows.join(shared, "key", "left").select("doc_id", "text", "shared"), json_text
 

@@ -113,7 +113,7 @@ def test_words_encode_as_the_library_does(monkeypatch):
     texts = ["bİ!", "J\u030c!", "H\u0331.", "'S!", "it's,", "<|endoftext|>!", "A<|startoftext|>b."] + [random_text(rng) for _ in range(20_000)]
     for text in texts:
         want = memo.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(memo.encode(text.encode()), np.uint32).tolist() == want, text
+        assert np.frombuffer(memo.wide(memo.encode(text.encode())), np.uint32).tolist() == want, text
 
 
 def test_joints_grow_until_both_sides_agree(monkeypatch):

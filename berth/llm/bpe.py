@@ -231,101 +231,6 @@ def _assembled(json_text):
     return run
 
 
-def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
-
-
-def cut_points(raw: np.ndarray) -> np.ndarray:
-    """Places (exclusive ends) where the rolling hash cuts, moved to character starts."""
-    h = _GEAR[raw]
-    for s in range(_WINDOW_STEPS):
-        step = 1 << s
-        if len(h) > step:
-            h[step:] += h[:-step] << np.uint32(step)  # right side is read before it is written
-    cuts = np.flatnonzero(h >> np.uint32(32 - CHUNK_BITS) == 0) + 1
-    cuts = cuts[cuts < len(raw)]
-    while len(move := np.flatnonzero((raw[cuts] & 0xC0) == 0x80)):
-        cuts[move] += 1
-        cuts = cuts[cuts < len(raw)]
-    return np.unique(cuts)
-
-
-def pieces(text: bytes, cuts: list[int]) -> Iterator[tuple[bool, bytes]]:
-    """(is a core, bytes) in order: cores of chunks, and the joints between them."""
-    loose, at = b"", 0
-    for end in [*cuts, len(text)]:
-        chunk, at = text[at:end], end
-        first = _SPACE.search(chunk)
-        if first is None:
-            loose += chunk
-            continue
-        i = first.start()
-        j = max(chunk.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) + 1
-        if loose or i:
-            yield False, loose + chunk[:i]
-        yield True, chunk[i:j]
-        loose = chunk[j:]
-    if loose:
-        yield False, loose
-
-
-def _documents(column: pa.Array) -> Iterator[tuple[int, bytes, list[int]]]:
-    """(row, text, cuts) of a binary column; the hash runs over batches, and cuts that
-    depend on bytes of the text before are left out."""
-    for at, raw, offsets in wordhash.batches(column):
-        ends = offsets.tolist()
-        data = raw.tobytes()
-        for i in range(len(ends) - 1):
-            text = data[ends[i]:ends[i + 1]]
-            yield at + i, text, cut_points(raw[ends[i]:ends[i + 1]]).tolist() if len(text) > MIN_SHARED else []
-
-
-def _cores(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        ids = part.column("doc_id").to_pylist()
-        docs, prints = [], []
-        for row, text, cuts in _documents(part.column("text")):
-            own = {xxhash.xxh3_128_digest(p) for core, p in pieces(text, cuts) if core and len(p) >= MIN_SHARED}
-            docs += [ids[row]] * len(own)
-            prints += own
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(prints, pa.binary())], ["doc_id", "core"])
-
-
-def _owned(json_text):
-    """Owners' texts and the cores to encode there -> (core, ids)."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = None
-        for part in parts:
-            memo = memo or Memo(json_text.value)
-            wanted, found, seen = part.column("cores"), [], set()
-            for row, text, cuts in _documents(part.column("text")):
-                want = set(wanted[row].as_py())
-                for core, p in pieces(text, cuts):
-                    if core and len(p) >= MIN_SHARED and (key := xxhash.xxh3_128_digest(p)) in want and key not in seen:
-                        seen.add(key)
-                        found.append((key, memo.encode(p)))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["core", "ids"])
-    return run
-
-
-def _assembled(json_text):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = None
-        for part in parts:
-            memo = memo or Memo(json_text.value)
-            shared, rows, out = part.column("shared"), [], []
-            for row, text, cuts in _documents(part.column("text")):
-                known = {e["core"]: e["ids"] for e in shared[row].as_py() or ()}
-                if not known:
-                    out.append(memo.encode(text))
-                    continue
-                out.append(b"".join(
-                    known.get(xxhash.xxh3_128_digest(p)) or memo.encode(p) if core else memo[p] for core, p in pieces(text, cuts)))
-            for s in range(0, len(out), 512):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").slice(s, len(out[s:s + 512])), pa.array(out[s:s + 512], pa.binary())], ["doc_id", "ids"])
-    return run
-
-
 def _joined(docs: DataFrame, tokenizer_path: str):
     """(rows with the ids of their shared cores, the tokenizer's text broadcast)."""
     with open(tokenizer_path, encoding="utf-8") as f:

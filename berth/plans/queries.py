@@ -207,6 +207,21 @@ def expected_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("scope").agg(F.count("*").alias("n_expected"), F.count("held").alias("n_held"))
 
 
+def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed tree, listed by the ``landing_files`` source: its CSV files in listing order
+    (lower-cased name, then name, then folder)."""
+    from berth.operators.ranking import rank_within
+    from berth.session import scratch_folder
+    from berth.sources.files import csv_files
+    from berth.sources.listing import absolute
+
+    with scratch_folder(spark, "tree") as root:
+        fixtures.land_tree(spark, sf_dir, root)
+        files = csv_files(spark, root)
+    rel = F.substring("path", len(absolute(root)) + 2, 1 << 20)
+    return rank_within(files.select(rel.alias("rel"), "name", "length"), [], [F.lower("name"), F.col("name"), F.col("rel")], "place")
+
+
 def module_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.discover_module_datasets(fixtures.portal_pages(spark, sf_dir), fixtures.MODULE_NAMES[0])
 

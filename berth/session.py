@@ -8,6 +8,9 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +60,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set(CHECKPOINT_CONF, path)
     sc.setCheckpointDir(path)
     return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, wherever Spark can reach it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, kind: str) -> Iterator[str]:
+    """A new folder in the shared one, removed when the block ends: what is still wanted of
+    it must have been checkpointed or written elsewhere by then."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-{kind}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)

@@ -1,90 +1,27 @@
-"""File listings of a landing folder as DataFrames.
-
-Folders are listed level by level: the folders of a level are dealt over the
-tasks, each lists its own through ``pyarrow.fs``, and what they find is written
-to the shared folder, where the next level starts. Every file is listed: empty
-ones, and those whose names start with ``_`` or ``.``. Folder names are taken
-literally, whatever characters they hold.
-"""
+"""File listings of a landing folder as DataFrames (the source itself: :mod:`berth.sources.listing`)."""
 
 from __future__ import annotations
 
-import fnmatch
-import re
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from berth.session import ensure_checkpoint_dir
+from berth.sources.listing import FolderNotFound, file_system, listing
 
-_LISTED = "path string, dir string, name string, mtime timestamp, length long, is_dir boolean"
-_SCHEMA = pa.schema([("path", pa.string()), ("dir", pa.string()), ("name", pa.string()),
-                     ("mtime", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("is_dir", pa.bool_())])
-_ROWS = 10_000
-
-
-class FolderNotFound(Exception):
-    """The target folder does not exist or is not a folder (reconciliation status 3)."""
-
-
-def file_system(uri: str):
-    """``(filesystem, path in it)`` of a path or URI."""
-    from pyarrow import fs as pafs
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + re.sub(r"^file:/*", "", uri)
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _absolute(folder: str) -> str:
-    """The folder as Spark's listings write it (``file:/…`` or its own scheme)."""
-    import os
-    folder = folder.rstrip("/") or "/"
-    if folder.startswith("file:"):
-        return "file:/" + re.sub(r"^file:/*", "", folder)
-    return folder if "://" in folder else "file:" + os.path.abspath(folder)
-
-
-def _listed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs as pafs
-    for part in parts:
-        for folder in part.column("path").to_pylist():
-            fs, at = file_system(folder)
-            found = fs.get_file_info(pafs.FileSelector(at, recursive=False))
-            for i in range(0, len(found), _ROWS):
-                rows = [{"path": f"{folder.rstrip('/')}/{f.base_name}", "dir": folder, "name": f.base_name, "mtime": f.mtime,
-                         "length": f.size or 0, "is_dir": f.type == pafs.FileType.Directory} for f in found[i:i + _ROWS]]
-                yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+__all__ = ["FolderNotFound", "csv_files", "file_system", "inventory"]
 
 
 def inventory(spark: SparkSession, folder: str, recursive: bool = True,
               glob: str | None = None) -> DataFrame:
     """``path, dir, name, mtime, length, file_id`` of every file under
     ``folder`` (its direct children when ``recursive`` is false). ``glob``
-    filters file names case-sensitively (``*.csv`` excludes ``B.CSV``)."""
-    from pyarrow import fs as pafs
-    root = _absolute(folder)
-    fs, at = file_system(root)
-    if fs.get_file_info(at).type != pafs.FileType.Directory:
-        raise FolderNotFound(folder)
-    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-listing-{uuid.uuid4().hex}"
-    level, files = spark.createDataFrame([(root,)], "path string"), None
-    for depth in range(1_000_000):
-        level.mapInArrow(_listed, _LISTED).write.parquet(f"{scratch}/{depth}")
-        found = spark.read.schema(_LISTED).parquet(f"{scratch}/{depth}")
-        files = found.where("not is_dir") if files is None else files.unionByName(found.where("not is_dir"))
-        level = found.where("is_dir").select("path")
-        n = level.count() if recursive else 0
-        if not n:
-            break
-        level = level.repartition(min(n, spark.sparkContext.defaultParallelism * 4))
-    if glob:
-        files = files.where(F.col("name").rlike(fnmatch.translate(glob).replace(r"\z", r"\Z").replace(r"\Z", r"\z")))
-    return files.select("path", "dir", "name", "mtime", "length", F.xxhash64("path").alias("file_id"))
+    filters file names case-sensitively (``*.csv`` excludes ``B.CSV``).
+
+    The listing is taken once and checkpointed in the shared folder: all that follows sees
+    the same files, also while they are being renamed."""
+    ensure_checkpoint_dir(spark)
+    files = listing(spark, folder, recursive, glob)
+    return files.withColumn("file_id", F.xxhash64("path")).checkpoint(eager=True)
 
 
 def csv_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:

@@ -187,3 +187,35 @@ def _as_csv(spark: SparkSession, folder: str) -> None:
         path = source.getPath()
         name = path.getParent().getName() + "-" + path.getName().replace(".txt", ".csv")
         fs.rename(path, jvm.org.apache.hadoop.fs.Path(target, name))
+
+
+def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rel, name, size``: a file for each customer with orders, in nested folders (one level
+    has brackets, the next a space), with hidden, bracketed, accented and upper-case names;
+    as many bytes as the customer has orders modulo 5, so that some are empty."""
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg((F.count("*") % 5).cast("int").alias("size"))
+    k = F.col("k").cast("string")
+    kind = F.col("k") % 7
+    name = (F.when(kind == 0, F.concat(F.lit(".hidden_"), k, F.lit(".csv"))).when(kind == 1, F.concat(F.lit("_under "), k, F.lit(".csv")))
+            .when(kind == 2, F.concat(F.lit("[br]ack{et}* "), k, F.lit(".csv"))).when(kind == 3, F.concat(F.lit("Ñandú_"), k, F.lit(".csv")))
+            .when(kind == 4, F.concat(F.lit("PLAIN_"), k, F.lit(".CSV"))).when(kind == 5, F.concat(F.lit("note "), k, F.lit(".txt")))
+            .otherwise(F.concat(F.lit("plain%20"), k, F.lit(".csv"))))
+    level = lambda text, n: F.concat(F.lit(text), (F.col("k") % n).cast("string"))
+    folder = (F.when(F.col("k") % 3 == 0, level("a", 5)).when(F.col("k") % 3 == 1, F.concat_ws("/", level("a", 5), level("[b]", 4)))
+              .otherwise(F.concat_ws("/", level("a", 5), level("[b]", 4), level("c d", 11))))
+    return o.select(F.concat_ws("/", folder, name).alias("rel"), name.alias("name"), "size")
+
+
+def land_tree(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write the files of :func:`tree_files` under ``root``; each task writes its own."""
+    def write(rows):
+        import posixpath
+
+        from berth.sources.listing import file_system
+        for r in rows:
+            fs, at = file_system(f"{root}/{r['rel']}")
+            fs.create_dir(posixpath.dirname(at), recursive=True)
+            with fs.open_output_stream(at) as out:
+                out.write(b"x" * r["size"])
+
+    tree_files(spark, sf_dir).foreachPartition(write)

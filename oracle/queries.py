@@ -430,3 +430,17 @@ def quoted_load() -> str:
        CASE WHEN event_id % 3 <> 0 THEN CAST(user_id AS BIGINT) END AS half,
        event_id % 2 = 0 AS flag, CAST(NULL AS BIGINT) AS "none",
        strftime(ts, '%Y-%m-%d') || ' 00:00:00' AS fecha, value FROM events"""
+
+
+def folder_listing() -> str:
+    return """
+WITH f AS (SELECT o_custkey AS k, CAST(count(*) % 5 AS BIGINT) AS length FROM orders GROUP BY 1),
+n AS (SELECT *, CASE k % 7 WHEN 0 THEN '.hidden_' || k || '.csv' WHEN 1 THEN '_under ' || k || '.csv'
+                           WHEN 2 THEN '[br]ack{et}* ' || k || '.csv' WHEN 3 THEN 'Ñandú_' || k || '.csv'
+                           WHEN 4 THEN 'PLAIN_' || k || '.CSV' WHEN 5 THEN 'note ' || k || '.txt'
+                           ELSE 'plain%20' || k || '.csv' END AS name,
+             'a' || k % 5 || CASE WHEN k % 3 = 0 THEN '' ELSE '/[b]' || k % 4 END
+                  || CASE WHEN k % 3 = 2 THEN '/c d' || k % 11 ELSE '' END AS folder FROM f)
+SELECT folder || '/' || name AS rel, name, length,
+       CAST(row_number() OVER (ORDER BY lower(name), name, folder || '/' || name) AS INT) AS place
+FROM n WHERE ends_with(name, '.csv')"""

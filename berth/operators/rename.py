@@ -20,7 +20,8 @@ member ``k`` moves up by one for every taken slot at or below it. So a family
 is settled over one row per group (name, size, first position), only where
 several groups meet, and the outcome is a first name and a short list of slots
 to skip per group. Files get theirs by a join on the group and an expression
-on their rank; no file row is ever gathered by family.
+on their rank; no file row is ever gathered by family. A family is settled by one
+``aggregate()`` over the sorted array of its groups' pieces, inside Spark's expressions.
 
 Plan shape: the semantic mapping runs on distinct bases; ranks come from range
 slices (:mod:`berth.operators.ranking`); groups are a partial aggregate.
@@ -28,10 +29,7 @@ slices (:mod:`berth.operators.ranking`); groups are a partial aggregate.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from berth.functions.shorten import with_semantic_name
@@ -39,6 +37,7 @@ from berth.functions.stems import TIMESTAMP_SUFFIX, stem, ts_to_int, with_parsed
 from berth.functions.text import sql_identifier
 from berth.operators.ranking import rank_within
 from berth.operators.sizing import join_small, map_distinct
+from berth.session import ensure_checkpoint_dir
 
 CSV = ".csv"
 _VER_TAIL = r"(?i)_v\d+$"
@@ -69,37 +68,38 @@ def plan_targets(files: DataFrame, drop_timestamp: bool = False) -> DataFrame:
     return d.select("file_id", "dir", "name", "gkey", "rank")
 
 
-_SETTLED = "dir string, gkey string, first_stem string, skips array<int>"
-
-
-def _settle(pieces: pd.DataFrame) -> pd.DataFrame:
-    """One family: its groups' single names and ranges, settled in plan order."""
-    pieces = pieces.sort_values(["first_l", "first_n", "kind"], kind="stable")
-    family = pieces["family"].iloc[0]
-    slot_of = re.compile(re.escape(family) + r"_v([1-9][0-9]*)")
-    names, slots, full, out = set(), set(), 1, []  # every slot from 2 to ``full`` is taken
-    for dir_, gkey, kind, want, n in zip(pieces["dir"], pieces["gkey"], pieces["kind"], pieces["want"], pieces["n"]):
-        if kind == 1:
-            skips = []
-            for i, slot in enumerate(sorted(s for s in slots if s > 1)):
-                if slot - i > n:
-                    break
-                skips.append(slot - i)
-            full = int(n) + len(skips)
-            out.append((dir_, gkey, None, skips))
-            continue
-        found = slot_of.fullmatch(want)
-        slot = int(found[1]) if found else None
-        if want in names or (slot is not None and 2 <= slot <= full):
-            slot = full + 1
-            while slot in slots:
-                slot += 1
-            want = f"{family}_v{slot}"
-        names.add(want)
-        if slot is not None:
-            slots.add(slot)
-        out.append((dir_, gkey, want, None))
-    return pd.DataFrame(out, columns=["dir", "gkey", "first_stem", "skips"])
+_OUTCOME = "array<struct<gkey:string,first_stem:string,skips:array<int>>>"
+
+
+def _settled(pieces: Column, family: Column) -> Column:
+    """One family's outcome: its pieces, sorted in plan order, folded over what is taken so far:
+    ``names`` and their ``slots`` (in order), and ``full``: all slots from 2 to it."""
+    empty = F.struct(F.array().cast("array<string>").alias("names"), F.array().cast("array<int>").alias("slots"),
+                     F.lit(1).alias("full"), F.array().cast(_OUTCOME).alias("out"))
+
+    def after(slots: Column, full: Column) -> Column:
+        return F.filter(slots, lambda s: s > full)
+
+    def told(p: Column, first_stem: Column, skips: Column) -> Column:
+        return F.array(F.struct(p["gkey"].alias("gkey"), first_stem.cast("string").alias("first_stem"), skips.cast("array<int>").alias("skips")))
+
+    def ranged(a: Column, p: Column) -> Column:
+        # member k moves up by one for every taken slot at or below it
+        skips = F.filter(F.transform(after(a["slots"], F.lit(1)), lambda s, i: s - i), lambda s: s <= p["n"])
+        return F.struct(a["names"].alias("names"), a["slots"].alias("slots"), (p["n"].cast("int") + F.size(skips)).alias("full"),
+                        F.concat(a["out"], told(p, F.lit(None), skips)).alias("out"))
+
+    def single(a: Column, p: Column) -> Column:
+        taken = F.array_contains(a["names"], p["want"]) | F.coalesce(p["slot"].between(2, a["full"]), F.lit(False))
+        # the taken slots right behind ``full`` are those as far from it as their index
+        ahead = F.size(F.filter(F.transform(after(a["slots"], a["full"]), lambda s, i: s - i), lambda s: s == a["full"] + 1))
+        slot = F.when(taken, a["full"] + 1 + ahead).otherwise(p["slot"])
+        want = F.when(taken, F.concat(family, F.lit("_v"), slot.cast("string"))).otherwise(p["want"])
+        slots = F.when(slot.isNull(), a["slots"]).otherwise(F.sort_array(F.array_union(a["slots"], F.array(slot))))
+        return F.struct(F.concat(a["names"], F.array(want)).alias("names"), slots.alias("slots"), a["full"].alias("full"),
+                        F.concat(a["out"], told(p, want, F.lit(None))).alias("out"))
+
+    return F.aggregate(pieces, empty, lambda a, p: F.when(p["kind"] == 1, ranged(a, p)).otherwise(single(a, p)), lambda a: a["out"])
 
 
 def resolve_collisions(planned: DataFrame, drop_timestamp: bool = False) -> DataFrame:
@@ -108,17 +108,20 @@ def resolve_collisions(planned: DataFrame, drop_timestamp: bool = False) -> Data
     bare = F.regexp_replace("gkey", TIMESTAMP_SUFFIX, "") if drop_timestamp else F.col("gkey")
     groups = planned.groupBy("dir", "gkey").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.lower("name").alias("l"), F.col("name").alias("n"))).alias("first"))
-    single = F.struct(F.lit(0).alias("kind"), F.regexp_replace(bare, _VER_TAIL, "").alias("family"), bare.alias("want"))
-    ranged = F.struct(F.lit(1).alias("kind"), F.col("gkey").alias("family"), F.lit(None).cast("string").alias("want"))
-    pieces = groups.select(
-        "dir", "gkey", "n", F.col("first.l").alias("first_l"), F.col("first.n").alias("first_n"),
-        F.explode(F.when(F.col("n") > 1, F.array(single, ranged)).otherwise(F.array(single))).alias("p"))
-    pieces = pieces.select("dir", "gkey", "n", "first_l", "first_n", "p.kind", "p.family", "p.want")
-    shared = (pieces.groupBy("dir", "family").agg(F.min("gkey").alias("__lo"), F.max("gkey").alias("__hi"))
-              .where("__lo <> __hi").select("dir", "family"))
-    settled = pieces.join(shared, ["dir", "family"]).groupBy("dir", "family").applyInPandas(_settle, _SETTLED)
-    settled = settled.groupBy("dir", "gkey").agg(F.max("first_stem").alias("first_stem"), F.max("skips").alias("skips"))
-    d = join_small(planned, settled, ["dir", "gkey"], "left")
+    own = F.regexp_replace(bare, _VER_TAIL, "")
+    # a slot is written plainly: the family, ``_v`` and a number without leading zeros
+    number = F.regexp_extract(bare, r"_v([1-9][0-9]{0,8})$", 1)
+    slot = F.when(F.concat(own, F.lit("_v"), number) == bare, F.nullif(number, F.lit("")).cast("int"))
+    single = F.struct(F.lit(0).alias("kind"), own.alias("family"), bare.alias("want"), slot.alias("slot"))
+    ranged = F.struct(F.lit(1).alias("kind"), F.col("gkey").alias("family"), F.lit(None).cast("string").alias("want"), F.lit(None).cast("int").alias("slot"))
+    pieces = groups.select("dir", "gkey", "n", "first", F.explode(F.when(F.col("n") > 1, F.array(single, ranged)).otherwise(F.array(single))).alias("p"))
+    piece = F.struct(F.col("first.l").alias("l"), F.col("first.n").alias("f"), "p.kind", "gkey", "n", "p.want", "p.slot")
+    families = (pieces.groupBy("dir", F.col("p.family").alias("family"))
+                .agg(F.min("gkey").alias("lo"), F.max("gkey").alias("hi"), F.collect_list(piece).alias("pieces")).where("lo <> hi"))
+    settled = families.select("dir", F.explode(_settled(F.sort_array("pieces"), F.col("family"))).alias("s"))
+    settled = settled.groupBy("dir", F.col("s.gkey").alias("gkey")).agg(F.max("s.first_stem").alias("first_stem"), F.max("s.skips").alias("skips"))
+    ensure_checkpoint_dir(planned.sparkSession)
+    d = join_small(planned, settled.checkpoint(eager=True), ["dir", "gkey"], "left")  # settled once, counted and joined
     ahead = F.coalesce(F.size(F.filter("skips", lambda s: s <= F.col("rank"))), F.lit(0))
     stem_final = F.when(F.col("rank") == 1, F.coalesce("first_stem", bare)).otherwise(
         F.concat("gkey", F.lit("_v"), (F.col("rank") + ahead).cast("string")))

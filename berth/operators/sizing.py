@@ -9,8 +9,8 @@ bound known in advance. Two ways are used:
 * beyond that bound the join is left to AQE: a sort-merge join whose skewed
   partitions it splits.
 
-:func:`map_distinct` counts the distinct values first, so the rows that carry
-them are not shuffled while those are few.
+:func:`map_distinct` counts the mapping of the distinct values first, so the rows
+that carry them are not shuffled while those are few.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from berth.session import ensure_checkpoint_dir
+
 BROADCAST_MAX_ROWS = 500_000
 
 
@@ -35,9 +37,10 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 def map_distinct(df: DataFrame, src: str, mapper, key: str = "__map_key") -> DataFrame:
     """Apply ``mapper`` (DataFrame → DataFrame adding columns, keyed by
     column ``key``) to the distinct values of ``src`` only — a partial
-    aggregate before its shuffle — and join the new columns back NULL-safely
-    (broadcast if the distinct values were counted under the bound)."""
-    keys = df.select(F.col(src).alias(key)).distinct()
-    mapped = mapper(keys)
-    side = F.broadcast(mapped) if fits(keys) else mapped
+    aggregate before its shuffle — and join the new columns back NULL-safely.
+    The mapping is made once and checkpointed, then counted, and broadcast
+    under the bound."""
+    ensure_checkpoint_dir(df.sparkSession)
+    mapped = mapper(df.select(F.col(src).alias(key)).distinct()).checkpoint(eager=True)
+    side = F.broadcast(mapped) if fits(mapped) else mapped
     return df.join(side, df[src].eqNullSafe(mapped[key]), "left").drop(key)

@@ -40,7 +40,10 @@ def reconcile_folder(spark: SparkSession, folder: str, scope: str = "all", stamp
 def standardize(spark: SparkSession, folder: str, drop_timestamp: bool = False,
                 dry_run: bool = False, recursive: bool = False) -> DataFrame:
     """Plan (and unless ``dry_run``, apply) standard names for the CSV files
-    of ``folder`` (one level by default; every folder when ``recursive``)."""
+    of ``folder`` (one level by default; every folder when ``recursive``). Runs that
+    stopped half-way are finished first, unless ``dry_run``."""
+    if not dry_run:
+        apply.recover(spark)
     files = csv_files(spark, folder, recursive=recursive)
     changes = rename.rename_changes(rename.rename_plan(files, drop_timestamp))
     if dry_run:

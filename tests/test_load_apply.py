@@ -85,6 +85,48 @@ def test_rename_phases_survive_retries(scratch):
     assert open(os.path.join(d, "c.csv")).read() == "b.csv"
 
 
+@pytest.mark.parametrize("stop", ["before the plan is whole", "in the moves", "before the mark", "in the second step", "before done"])
+def test_a_stopped_run_is_finished_by_the_next(spark, scratch, stop):
+    """The journal tells where a run stopped; the next run finishes it before it lists the folder."""
+    from berth.plans import apply
+    d = os.path.join(scratch, "stopped")
+    for n in ["a.csv", "b.csv", "x.csv"]:
+        write(os.path.join(d, n), n)
+    rows = [{"dir": "file:" + d, "src": "a.csv", "dst": "b.csv"}, {"dir": "file:" + d, "src": "b.csv", "dst": "c.csv"}]
+    run = apply.Journal(spark, "r" + str(abs(hash(scratch + stop))))
+    run.plan(spark.createDataFrame(rows, apply._CHANGES))
+    if stop == "before the plan is whole":
+        fs, at = run._at("changes/_SUCCESS")
+        fs.delete(at, False)
+    else:
+        apply._phase1(run.run_id)(iter(rows[:1] if stop == "in the moves" else rows))
+    if stop in ("in the second step", "before done"):
+        run.mark("moved")
+        apply._phase2(run.run_id)(iter(rows[1:] if stop == "in the second step" else rows))
+    done = apply.recover(spark)
+    assert done == ([] if stop == "before the plan is whole" else [run.run_id])
+    want = {n: n for n in ("a.csv", "b.csv")} if not done else {"b.csv": "a.csv", "c.csv": "b.csv"}
+    assert {n: open(os.path.join(d, n)).read() for n in sorted(os.listdir(d))} == {**want, "x.csv": "x.csv"}
+    assert apply.recover(spark) == [] and not run.reached("planned")
+
+
+def test_files_that_come_meanwhile_are_not_overwritten(spark, scratch):
+    from berth.plans import apply
+    d = os.path.join(scratch, "meanwhile")
+    write(os.path.join(d, "a.csv"), "old")
+    rows = [{"dir": "file:" + d, "src": "a.csv", "dst": "b.csv"}]
+    run = apply.Journal(spark, "meanwhile")
+    run.plan(spark.createDataFrame(rows, apply._CHANGES))
+    apply._phase1("meanwhile")(iter(rows))
+    write(os.path.join(d, "a.csv"), "new")
+    write(os.path.join(d, "b.csv"), "newer")
+    with pytest.raises(Exception, match="b.csv"):
+        apply.recover(spark)
+    os.rename(os.path.join(d, "b.csv"), os.path.join(d, "kept.csv"))
+    assert apply.recover(spark) == ["meanwhile"]
+    assert {n: open(os.path.join(d, n)).read() for n in os.listdir(d)} == {"a.csv": "new", "b.csv": "old", "kept.csv": "newer"}
+
+
 def test_command_line_exit_codes(spark, scratch):
     from berth.__main__ import main
     d = os.path.join(scratch, "cli")

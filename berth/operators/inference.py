@@ -33,6 +33,7 @@ TRUE_WORDS = ("True", "TRUE", "true")
 FALSE_WORDS = ("False", "FALSE", "false")
 INT_SHAPE = r"^\s*[+-]?[0-9]+\s*$"
 FLOAT_SHAPE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
+DATE_FORMATS = ("ISO", "dd-MM-yyyy[ HH:mm[:ss]]", "dd/MM/yyyy[ HH:mm[:ss]]", "dd.MM.yyyy[ HH:mm[:ss]]", "yyyy/MM/dd[ HH:mm[:ss]]")
 DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
 # ---------------------------------------------------------------------------
 
@@ -61,6 +62,44 @@ def as_timestamp(v: Column) -> Column:
     return F.when(v.rlike(DATE_SHAPE), F.try_to_timestamp(v))
 
 
+def as_date(v: Column, pattern: str) -> Column:
+    """A timestamp written as ``pattern`` says (``ISO`` or a datetime pattern)."""
+    return as_timestamp(v) if pattern == "ISO" else F.try_to_timestamp(v, F.lit(pattern))
+
+
+def kind_counts(value: Column, date_formats: tuple[str, ...] = ()) -> list[Column]:
+    """Aggregates behind :func:`chosen_kind`: values, nulls, and how many read as each kind."""
+    v = cleaned(value)
+    counts = {"all": F.count("*"), "null": F.count_if(v.isNull()), "int": F.count_if(as_long(v).isNotNull()),
+              "float": F.count_if(as_double(v).isNotNull()), "bool": F.count_if(as_boolean(v).isNotNull())}
+    counts |= {f"date_{i}": F.count_if(as_date(v, f).isNotNull()) for i, f in enumerate(date_formats)}
+    return [c.alias(f"n_{name}") for name, c in counts.items()]
+
+
+def chosen_kind(lenient: bool = False, date_like: Column | None = None, date_formats: tuple[str, ...] = ()) -> Column:
+    """``(type, pattern)`` of a column from its :func:`kind_counts`; leniently, a text column with
+    a date-like name gets the date format that reads most of its values (the earlier of equals)."""
+    kind = lambda t, pattern=None: F.struct(F.lit(t).alias("type"), (F.lit(None).cast("string") if pattern is None else pattern).alias("pattern"))
+    some = F.col("n_all") - F.col("n_null")
+    out = (F.when((some == 0) | (F.col("n_int") == some), kind(LONG)).when(F.col("n_float") == some, kind(DOUBLE))
+           .when(F.col("n_bool") == some, kind(BOOLEAN)))
+    if lenient and date_formats:
+        read = F.array_max(F.array(*(F.struct(F.col(f"n_date_{i}").alias("n"), F.lit(-i).alias("first"), F.lit(f).alias("pattern"))
+                                     for i, f in enumerate(date_formats))))
+        out = out.when(date_like & (read["n"] > 0), kind(TIMESTAMP, read["pattern"]))
+    if lenient:
+        out = out.when((F.col("n_float") > 0) & (F.col("n_int") == F.col("n_float")), kind(LONG)).when(F.col("n_float") > 0, kind(DOUBLE))
+    return out.otherwise(kind(STRING))
+
+
+def as_kind(value: Column, type_: str, pattern: str | None = None) -> Column:
+    """A cell's text with its column's type applied."""
+    v = cleaned(value)
+    if type_ == TIMESTAMP:
+        return as_date(v, pattern or "ISO")
+    return {LONG: as_long, DOUBLE: as_double, BOOLEAN: as_boolean}.get(type_, lambda x: x)(v)
+
+
 def column_profile(cells: DataFrame) -> DataFrame:
     """Per ``(table_id, col)``: value counts by kind, the inferred type and
     the lenient type."""

@@ -3,6 +3,8 @@ computed from the driver tables (through the landing-zone fixtures)."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,40 +166,62 @@ def run_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      REPORT_STAMP, REPORT_DIR)
 
 
-def _load_events(spark: SparkSession, sf_dir: str):
-    """Land ``events`` as CSV files (one folder per event type) in the shared
-    scratch folder and load them back; returns (manifest, target)."""
-    import uuid
-
+@contextmanager
+def _loaded_events(spark: SparkSession, sf_dir: str):
+    """Land ``events`` as CSV files (one folder per event type) in a scratch folder and load
+    them; gives (manifest, target) while the folder is there."""
     from berth.plans import load
-    from berth.session import ensure_checkpoint_dir
+    from berth.session import scratch_folder
     from berth.sources.tables import table
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-load-{uuid.uuid4().hex}"
-    ev = table(spark, sf_dir, "events")
-    ev.write.partitionBy("event_type").option("header", True).csv(f"{root}/landing")
-    target = load.Target(schema="landing", location=f"{root}/tables")
-    manifest = load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir")
-    return manifest, target
+    with scratch_folder(spark, "events") as root:
+        table(spark, sf_dir, "events").write.partitionBy("event_type").option("header", True).csv(f"{root}/landing")
+        target = load.Target(schema="landing", location=f"{root}/tables")
+        yield load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir"), target
 
 
 def load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest, _ = _load_events(spark, sf_dir)
-    return manifest.groupBy("table").agg(F.sum("n_rows").cast("bigint").alias("n_rows"))
+    with _loaded_events(spark, sf_dir) as (manifest, _):
+        return manifest.groupBy("table").agg(F.sum("n_rows").cast("bigint").alias("n_rows"))
 
 
 def loaded_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     from berth.plans import load
-    manifest, target = _load_events(spark, sf_dir)
-    tables = sorted({r[0] for r in manifest.select("table").distinct().collect()})
-    rows = [(t, i + 1, c, ty) for t in tables for i, (c, ty) in enumerate(load.table_columns(spark, t, target))]
+    with _loaded_events(spark, sf_dir) as (manifest, target):
+        tables = sorted({r[0] for r in manifest.select("table").distinct().collect()})
+        rows = [(t, i + 1, c, ty) for t in tables for i, (c, ty) in enumerate(load.table_columns(spark, t, target))]
     return spark.createDataFrame(rows, "table STRING, ordinal BIGINT, column_name STRING, type STRING")
 
 
 def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files loaded and rows inserted in total; one folder of files for each month of orders."""
     from berth.plans import load
-    manifest, _ = _load_events(spark, sf_dir)
-    return load.load_totals(manifest).select("n_rows")
+    from berth.session import scratch_folder
+
+    with scratch_folder(spark, "totals") as root:
+        fixtures.land_months(spark, sf_dir, f"{root}/landing")
+        target = load.Target(schema="landing", location=f"{root}/tables")
+        return load.load_totals(load.load_directory(spark, f"{root}/landing", target, table_from="dir")).select("n_tables", "n_rows")
+
+
+def month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table for each month (two layouts, day-first dates), loaded leniently in the same
+    few jobs and read back."""
+    from berth.plans import load
+    from berth.session import scratch_folder
+
+    with scratch_folder(spark, "months") as root:
+        fixtures.land_months(spark, sf_dir, f"{root}/landing")
+        target = load.Target(schema="landing", location=f"{root}/tables")
+        load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir", lenient=True)
+        schema = "numero bigint, fecha_orden timestamp, total double, estado string"
+        loaded = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/tables")
+        name = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        day = lambda c: F.date_format(c, "yyyy-MM-dd")
+        return (loaded.groupBy(name.alias("table"))
+                .agg(F.count("*").alias("n_rows"), F.sum("numero").alias("numbers"), day(F.min("fecha_orden")).alias("first_day"),
+                     day(F.max("fecha_orden")).alias("last_day"), F.sum(F.round(F.col("total") * 100).cast("bigint")).alias("cents"),
+                     F.count("estado").alias("n_estado")).checkpoint(eager=True))
 
 
 def expected_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,14 +266,21 @@ def quoted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` landed as CSV text of our own (doubled quotes, line breaks inside
     fields, two header orders, half-numeric, boolean and empty columns), loaded
     leniently and read back."""
-    import uuid
+    return _quoted(spark, sf_dir)
+
+
+def ranged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, each read in ranges of 16 KB by many tasks."""
+    return _quoted(spark, sf_dir, range_bytes=1 << 14)
 
+
+def _quoted(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     from berth.plans import load
-    from berth.session import ensure_checkpoint_dir
-
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/berth-quoted-{uuid.uuid4().hex}"
-    fixtures.land_quoted(spark, sf_dir, f"{root}/landing")
-    target = load.Target(schema="landing", location=f"{root}/tables")
-    load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir", lenient=True)
-    loaded = spark.read.parquet(f"{root}/tables/landing/events")
-    return loaded.withColumn("fecha", F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))
+    from berth.session import scratch_folder
+
+    with scratch_folder(spark, "quoted") as root:
+        fixtures.land_quoted(spark, sf_dir, f"{root}/landing")
+        target = load.Target(schema="landing", location=f"{root}/tables")
+        load.load_directory(spark, f"{root}/landing", target, mode="replace", table_from="dir", lenient=True, **options)
+        loaded = spark.read.parquet(f"{root}/tables/landing/events")
+        return loaded.withColumn("fecha", F.date_format("fecha", "yyyy-MM-dd HH:mm:ss")).checkpoint(eager=True)

@@ -219,3 +219,14 @@ def land_tree(spark: SparkSession, sf_dir: str, root: str) -> None:
                 out.write(b"x" * r["size"])
 
     tree_files(spark, sf_dir).foreachPartition(write)
+
+
+def land_months(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """``orders`` as CSV files, a folder for each month; even months have the columns
+    ``Número, Fecha Orden, Total``, odd ones ``Fecha Orden, Número, Estado``; dates are day-first."""
+    o = table(spark, sf_dir, "orders")
+    number, day = F.col("o_orderkey").alias("Número"), F.date_format("o_orderdate", "dd-MM-yyyy").alias("Fecha Orden")
+    shapes = ([number, day, F.col("o_totalprice").alias("Total")], [day, number, F.col("o_orderstatus").alias("Estado")])
+    for parity, shape in enumerate(shapes):
+        rows = o.where(F.month("o_orderdate") % 2 == parity).select(F.date_format("o_orderdate", "yyyyMM").alias("mes"), *shape)
+        rows.hint("rebalance", "mes").write.mode("append").partitionBy("mes").option("header", True).csv(root)

@@ -5,10 +5,11 @@ case-sensitive, default all) gives ``path, dir, name, mtime, length``. Every fil
 listed: empty ones, and those whose names start with ``_`` or ``.``; names are taken
 literally, whatever characters they hold.
 
-A partition is a folder. The driver opens the upper levels until there are
-``PARTITIONS`` folders or no more; below, a task walks its folder's whole tree, one
-folder at a time. So the driver holds a bounded number of folder names and no file.
-``PARTITIONS`` is an option, too (``partitions``), for trees with few, uneven branches.
+A partition is a folder, or several where there are more than ``PARTITIONS``. The driver
+opens the upper levels, folder by folder, until there are that many; below, a task walks its
+folders' whole trees, one folder at a time. So the driver holds folder names of the upper
+levels and no file. ``PARTITIONS`` is an option, too (``partitions``), for trees with few,
+uneven branches.
 
 Filters on ``name`` (equality, membership, prefix, suffix, substring) and ``dir``
 (equality, membership, prefix) are pushed into the walk: names are dropped before rows
@@ -28,7 +29,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Filte
                                     StringEndsWith, StringStartsWith)
 
 FORMAT = "landing_files"
-PARTITIONS = 256
+PARTITIONS = 64
 SCHEMA = "path string, dir string, name string, mtime timestamp, length long"
 _ARROW = pa.schema([("path", pa.string()), ("dir", pa.string()), ("name", pa.string()),
                     ("mtime", pa.timestamp("us", "UTC")), ("length", pa.int64())])
@@ -96,10 +97,9 @@ def pushed(filter: Filter) -> Wanted | None:
 
 
 @dataclass
-class Branch(InputPartition):
-    """A folder, with or without all that is below it."""
-    folder: str
-    whole: bool
+class Branches(InputPartition):
+    """Folders, each with or without all that is below it."""
+    folders: list[tuple[str, bool]]
 
 
 class LandingReader(DataSourceReader):
@@ -110,39 +110,33 @@ class LandingReader(DataSourceReader):
         self.glob = options.get("glob")
         self.wanted: list[Wanted] = []
 
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            condition = pushed(f)
-            if condition is None:
-                yield f
-            else:
-                self.wanted.append(condition)
-
-    def partitions(self) -> list[Branch]:
+    def partitions(self) -> list[Branches]:
         open_, closed = [self.root], []
         while self.recursive and open_ and len(open_) + len(closed) < self.partitions_wanted:
             folder = open_.pop(0)
-            closed.append(Branch(folder, False))
-            open_ += [f"{folder.rstrip('/')}/{x.base_name}" for x in _children(folder) if _is_dir(x)]
-            open_ = [f for f in open_ if self._opens(f)]
-        return closed + [Branch(f, self.recursive) for f in open_]
+            closed.append((folder, False))
+            below = [f"{folder.rstrip('/')}/{x.base_name}" for x in _children(folder) if _is_dir(x)]
+            open_ += [f for f in below if self._opens(f)]
+        branches = closed + [(f, self.recursive) for f in open_]
+        n = min(len(branches), self.partitions_wanted)
+        return [Branches(branches[i::n]) for i in range(n)]
 
     def _opens(self, folder: str) -> bool:
         return all(w.below(folder) for w in self.wanted if w.column == "dir")
 
-    def read(self, partition: Branch) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Branches) -> Iterator[pa.RecordBatch]:
         matches = _matcher(self.glob)
         names = [w for w in self.wanted if w.column == "name"]
         dirs = [w for w in self.wanted if w.column == "dir"]
-        todo, rows = [partition.folder], []
+        todo, rows = list(partition.folders), []
         while todo:
-            folder = todo.pop()
+            folder, whole = todo.pop()
             here = all(w.holds(folder) for w in dirs)
             for x in _children(folder):
                 path = f"{folder.rstrip('/')}/{x.base_name}"
                 if _is_dir(x):
-                    if partition.whole and self._opens(path):
-                        todo.append(path)
+                    if whole and self._opens(path):
+                        todo.append((path, True))
                 elif here and matches(x.base_name) and all(w.holds(x.base_name) for w in names):
                     rows.append({"path": path, "dir": folder, "name": x.base_name, "mtime": x.mtime, "length": x.size or 0})
             if len(rows) >= _ROWS:
@@ -152,6 +146,18 @@ class LandingReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
 
+class PushingReader(LandingReader):
+    """A reader that takes filters over from Spark."""
+
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            condition = pushed(f)
+            if condition is None:
+                yield f
+            else:
+                self.wanted.append(condition)
+
+
 def _children(folder: str) -> list:
     from pyarrow import fs as pafs
     fs, at = file_system(folder)
@@ -178,20 +184,22 @@ class LandingFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> LandingReader:
-        return LandingReader(dict(self.options))
+        options = dict(self.options)
+        return (PushingReader if str(options.get("pushdown", "true")).lower() == "true" else LandingReader)(options)
 
 
 def listing(spark: SparkSession, folder: str, recursive: bool = True, glob: str | None = None,
-            partitions: int = PARTITIONS) -> DataFrame:
+            partitions: int = PARTITIONS, pushdown: bool = True) -> DataFrame:
     """``path, dir, name, mtime, length`` of the files of ``folder``, listed whenever it is read.
 
-    Registers the source with the session and lets Spark push filters into Python sources
-    (``spark.sql.python.filterPushdown.enabled``)."""
+    Registers the source with the session and, for ``pushdown``, lets Spark push filters into
+    Python sources (``spark.sql.python.filterPushdown.enabled``)."""
     from pyarrow import fs as pafs
     fs, at = file_system(absolute(folder))
     if fs.get_file_info(at).type != pafs.FileType.Directory:
         raise FolderNotFound(folder)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(LandingFiles)
-    reader = spark.read.format(FORMAT).option("recursive", str(recursive).lower()).option("partitions", partitions)
+    reader = spark.read.format(FORMAT).option("recursive", str(recursive).lower()).option("partitions", partitions).option("pushdown", str(pushdown).lower())
     return (reader.option("glob", glob) if glob else reader).load(folder)

@@ -382,7 +382,20 @@ SELECT tbl, 5, 'props', 'STRING' FROM t"""
 
 
 def load_totals() -> str:
-    return "SELECT count(*) AS n_rows FROM events"
+    return "SELECT count(DISTINCT strftime(o_orderdate, '%Y%m')) AS n_tables, count(*) AS n_rows FROM orders"
+
+
+def month_tables() -> str:
+    return """
+SELECT 'mes_' || strftime(o_orderdate, '%Y%m') AS "table", count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS numbers,
+       strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day,
+       CASE WHEN any_value(month(o_orderdate)) % 2 = 0 THEN CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) END AS cents,
+       CASE WHEN any_value(month(o_orderdate)) % 2 = 1 THEN count(o_orderstatus) ELSE 0 END AS n_estado
+FROM orders GROUP BY strftime(o_orderdate, '%Y%m')"""
+
+
+def ranged_load() -> str:
+    return quoted_load()
 
 
 def expected_by_scope() -> str:

@@ -41,6 +41,64 @@ def test_load_refuses_repeated_names(spark, scratch):
         L.load_directory(spark, os.path.join(scratch, "l"), L.Target(location=os.path.join(scratch, "o")))
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 300, 100_000])
+def test_files_read_in_ranges_have_the_same_records(spark, scratch, size):
+    """Line breaks, separators and quotes inside quotes; ranges that start anywhere."""
+    import csv
+    import io
+    import random
+
+    from berth.sources import records as R
+    rng = random.Random(size)
+    cell = lambda: "".join(rng.choice(['a', 'é', ',', '"', '\n', '\r\n', ' ']) for _ in range(rng.randint(0, 9)))
+    rows = [[str(i), cell(), cell()] for i in range(80)]
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator="\r\n" if size % 2 else "\n").writerows([["id", "x", 'y "z"']] + rows)
+    text = out.getvalue()
+    for name, data in {"with.csv": text, "without.csv": text.rstrip("\r\n") if text[-3:-1] != '"' else text, "bom.csv": "\ufeff" + text}.items():
+        write(os.path.join(scratch, "r", name), data)
+    from berth.sources.files import csv_files
+    told = L.layouts(R.with_headers(L.file_tables(csv_files(spark, os.path.join(scratch, "r"))), ",", "UTF-8"))
+    found = {}
+    for r in R.records(told, size=size).collect():
+        found.setdefault(os.path.basename(r.path), []).append(list(r.cells))
+        assert not r.wide
+    assert set(found) == {"with.csv", "without.csv", "bom.csv"}
+    for got in found.values():
+        assert sorted(got, key=lambda r: int(r[0])) == rows
+
+
+def test_many_tables_in_the_same_jobs(spark, scratch):
+    land, tables = os.path.join(scratch, "many"), os.path.join(scratch, "tables")
+    for i in range(60):
+        write(os.path.join(land, f"t{i}.csv"), f"a,b\n{i},x\n" if i % 3 else f"b,c d\ny,{i}.5\nz,\n")
+    write(os.path.join(land, "none.csv"), "a,b\n")
+    target = L.Target(schema="s", location=tables)
+    for times, mode in ((1, "append"), (2, "append"), (1, "replace")):
+        m = {r["table"]: r["n_rows"] for r in L.load_directory(spark, land, target, mode=mode).collect()}
+        assert m == {**{f"t{i}": 1 if i % 3 else 2 for i in range(60)}, "none": 0}
+        assert sorted(os.listdir(os.path.join(tables, "s"))) == sorted(m)
+        for i in (0, 1, 2, 59):
+            t = spark.read.parquet(os.path.join(tables, "s", f"t{i}"))
+            assert t.count() == times * m[f"t{i}"] and t.columns == (["a", "b"] if i % 3 else ["b", "c_d"])
+    assert dict(L.table_columns(spark, "t0", target)) == {"b": "STRING", "c_d": "DOUBLE"}
+    assert dict(L.table_columns(spark, "none", target)) == {"a": "STRING", "b": "STRING"}
+    with pytest.raises(Exception, match="exists"):
+        L.load_directory(spark, land, target, mode="fail")
+
+
+def test_the_best_date_format_of_a_column_is_taken(spark, scratch):
+    land, target = os.path.join(scratch, "dates"), L.Target(schema="s", location=os.path.join(scratch, "t"))
+    write(os.path.join(land, "d.csv"), "fecha,mes,dia\n31-01-2020,2020-02-01,31-01-2020\n01-02-2020 10:30,03/04/2021,x\nnada,04/04/2021,y\n")
+    L.load_directory(spark, land, target, lenient=True)
+    assert dict(L.table_columns(spark, "d", target)) == {"fecha": "TIMESTAMP", "mes": "TIMESTAMP", "dia": "STRING"}
+    rows = spark.read.parquet(os.path.join(scratch, "t", "s", "d")).selectExpr("string(fecha)", "string(mes)").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("2020-01-31 00:00:00", None), ("2020-02-01 10:30:00", "2021-04-03 00:00:00"),
+                                                        (None, "2021-04-04 00:00:00")], key=str)
+    L.load_directory(spark, land, target, mode="replace", lenient=True, date_formats=("ISO",))
+    assert dict(L.table_columns(spark, "d", target)) == {"fecha": "STRING", "mes": "TIMESTAMP", "dia": "STRING"}
+
+
 def test_missing_folder(spark, scratch):
     with pytest.raises(FolderNotFound):
         inventory(spark, os.path.join(scratch, "nope"))

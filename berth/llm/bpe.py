@@ -41,7 +41,7 @@ from berth.llm.common import stash
 CHUNK_BITS, MIN_SHARED = 10, 128
 #: Bytes of words and ids that a task remembers: two generations of half of it, so that
 #: words in use outlive those seen once.
-MEMO_BYTES = 64_000_000
+MEMO_BYTES = 112_000_000
 #: Documents that leave a task together.
 ROWS = 512
 _WINDOW_STEPS = 5  # 2^5 = 32 bytes
@@ -81,32 +81,62 @@ class Memo(dict):
     def encoded(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _bare(self, word: bytes) -> tuple[bytes, bytes]:
+        """(form, bare): the case of ASCII words, and marks behind an ASCII letter, don't matter
+        where the tokenizer folds and splits them anyway, so one entry serves many forms of a
+        word; other letters may be normalised together with what follows them."""
+        if not self.folds or b"<" in word:
+            return word, word
+        form = word.lower() if word.isascii() else word
+        bare = form.rstrip(b".,;:!?")
+        return form, bare if bare[-1:].isalpha() else form
+
     def __missing__(self, word: bytes) -> bytes:
         out = self.older.get(word)
         if out is None:
-            # the case of ASCII words, and marks behind an ASCII letter, don't matter where the
-            # tokenizer folds and splits them anyway, so one entry serves many forms of a word;
-            # other letters may be normalised together with what follows them
-            form = word.lower() if self.folds and word.isascii() and b"<" not in word else word
-            bare = form.rstrip(b".,;:!?") if self.folds and b"<" not in word else form
-            if not bare[-1:].isalpha():
-                bare = form
+            form, bare = self._bare(word)
             if bare != form:
                 out = self[bare] + self[form[len(bare):]]
             elif form != word:
                 out = self[form]
             else:
                 out = self.encoded(word)
+        self._keep(word, out)
+        return out
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
         if self.size > MEMO_BYTES // 2:
             self.older = dict(self)
             self.clear()
             self.size = 0
-        self.size += len(word) + len(out) + 150
-        self[word] = out
-        return out
+        self.size += len(word) + len(ids) + 150
+        self[word] = ids
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode the words that are new in one call of the library; the ids of each are those
+        that start inside it. Words that begin with more than ASCII are left to single calls."""
+        new = set()
+        for word in set(words).difference(self):
+            if (ids := self.older.get(word)) is not None:
+                self._keep(word, ids)
+            elif (bare := self._bare(word)[1])[0] < 0x80 and bare not in self and bare not in self.older:
+                new.add(bare)
+        if len(new) < 2:
+            return
+        order = list(new)
+        texts = [w.decode("utf-8") for w in order]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(found.ids, self.kind)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        cuts = np.searchsorted([o[0] for o in found.offsets], starts).tolist()
+        for i, word in enumerate(order):
+            self._keep(word, ids[cuts[i]:cuts[i + 1]].tobytes())
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        words = text.split()
+        if len(words) > 1:
+            self.learn(words)
+        return b"".join(map(self.__getitem__, words))
 
     def wide(self, ids: bytes) -> bytes:
         """The ids as little-endian uint32."""

@@ -114,6 +114,9 @@ def test_words_encode_as_the_library_does(monkeypatch):
     for text in texts:
         want = memo.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(memo.wide(memo.encode(text.encode())), np.uint32).tolist() == want, text
+    for i in range(0, len(texts), 50):  # many new words in one call
+        text = " ".join(texts[i:i + 50]) + " " + " ".join(random_text(rng) for _ in range(50))
+        assert np.frombuffer(memo.wide(memo.encode(text.encode())), np.uint32).tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_joints_grow_until_both_sides_agree(monkeypatch):

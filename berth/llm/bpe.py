@@ -116,7 +116,7 @@ class Memo(dict):
         """Encode the words that are new in one call of the library; the ids of each are those
         that start inside it. Words that begin with more than ASCII are left to single calls."""
         new = set()
-        for word in set(words).difference(self):
+        for word in [w for w in set(words) if w not in self]:
             if (ids := self.older.get(word)) is not None:
                 self._keep(word, ids)
             elif (bare := self._bare(word)[1])[0] < 0x80 and bare not in self and bare not in self.older:

@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 NAV_CONTAINER = r"(?s)<nav\b[^>]*>(.*?)</nav>"
 ANY_LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
-DATASET_LINK = r"""(?s)<a\b[^>]*\bclass\s*=\s*["'][^"']*\bds\b[^"']*["'][^>]*>(.*?)</a>"""
+DATASET_LINK = r"""(?s)<a\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?ds(?:\s[^"']*)?["'][^>]*>(.*?)</a>"""
 # A module's tree item, up to the end of its title; what follows is its content.
-MODULE_ITEM = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'][^"']*\bt\b[^"']*["'][^>]*>\s*<span\b[^>]*>[^<]*{name}[^<]*</span>"""
+MODULE_ITEM = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?t(?:\s[^"']*)?["'][^>]*>\s*<span\b[^>]*>[^<]*{name}[^<]*</span>"""
                r"""(.*)$""")
-TREE = r"""(?si)<(ul|div)\b[^>]*\bclass\s*=\s*["'][^"']*\btreeview\b"""
+TREE = r"""(?si)<(ul|div)\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?treeview(?=[\s"'])"""
 TREE_FIRST_N = 15
 SURVEY_KEYWORDS = ("VBA", "Módulo", "Estado")
 SURVEY_FIRST_N = 20

@@ -70,3 +70,11 @@ def test_nested_items_and_every_container(spark):
     assert [r["text"] for r in D.discover_module_datasets(pages, "Mod A").orderBy("ordinal").collect()] == ["one", "two"]
     assert [r["text"] for r in D.discover_links(pages).orderBy("ordinal").collect()] == ["n1", "n2"]
     assert {tuple(r) for r in D.tree_survey(pages.where("html is not null")).collect()} == {(1, 3, 2), (2, 0, 0)}
+
+
+def test_classes_are_whole_words(spark):
+    from berth.operators import discover
+    html = ('<ul class="treeview"><li class="t-old"><span>Módulo X</span><a class="ds">zero</a></li></ul>'
+            '<li class="a t"><span>Módulo X</span><a class="no-ds">one</a><a class="ds">two</a><a class="x ds y">three</a><a class="dst">four</a></li>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r.text for r in discover.discover_module_datasets(pages, "Módulo X").orderBy("ordinal").collect()] == ["two", "three"]

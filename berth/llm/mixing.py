@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from berth.llm.common import SPACE, stash
+from berth.llm.common import SPACE, stash, unused
 
 #: Documents of one source whose ranking one window group holds, on average.
 BUCKET_ROWS = 5000
@@ -114,17 +114,19 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Only the per-source cut travels: a document is taken once more if its place in
     the Pareto order is not behind the last one taken of its source.
     """
-    picked = stash(plan(docs, **options))
+    picked = stash(plan(docs.select("doc_id", "source", "text"), **options))
+    name = {x: unused(docs, f"__{x}") for x in ("whole", "rest", "size", "cut", "source", "copies", "copy")}
+    own = {x: F.col(n) for x, n in name.items()}
     cut = picked.groupBy("source").agg(
-        F.first("whole").alias("__whole"), F.first("rest").alias("__rest"), F.first("source_size").alias("__size"),
-        F.max(F.when(F.col("copies") > F.col("whole"), F.struct("key", "doc_id"))).alias("__cut")).withColumnRenamed("source", "__source")
-    joined = docs.join(cut, docs["source"].eqNullSafe(F.col("__source")))
-    p = F.col("__rest") / F.col("__size")
-    key = F.when(F.col("__rest") > 0, pareto_key(draw(docs["doc_id"]), p))
-    inside = F.struct(key.alias("key"), docs["doc_id"].alias("doc_id")) <= F.col("__cut")
-    copies = F.col("__whole") + F.coalesce(key.isNotNull() & inside, F.lit(False)).cast("long")
-    return (joined.withColumn("__copies", copies).where("__copies > 0")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+        F.first("whole").alias(name["whole"]), F.first("rest").alias(name["rest"]), F.first("source_size").alias(name["size"]),
+        F.max(F.when(F.col("copies") > F.col("whole"), F.struct("key", "doc_id"))).alias(name["cut"])).withColumnRenamed("source", name["source"])
+    joined = docs.join(cut, docs["source"].eqNullSafe(own["source"]))
+    p = own["rest"] / own["size"]
+    key = F.when(own["rest"] > 0, pareto_key(draw(docs["doc_id"]), p))
+    inside = F.struct(key.alias("key"), docs["doc_id"].alias("doc_id")) <= own["cut"]
+    copies = own["whole"] + F.coalesce(key.isNotNull() & inside, F.lit(False)).cast("long")
+    return (joined.withColumn(name["copies"], copies).where(own["copies"] > 0)
+            .withColumn(name["copy"], F.explode(F.sequence(F.lit(1), own["copies"].cast("int"))))
             .select(*(docs[c] for c in docs.columns)))
 
 

@@ -212,6 +212,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     prefix = "__quality_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
     told = stash(with_statistics(docs, prefix=prefix))
     rules = rules_for(told, labels, prefix)
     return told.where(~base_failed(prefix) & verdict(rules, prefix)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from berth.session import ensure_checkpoint_dir
+from berth.session import delete_folder, ensure_checkpoint_dir
 
 #: Characters that separate words in every contract of this package.
 SPACE = "\\x20\\x09-\\x0D"
@@ -19,15 +20,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where the folders of stashed tables are noted, inside :func:`collected_scratch`.
+_collected: list[str] | None = None
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet under the cluster's shared folder and read it
     back: later steps then never recompute what led to it, and survive a lost
-    executor. The folder belongs to the cluster's checkpoint storage and is
-    cleared with it."""
+    executor. It stays until :func:`drop` or :func:`drop_scratch` remove it."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _collected is not None:
+        _collected.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables of :func:`stash` that nothing unwritten reads any more."""
+    for t in tables:
+        delete_folder(t.sparkSession, t.stashed_at)
+
+
+@contextmanager
+def collected_scratch(folders: list[str]) -> Iterator[None]:
+    """Notes in ``folders`` what :func:`stash` writes inside the block."""
+    global _collected
+    before, _collected = _collected, folders
+    try:
+        yield
+    finally:
+        _collected = before
+
+
+def drop_scratch(spark: SparkSession, folders: list[str]) -> None:
+    """Remove the folders of collected tables."""
+    while folders:
+        delete_folder(spark, folders.pop())
 
 
 def unused(df: DataFrame, stem: str) -> str:

@@ -1,119 +1,115 @@
 """Find dataset links and survey elements in collected web pages.
 
-Pages are rows (``page_id, url, html``); everything is per row — regex
-extraction, array functions, ``posexplode`` — so there is no shuffle and a
-page never meets another page. Patterns are arguments: the portal's tree
-(module ``<li class="t …">`` holding ``<a class="ds">`` links) is the default
-for module-scoped discovery; a generic container/link pair serves any page.
+Pages are rows (``page_id, url, html``); a page becomes tokens and elements
+(:mod:`berth.functions.html`) inside its row, so there is no shuffle and a page never
+meets another page. Which elements count is an argument, a :class:`Selector`; the
+defaults are the portal's tree (module items ``li.t`` that hold ``a.ds`` links). Pages
+without html have no elements.
 """
 
 from __future__ import annotations
 
-import re
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from berth.functions.html import count_open, has_class, inside, let, ranges, text_of, tokens
+
+
+class Selector(NamedTuple):
+    """Elements with one of ``tags`` and, if given, the class ``cls`` among theirs."""
+
+    tags: tuple[str, ...]
+    cls: str | None = None
+
+    def holds(self, element: Column) -> Column:
+        named = element["name"].isin(*self.tags)
+        return named if self.cls is None else named & has_class(element["tag"], self.cls)
+
+
 # ---------------------------------------------------------------------------
-# FIXED VALUES — page shapes and words the portal crawl looks for.
+# FIXED VALUES — elements and words that the portal crawl looks for.
 # ---------------------------------------------------------------------------
-NAV_CONTAINER = r"(?s)<nav\b[^>]*>(.*?)</nav>"
-ANY_LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
-DATASET_LINK = r"""(?s)<a\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?ds(?:\s[^"']*)?["'][^>]*>(.*?)</a>"""
-# A module's tree item, up to the end of its title; what follows is its content.
-MODULE_ITEM = (r"""(?si)<li\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?t(?:\s[^"']*)?["'][^>]*>\s*<span\b[^>]*>[^<]*{name}[^<]*</span>"""
-               r"""(.*)$""")
-TREE = r"""(?si)<(ul|div)\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?treeview(?=[\s"'])"""
+NAV = Selector(("nav",))
+ANY_LINK = Selector(("a",))
+DATASET_LINK = Selector(("a",), "ds")
+MODULE_ITEM = Selector(("li",), "t")
+MODULE_TITLE = Selector(("span",))
+TREE = Selector(("ul", "div"), "treeview")
 TREE_FIRST_N = 15
 SURVEY_KEYWORDS = ("VBA", "Módulo", "Estado")
 SURVEY_FIRST_N = 20
 SURVEY_SECTION = "Estadísticas de Medio Ambiente"
 SURVEYED_TAGS = ("span", "input", "button", "a", "li", "ul", "nav")
 FALLBACK_WORDS = ("Aire", "Agua")
-# HTML entities decoded in link text (``&amp;`` last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&"))
 # ---------------------------------------------------------------------------
 
 
-def element_text(c: Column) -> Column:
-    """Text content of an element's inner HTML: tags dropped, entities decoded."""
-    t = F.regexp_replace(c, r"<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
-
-
 def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def element_content(tail: Column, tag: str = "li") -> Column:
-    """The part of ``tail`` before the end tag that closes the ``tag`` it starts in:
-    a running depth over opening and closing tags, so nested elements stay inside."""
-    parts = F.split(tail, rf"(?i)</{tag}\s*>")
-    opened = F.transform(parts, lambda p: F.regexp_count(p, F.lit(rf"(?i)<{tag}\b")))
-    zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-    state = F.aggregate(opened, zero, lambda a, n: F.when(a["depth"] == 0, a).otherwise(
-        F.struct((a["depth"] + n - 1).alias("depth"), (a["taken"] + 1).alias("taken"))))
-    return F.array_join(F.slice(parts, F.lit(1), state["taken"]), f"</{tag}>")
-
-
-def _texts(scopes: Column, link: str) -> Column:
-    """Link texts in an array of page parts: trimmed, blanks dropped, duplicates
-    dropped keeping the first position."""
-    raw = F.flatten(F.transform(scopes, lambda s: F.regexp_extract_all(s, F.lit(link), 1)))
-    texts = F.transform(raw, lambda x: strip_ws(element_text(x)))
-    return F.array_distinct(F.filter(texts, lambda x: x != ""))
+def _parsed(pages: DataFrame, *selectors: Selector) -> DataFrame:
+    """``page_id``, the page's tokens and, for each selector, its elements ``__e<i>``."""
+    d = pages.select("page_id", tokens(F.col("html")).alias("__tok"))
+    names = sorted({t for s in selectors for t in s.tags})
+    d = d.select("page_id", "__tok", ranges(F.col("__tok"), names).alias("__all"))
+    return d.select("page_id", "__tok", *(F.filter("__all", s.holds).alias(f"__e{i}") for i, s in enumerate(selectors)))
 
 
-def link_texts(html: Column, container: str | None, link: str) -> Column:
-    """Ordered array of link texts inside every ``container`` match (the
-    whole page when ``container`` is None)."""
-    scopes = F.array(html) if container is None else F.regexp_extract_all(html, F.lit(container), 1)
-    return _texts(scopes, link)
+def _texts(elements: Column) -> Column:
+    return F.transform(elements, lambda e: text_of(F.col("__tok"), e))
 
 
-def _listed(d: DataFrame) -> DataFrame:
-    return d.select("page_id", F.posexplode("__t").alias("__p", "text")).select(
-        "page_id", (F.col("__p") + 1).cast("bigint").alias("ordinal"), "text")
+def _listed(d: DataFrame, links: Column) -> DataFrame:
+    """The trimmed texts of ``links`` in page order, without blanks and repeats."""
+    texts = F.filter(F.transform(_texts(links), strip_ws), lambda x: x != "")
+    # an outer generator: no filter on the array goes below it, which would build the array again
+    d = d.select("page_id", F.posexplode_outer(F.array_distinct(texts)).alias("__p", "text")).where("text is not null")
+    return d.select("page_id", (F.col("__p") + 1).cast("bigint").alias("ordinal"), "text")
 
 
-def discover_links(pages: DataFrame, container: str | None = NAV_CONTAINER,
-                   link: str = ANY_LINK) -> DataFrame:
-    """``page_id, ordinal, text`` — the discovered link texts in page order."""
-    return _listed(pages.select("page_id", link_texts(F.col("html"), container, link).alias("__t")))
+def discover_links(pages: DataFrame, container: Selector | None = NAV, link: Selector = ANY_LINK) -> DataFrame:
+    """``page_id, ordinal, text`` — the texts of the links inside any ``container`` (anywhere
+    when it is None), in page order."""
+    if container is None:
+        return _listed(_parsed(pages, link), F.col("__e0"))
+    within = F.filter("__e1", lambda a: F.exists("__e0", lambda c: inside(a, c)))
+    return _listed(_parsed(pages, container, link), within)
 
 
 def discover_module_datasets(pages: DataFrame, module_name: str) -> DataFrame:
-    """Dataset links (``a.ds``) inside one module of the portal tree, those of
-    nested items included."""
-    tail = F.regexp_extract("html", MODULE_ITEM.replace("{name}", re.escape(module_name)), 1)
-    d = pages.select("page_id", tail.alias("__tail"))
-    return _listed(d.select("page_id", _texts(F.array(element_content(F.col("__tail"))), DATASET_LINK).alias("__t")))
+    """Dataset links (``a.ds``) of one module of the portal tree: those inside the innermost
+    ``li.t`` around the first title span that holds the module's name (in any case) and
+    stands in such an item. Links of nested items belong to it."""
+    d = _parsed(pages, MODULE_ITEM, MODULE_TITLE, DATASET_LINK)
+    titled = F.filter("__e1", lambda s: F.lower(text_of(F.col("__tok"), s)).contains(F.lower(F.lit(module_name))))
+    around = F.transform(titled, lambda s: F.try_element_at(F.filter("__e0", lambda i: inside(s, i)), F.lit(-1)))
+    item = F.get(F.filter(around, lambda i: i.isNotNull()), 0)
+    links = let(item, lambda i: F.filter("__e2", lambda a: F.coalesce(inside(a, i), F.lit(False))))
+    return _listed(d, links)
 
 
 def tree_survey(pages: DataFrame, first_n: int = TREE_FIRST_N) -> DataFrame:
     """Per page: spans inside the (first) tree, and how many of the first
     ``first_n`` are not blank."""
-    d = pages.select("page_id", F.regexp_extract("html", TREE + "(.*)$", 2).alias("__tail"),
-                     F.lower(F.regexp_extract("html", TREE, 1)).alias("__tag"))
-    tree = F.when(F.col("__tag") == "ul", element_content(F.col("__tail"), "ul")).otherwise(element_content(F.col("__tail"), "div"))
-    d = d.select("page_id", _elements(tree, "span").alias("__e"))
+    spans = let(F.get(F.col("__e0"), 0), lambda tree: F.filter("__e1", lambda s: F.coalesce(inside(s, tree), F.lit(False))))
+    d = _parsed(pages, TREE, MODULE_TITLE).select("page_id", "__tok", spans.alias("__e"))
+    head = _texts(F.slice("__e", 1, first_n))
     return d.select("page_id", F.size("__e").cast("bigint").alias("n_tree_items"),
-                    F.size(F.filter(F.slice("__e", 1, first_n), lambda x: strip_ws(x) != "")).cast("bigint").alias("n_nonblank_head"))
+                    F.size(F.filter(head, lambda x: strip_ws(x) != "")).cast("bigint").alias("n_nonblank_head"))
 
 
 def element_survey(pages: DataFrame, tags: Sequence[str] = SURVEYED_TAGS) -> DataFrame:
     """``page_id`` plus one ``n_<tag>`` count per surveyed tag (static HTML)."""
-    return pages.select("page_id", *[
-        F.regexp_count("html", F.lit(rf"(?i)<{t}\b")).cast("bigint").alias(f"n_{t}") for t in tags])
+    d = pages.select("page_id", tokens(F.col("html")).alias("__tok"))
+    return d.select("page_id", *[count_open(F.col("__tok"), t).alias(f"n_{t}") for t in tags])
 
 
-def _elements(html: Column, tag: str) -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(rf"(?si)<{tag}\b[^>]*>(.*?)</{tag}>"), 1),
-                       lambda x: element_text(x))
+def _element_texts(pages: DataFrame, tag: str) -> DataFrame:
+    """``page_id, __e``: the texts of all elements of one tag."""
+    return _parsed(pages, Selector((tag,))).select("page_id", _texts(F.col("__e0")).alias("__e"))
 
 
 def _contains_any(c: Column, words: Sequence[str]) -> Column:
@@ -128,7 +124,7 @@ def keyword_survey(pages: DataFrame, tag: str = "span", keywords: Sequence[str]
     """Per page: number of ``tag`` elements, how many of the first ``first_n``
     contain one of ``keywords``, how many of those are non-blank, and how
     many elements in all mention ``section``."""
-    d = pages.select("page_id", _elements(F.col("html"), tag).alias("__e"))
+    d = _element_texts(pages, tag)
     head = F.slice(F.col("__e"), 1, first_n)
     return d.select(
         "page_id",
@@ -148,7 +144,7 @@ def module_element(pages: DataFrame, module_names: Sequence[str], tag: str = "sp
     module: the first whose text contains the module name (any case), else
     the first containing a fallback word the module name holds ("Aire",
     then "Agua"); ``how`` is ``exact``, ``fallback`` or ``none``."""
-    d = pages.select("page_id", _elements(F.col("html"), tag).alias("__e"))
+    d = _element_texts(pages, tag)
     mods = F.array(*[F.lit(m) for m in module_names])
     d = d.select("page_id", "__e", F.explode(mods).alias("module"))
     idx = F.zip_with(F.col("__e"), F.sequence(F.lit(1), F.greatest(F.size("__e"), F.lit(1))),

@@ -262,6 +262,22 @@ def portal_module_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.module_element(fixtures.portal_pages(spark, sf_dir), fixtures.MODULE_NAMES)
 
 
+def wild_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.discover_links(fixtures.wild_pages(spark, sf_dir))
+
+
+def wild_module_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.discover_module_datasets(fixtures.wild_pages(spark, sf_dir), fixtures.MODULE_NAMES[0])
+
+
+def wild_element_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.element_survey(fixtures.wild_pages(spark, sf_dir))
+
+
+def wild_module_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover.module_element(fixtures.wild_pages(spark, sf_dir), fixtures.MODULE_NAMES)
+
+
 def quoted_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` landed as CSV text of our own (doubled quotes, line breaks inside
     fields, two header orders, half-numeric, boolean and empty columns), loaded

@@ -149,6 +149,25 @@ def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", html.alias("html"))
 
 
+def wild_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, html`` — pages made from ``pages`` in the markup that portals really
+    send: comments and scripts that hold tags, ``>`` inside attribute values, classes in
+    single, double or no quotes, list items without end tags, character references."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    i = F.col("page_id").cast("string")
+    url = F.replace(F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&#62;"))
+    html = F.concat(
+        F.lit("<!DOCTYPE html><!-- <nav><a>hidden</a></nav> > --><script>if (a < b) x = '<nav><a>code</a></nav>';</script>"),
+        F.lit("""<nav data-rule="a > b" class='main menu'><a title="x>y" href=#>enlace&nbsp;"""), i,
+        F.lit("""</a><A HREF='/b>c'>M&#243;dulo &#xE1;rea &lt;"""), i, F.lit("&gt;</A><a>dos <b>partes</b><!-- </a> --> juntas</a><a>"), url,
+        F.lit(f"""</a></nav><ul class='big treeview'><li class="t-old"><span>{MODULE_NAMES[0]}</span><a class="ds">viejo</a>"""),
+        F.lit("""<li class='x t'><span title="</span>">M&oacute;dulo <i>VBA- Estado</i> - Aire</span><ul><li><a class="no-ds">no</a>"""),
+        F.lit("""<li><a title=" class='no' >" class="a ds">serie """), i, F.lit("</a><li><a class=ds>literal &amp;amp;</a>"),
+        F.repeat(F.lit("<li><A CLASS='ds z'>igual</A>"), (F.col("page_id") % 5).cast("int")),
+        F.lit("</ul><li class=t><span>otro</span><a class=ds>ajeno</a></ul>"))
+    return p.select("page_id", html.alias("html"))
+
+
 def land_quoted(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """``events`` as CSV text under ``folder/events``, two header orders by parity."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")

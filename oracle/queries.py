@@ -457,3 +457,27 @@ n AS (SELECT *, CASE k % 7 WHEN 0 THEN '.hidden_' || k || '.csv' WHEN 1 THEN '_u
 SELECT folder || '/' || name AS rel, name, length,
        CAST(row_number() OVER (ORDER BY lower(name), name, folder || '/' || name) AS INT) AS place
 FROM n WHERE ends_with(name, '.csv')"""
+
+
+# Pages in wild markup: what a browser shows of them, from page_id and url alone.
+def wild_links() -> str:
+    return f"""SELECT page_id, CAST(1 AS BIGINT) AS ordinal, 'enlace' || chr(160) || CAST(page_id AS VARCHAR) AS text FROM pages
+UNION ALL SELECT page_id, 2, 'Módulo área <' || CAST(page_id AS VARCHAR) || '>' FROM pages
+UNION ALL SELECT page_id, 3, 'dos partes juntas' FROM pages
+UNION ALL SELECT page_id, 4, {_trim_ws('url')} FROM pages"""
+
+
+def wild_module_datasets() -> str:
+    return """SELECT page_id, CAST(1 AS BIGINT) AS ordinal, 'serie ' || CAST(page_id AS VARCHAR) AS text FROM pages
+UNION ALL SELECT page_id, 2, 'literal &amp;' FROM pages
+UNION ALL SELECT page_id, 3, 'igual' FROM pages WHERE page_id % 5 > 0"""
+
+
+def wild_element_survey() -> str:
+    return """SELECT page_id, CAST(3 AS BIGINT) AS n_span, CAST(0 AS BIGINT) AS n_input, CAST(0 AS BIGINT) AS n_button,
+       CAST(9 + page_id % 5 AS BIGINT) AS n_a, CAST(6 + page_id % 5 AS BIGINT) AS n_li, CAST(2 AS BIGINT) AS n_ul, CAST(1 AS BIGINT) AS n_nav FROM pages"""
+
+
+def wild_module_element() -> str:
+    return """SELECT page_id, 'Módulo VBA- Estado - Aire' AS module, CAST(1 AS BIGINT) AS ordinal, 'Módulo VBA- Estado - Aire' AS text, 'exact' AS how FROM pages
+UNION ALL SELECT page_id, 'Módulo VBA- Estado- Agua', NULL, NULL, 'none' FROM pages"""

@@ -1,7 +1,8 @@
 """Command line: the landing-zone tool's flags, each one Spark job.
 
     python -m berth --countfiles --dir <folder>
-    python -m berth --missingfiles [--scope all|aire|agua] --dir <folder>
+    python -m berth --missingfiles [--scope all|aire|agua] [--report <file>] --dir <folder>
+    python -m berth --summary [--configured aire=<title>|<title>] [--report <file>] --dir <folder>
     python -m berth --standardize [--drop-timestamp] [--dry-run] --dir <folder>
     python -m berth --loaddb --dir <folder> [--schema public] [--if-exists append|replace|fail]
                     [--location <tables folder> | --jdbc-url <url>] [--csv-sep ,] [--csv-encoding UTF-8]
@@ -13,7 +14,6 @@ The session comes from ``SparkSession.builder`` (spark-submit configures it).
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
@@ -25,7 +25,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--countfiles", action="store_true")
     p.add_argument("--missingfiles", action="store_true")
     p.add_argument("--scope", choices=["all", "aire", "agua"], default="all")
-    p.add_argument("--report", help="where to write the missing-files report (text parts)")
+    p.add_argument("--summary", action="store_true", help="summary of the downloads by module")
+    p.add_argument("--configured", action="append", default=[], metavar="MODULE=TITLE|TITLE",
+                   help="datasets of a module that are configured, not discovered")
+    p.add_argument("--report", help="where to write the report (default: in the folder)")
     p.add_argument("--standardize", action="store_true")
     p.add_argument("--drop-timestamp", action="store_true")
     p.add_argument("--dry-run", action="store_true")
@@ -48,6 +51,14 @@ def _lines(df) -> None:
         print("\t".join("" if v is None else str(v) for v in r))
 
 
+def _report(lines) -> None:
+    """A report's lines in order; the driver holds one partition at a time."""
+    from berth.plans.reports import in_order
+
+    for r in in_order(lines).toLocalIterator():
+        print(r["line"])
+
+
 def main(argv: list[str] | None = None) -> int:
     from berth.plans import jobs
     from berth.plans.load import LoadError, load_totals
@@ -65,10 +76,19 @@ def main(argv: list[str] | None = None) -> int:
         report.show(truncate=False)
         return 0
     if args.missingfiles:
-        stamp = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
-        status, row = jobs.reconcile_folder(spark, args.dir, args.scope, stamp, args.report)
-        if row is not None:
-            row.show(truncate=False)
+        status, _, lines = jobs.reconcile_folder(spark, args.dir, args.scope, report_path=args.report)
+        if lines is None:
+            print(f"folder not found: {args.dir}")
+        else:
+            _report(lines)
+        return status
+    if args.summary:
+        configured = {m: [t for t in titles.split("|") if t] for m, _, titles in (c.partition("=") for c in args.configured)}
+        status, lines = jobs.summarize_downloads(spark, args.dir, configured, report_path=args.report)
+        if lines is None:
+            print(f"folder not found: {args.dir}")
+        else:
+            _report(lines)
         return status
     if args.standardize:
         try:
@@ -91,7 +111,7 @@ def main(argv: list[str] | None = None) -> int:
         _lines(manifest)
         load_totals(manifest).show()
         return 0
-    print("nothing to do: pass --countfiles, --missingfiles, --standardize or --loaddb")
+    print("nothing to do: pass --countfiles, --missingfiles, --summary, --standardize or --loaddb")
     return 0
 
 

@@ -166,6 +166,17 @@ def run_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      REPORT_STAMP, REPORT_DIR)
 
 
+#: Modules whose datasets are configured in ``preset_summary_lines``.
+CONFIGURED = {"agua": ["Nivel medio del mar"]}
+
+
+def preset_summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The download summary when one module has configured datasets."""
+    from berth.plans import reports
+    return reports.run_summary_lines(fixtures.downloads(spark, sf_dir), reports.modules_frame(spark, CONFIGURED),
+                                     REPORT_STAMP, REPORT_DIR)
+
+
 @contextmanager
 def _loaded_events(spark: SparkSession, sf_dir: str):
     """Land ``events`` as CSV files (one folder per event type) in a scratch folder and load
@@ -225,10 +236,11 @@ def month_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected titles per scope beside the titles that the landing zone holds."""
+    """Expected titles per scope, and of all (scope ``total``), beside the titles that the landing zone holds."""
     found = reconcile.title_matches(catalog(spark), _files(spark, sf_dir)).select("idx").distinct().withColumn("held", F.lit(1))
     rows = catalog(spark).join(F.broadcast(found), "idx", "left")  # at most one row a title
-    return rows.groupBy("scope").agg(F.count("*").alias("n_expected"), F.count("held").alias("n_held"))
+    sums = rows.rollup("scope").agg(F.count("*").alias("n_expected"), F.count("held").alias("n_held"))
+    return sums.withColumn("scope", F.coalesce("scope", F.lit("total")))
 
 
 def folder_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ by a range-partitioned sort — no list is ever gathered on the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ MODE_AUTO = "AUTO-DESCUBRIMIENTO"
 MODE_PRESET = "CONFIGURACIÓN PREDEFINIDA"
 # ---------------------------------------------------------------------------
 
+#: Reports of up to so many lines (about 100 MB) are one file.
+ONE_FILE_LINES = 1_000_000
 LINES_SCHEMA = "section INT, seq INT, ord BIGINT, key STRING, line STRING"
 
 
@@ -165,10 +169,26 @@ def run_summary_lines(downloads: DataFrame, modules: DataFrame, stamp: str, targ
     return out
 
 
-def write_lines(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a line frame as text in report order (ordered part files, or
-    one file when the report is known to be small)."""
-    ordered = lines.orderBy("section", "seq", "ord", "key").select("line")
-    if single_file:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").text(path)
+def in_order(lines: DataFrame) -> DataFrame:
+    """``line`` in report order."""
+    return lines.orderBy("section", "seq", "ord", "key").select("line")
+
+
+def write_lines(lines: DataFrame, path: str, one_file_lines: int = ONE_FILE_LINES) -> None:
+    """Write a line frame as text at ``path``, replacing what is there: one file if it was
+    counted and has at most ``one_file_lines`` lines, else a folder of ordered part files."""
+    spark = lines.sparkSession
+    parts = f"{path.rstrip('/')}.{uuid.uuid4().hex}.parts"
+    small = lines.limit(one_file_lines + 1).count() <= one_file_lines
+    ordered = in_order(lines.coalesce(1) if small else lines)
+    ordered.write.text(parts)
+    paths = spark._jvm.org.apache.hadoop.fs
+    folder = paths.Path(parts)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = folder
+    if small:
+        written = fs.globStatus(paths.Path(folder, "part-*"))[0].getPath()
+    fs.delete(paths.Path(path), True)
+    if not fs.rename(written, paths.Path(path)):
+        raise OSError(f"the report could not be moved to {path}; it is in {parts}")
+    fs.delete(folder, True)

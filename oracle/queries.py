@@ -345,7 +345,11 @@ SELECT module, name, mode, n_files FROM per UNION ALL
 SELECT NULL, NULL, NULL, CAST(sum(n_files) AS BIGINT) FROM per"""
 
 
-def run_summary_lines() -> str:
+def preset_summary_lines() -> str:
+    return run_summary_lines("CASE WHEN module = 'agua' THEN 'CONFIGURACIÓN PREDEFINIDA' ELSE mode END")
+
+
+def run_summary_lines(mode: str = "mode") -> str:
     r60 = "=" * 60
     return with_landing(DOWNLOADS_CTE) + f"""
 , lines(section, seq, ord, key, line) AS (
@@ -355,7 +359,7 @@ def run_summary_lines() -> str:
   SELECT 0, 3, 0, '', 'Directorio de descargas: {RDIR}' UNION ALL
   SELECT 0, 4, 0, '', '' UNION ALL
   SELECT s, 0, 0, '', 'Módulo: ' || name FROM per UNION ALL
-  SELECT s, 1, 0, '', 'Modo: ' || mode FROM per UNION ALL
+  SELECT s, 1, 0, '', 'Modo: ' || {mode} FROM per UNION ALL
   SELECT s, 2, 0, '', 'Archivos descargados: ' || CAST(n_files AS VARCHAR) FROM per UNION ALL
   SELECT s, 3, 0, '', '' FROM per UNION ALL
   SELECT m.s, 4, dl.file_id, '', '  - ' || regexp_extract(dl.path, '[^/]*$') FROM dl JOIN mods m USING (module) UNION ALL
@@ -401,7 +405,8 @@ def ranged_load() -> str:
 def expected_by_scope() -> str:
     return with_landing(pairs_cte(), "held AS (SELECT DISTINCT idx FROM pairs)") + (
         "SELECT c.scope, count(*) AS n_expected, count(h.idx) AS n_held "
-        "FROM catalog c LEFT JOIN held h USING (idx) GROUP BY c.scope")
+        "FROM catalog c LEFT JOIN held h USING (idx) GROUP BY c.scope UNION ALL "
+        "SELECT 'total', (SELECT count(*) FROM catalog), (SELECT count(*) FROM held)")
 
 
 # Pages of the portal's shape: what they hold follows from page_id and url alone.

@@ -103,6 +103,7 @@ def test_missing_folder(spark, scratch):
     with pytest.raises(FolderNotFound):
         inventory(spark, os.path.join(scratch, "nope"))
     assert jobs.reconcile_folder(spark, os.path.join(scratch, "nope"))[0] == 3
+    assert jobs.summarize_downloads(spark, os.path.join(scratch, "nope")) == (3, None)
     assert jobs.count_files(spark, os.path.join(scratch, "nope"))[0] == 3
 
 
@@ -185,11 +186,36 @@ def test_files_that_come_meanwhile_are_not_overwritten(spark, scratch):
     assert {n: open(os.path.join(d, n)).read() for n in os.listdir(d)} == {"a.csv": "new", "b.csv": "old", "kept.csv": "newer"}
 
 
-def test_command_line_exit_codes(spark, scratch):
+def test_reports_past_the_limit_are_folders_of_parts(spark, scratch):
+    from berth.plans import reports
+    path = os.path.join(scratch, "long.txt")
+    lines = spark.range(300).selectExpr("0 section", "0 seq", "id ord", "'' key", "concat('l', id) line").repartition(4)
+    for limit in (300, 299):
+        reports.write_lines(lines, path, one_file_lines=limit)
+        assert os.path.isfile(path) == (limit == 300)
+        files = [path] if limit == 300 else sorted(os.path.join(path, n) for n in os.listdir(path) if n.startswith("part-"))
+        assert [x for f in files for x in open(f).read().split()] == [f"l{i}" for i in range(300)]
+    assert [n for n in os.listdir(scratch) if "long" in n and not n.startswith(".")] == ["long.txt"]
+
+
+def test_command_line_exit_codes(spark, scratch, capsys):
     from berth.__main__ import main
+    from berth.sources.catalog import WATER_TITLES
     d = os.path.join(scratch, "cli")
     write(os.path.join(d, "Temperatura media.csv"), "a\n1\n")
     assert main(["--missingfiles", "--dir", d]) == 2          # 86 titles missing
+    report = open(os.path.join(d, "missingfiles.txt"), encoding="utf-8").read().split("\n")
+    assert report[1] == f"Carpeta analizada: {d}" and "TOTAL FALTANTES: 86" in report and "Total extras: 0" in report
+    assert main(["--missingfiles", "--dir", d]) == 2          # the report is replaced
+    assert main(["--missingfiles", "--dir", os.path.join(scratch, "nope")]) == 3
+    printed = capsys.readouterr().out.split("\n")
+    assert report.count(" - " + WATER_TITLES[0]) == 1 and printed.count(" - " + WATER_TITLES[0]) == 2
+    assert main(["--summary", "--configured", "agua=Nivel medio del mar", "--dir", d]) == 0
+    summary = open(os.path.join(d, "scraping_report.txt"), encoding="utf-8").read().split("\n")
+    assert summary[5:10] == ["Módulo: Módulo VBA- Estado - Aire", "Modo: AUTO-DESCUBRIMIENTO", "Archivos descargados: 1", "",
+                             "  - Temperatura media.csv"]
+    assert summary[11:14] == ["Módulo: Módulo VBA- Estado- Agua", "Modo: CONFIGURACIÓN PREDEFINIDA", "Archivos descargados: 0"]
+    assert sorted(n for n in os.listdir(d) if not n.startswith(".")) == ["Temperatura media.csv", "missingfiles.txt", "scraping_report.txt"]
     assert main(["--countfiles", "--dir", os.path.join(scratch, "nope")]) == 3
     assert main(["--standardize", "--dry-run", "--dir", d]) == 0
     assert main(["--loaddb", "--dir", d, "--location", os.path.join(scratch, "t")]) == 0

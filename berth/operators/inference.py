@@ -14,6 +14,8 @@ least one ISO date becomes TIMESTAMP.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,9 +64,30 @@ def as_timestamp(v: Column) -> Column:
     return F.when(v.rlike(DATE_SHAPE), F.try_to_timestamp(v))
 
 
+def date_shape(pattern: str) -> str | None:
+    """A regular expression that matches all texts that a datetime pattern reads, and few others;
+    None if the pattern has more than numbers, optional parts and plain signs."""
+    out = []
+    for part in re.findall(r"(?s)([A-Za-z])(\1*)|(.)", pattern):
+        letter, n, sign = part[0], 1 + len(part[1]), part[2]
+        if letter == "y":
+            out.append("[+-]?[0-9]+")
+        elif letter and letter in "MdHms" and n <= 2:
+            out.append("[0-9]{2}" if n == 2 else "[+-]?[0-9]+")
+        elif letter or sign in "'{}#":
+            return None
+        else:
+            out.append({"[": "(", "]": ")?"}.get(sign) or re.escape(sign))
+    return f"^{''.join(out)}$" if pattern.count("[") == pattern.count("]") else None
+
+
 def as_date(v: Column, pattern: str) -> Column:
-    """A timestamp written as ``pattern`` says (``ISO`` or a datetime pattern)."""
-    return as_timestamp(v) if pattern == "ISO" else F.try_to_timestamp(v, F.lit(pattern))
+    """A timestamp written as ``pattern`` says (``ISO`` or a datetime pattern); texts of another
+    shape are not handed to the parser, which is slow where it fails."""
+    if pattern == "ISO":
+        return as_timestamp(v)
+    shape, read = date_shape(pattern), F.try_to_timestamp(v, F.lit(pattern))
+    return F.when(v.rlike(shape), read) if shape else read
 
 
 def kind_counts(value: Column, date_formats: tuple[str, ...] = ()) -> list[Column]:

@@ -10,10 +10,15 @@ Quotes are doubled inside quoted fields, which may hold separators and line brea
 of several ranges must not hold an unpaired quote inside an unquoted field; if a range does
 not end with a record, the read stops. Encodings in which a byte of a character can look
 like a quote or a line feed (UTF-16, UTF-32) are read in one range.
+
+Ranges are dealt to tasks in order of their size, so that a task has ``TASK_BYTES`` and one
+range more at most. Bytes are parsed as they are read.
 """
 
 from __future__ import annotations
 
+import io
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from berth.operators.ranking import rank_within
 from berth.sources.listing import file_system
 
 RANGE_BYTES = 64 << 20
+#: What one task reads, and how many ranges (or files), on the average at most.
+TASK_BYTES, TASK_RANGES = 16 << 20, 1_000
 _PIECE = 1 << 20
+_FIRST_PIECE = 1 << 12
 _ROWS = 4096
 
 
@@ -46,7 +55,6 @@ def splittable(encoding: str) -> bool:
 def first_record(stream, sep: str, encoding: str) -> list[str]:
     """The first CSV record of an open file; [] if it is empty."""
     import csv
-    import io
     data, size = b"", 1 << 16
     while True:
         part = stream.read(size)
@@ -90,20 +98,28 @@ def _odd_quotes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def ranges(files: DataFrame, encoding: str, size: int) -> DataFrame:
     """``files(path, length, ...)`` with a row for each range: ``start, end, inside`` (quotes at
-    ``start``) and ``last``."""
-    whole = F.struct(F.lit(0).cast("long").alias("start"), F.col("length").alias("end"), F.lit(True).alias("last"))
-    if not splittable(encoding):
-        return files.withColumn("r", whole).select(*files.columns, "r.*", F.lit(False).alias("inside"))
-    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(size).cast("long"))
-    cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.least(s + size, F.col("length")).alias("end"),
-                                                 (s + size >= F.col("length")).alias("last")))
-    split = files.where(F.col("length") > size).select(*files.columns, F.inline(cut))
-    odd = split.select("path", "start", "end").repartition("path", "start").mapInArrow(_odd_quotes, "path string, start long, odd int")
-    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    parity = odd.select("path", "start", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
-    split = split.join(parity, ["path", "start"])
-    one = files.where(F.col("length") <= size).withColumn("r", whole).select(*files.columns, "r.*", F.lit(False).alias("inside"))
-    return one.unionByName(split)
+    ``start``) and ``last``, dealt to as many partitions as its bytes need."""
+    spark = files.sparkSession
+    step = F.lit(size).cast("long") if splittable(encoding) else F.greatest("length", F.lit(1)).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), step)
+    cut = F.transform(starts, lambda s: F.struct(s.alias("start"), F.least(s + step, F.col("length")).alias("end"), (s + step >= F.col("length")).alias("last")))
+    n_bytes, n_ranges, n_cut = files.agg(F.sum("length"), F.sum(F.size(starts)), F.count_if(F.size(starts) > 1)).first()
+    if not n_ranges:
+        return files.select(*files.columns, F.inline(cut), F.lit(False).alias("inside"))
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(math.ceil(n_bytes / TASK_BYTES), math.ceil(n_ranges / TASK_RANGES), min(cores, math.ceil(n_bytes / _PIECE)), 1)
+    placed = rank_within(files.select("path", F.inline(cut)), [], [F.desc(F.col("end") - F.col("start")), F.col("path"), F.col("start")], "place")
+    dealt = placed.select("path", "start", "end", "last", ((F.col("place") - 1) % tasks).alias("task"))
+    if n_cut:
+        several = dealt.where(~F.col("last") | (F.col("start") > 0)).select("path", "start", "end", "task")
+        odd = several.repartitionById(tasks, "task").mapInArrow(_odd_quotes, "path string, start long, odd int")
+        before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        parity = odd.select("path", "start", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
+        dealt = dealt.join(parity, ["path", "start"], "left")
+    else:
+        dealt = dealt.withColumn("inside", F.lit(False))
+    dealt = dealt.join(files, "path").repartitionById(tasks, "task")
+    return dealt.select(*files.columns, "start", "end", "last", F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
 def _cut(f, at: int, inside: bool, file_end: int) -> int:
@@ -115,9 +131,10 @@ def _cut(f, at: int, inside: bool, file_end: int) -> int:
     first = f.read(1)
     if first == b"\n" and not inside:
         return at
-    place = at
+    place, size = at, _FIRST_PIECE  # most records end soon
     while place < file_end:
-        data = np.frombuffer(f.read(_PIECE), np.uint8)
+        data = np.frombuffer(f.read(size), np.uint8)
+        size = min(2 * size, _PIECE)
         if not len(data):
             break
         quoted = (np.cumsum(data == 0x22) + inside) % 2
@@ -129,11 +146,26 @@ def _cut(f, at: int, inside: bool, file_end: int) -> int:
     return file_end
 
 
-def parse(data: bytes, sep: str, encoding: str, whole: bool) -> Iterator[list[str]]:
+class _Slice(io.RawIOBase):
+    """The next ``left`` bytes of an open file."""
+
+    def __init__(self, f, left: int):
+        self.f, self.left = f, left
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.f.read(min(len(buffer), self.left))
+        self.left -= len(data)
+        buffer[:len(data)] = data
+        return len(data)
+
+
+def parse(data: io.RawIOBase, sep: str, encoding: str, whole: bool) -> Iterator[list[str]]:
     """The records of a slice; empty lines are none."""
     import csv
-    import io
-    text = io.TextIOWrapper(io.BytesIO(data), encoding, "replace", newline="")
+    text = io.TextIOWrapper(io.BufferedReader(data, _PIECE), encoding, "replace", newline="")
     csv.field_size_limit(2**31 - 1)
     try:
         yield from (r for r in csv.reader(text, delimiter=sep, strict=not whole) if r)
@@ -155,23 +187,22 @@ def records(files: DataFrame, sep: str = ",", encoding: str = "UTF-8", size: int
                     begin = _cut(f, r["start"], r["inside"], r["length"])
                     end = r["length"] if r["last"] else _end_of(f, r, begin)
                     f.seek(begin)
-                    data = f.read(max(0, end - begin))
-                whole = r["start"] == 0 and r["last"]
-                found = parse(data, sep, plain_encoding(encoding) if begin == 0 else encoding, whole)
-                if begin == 0:
-                    next(found, None)
-                place = {n: i for i, n in enumerate(r["names"])}
-                order, n_names = [place.get(c) for c in r["columns"]], len(r["names"])
-                rows, wide = [], []
-                for fields in found:
-                    n = len(fields)
-                    rows.append([fields[i] if i is not None and i < n else None for i in order])
-                    wide.append(n > n_names)
-                    if len(rows) == _ROWS:
+                    whole = r["start"] == 0 and r["last"]
+                    found = parse(_Slice(f, max(0, end - begin)), sep, plain_encoding(encoding) if begin == 0 else encoding, whole)
+                    if begin == 0:
+                        next(found, None)
+                    place = {n: i for i, n in enumerate(r["names"])}
+                    order, n_names = [place.get(c) for c in r["columns"]], len(r["names"])
+                    rows, wide = [], []
+                    for fields in found:
+                        n = len(fields)
+                        rows.append([fields[i] if i is not None and i < n else None for i in order])
+                        wide.append(n > n_names)
+                        if len(rows) == _ROWS:
+                            yield _batch(r, rows, wide)
+                            rows, wide = [], []
+                    if rows:
                         yield _batch(r, rows, wide)
-                        rows, wide = [], []
-                if rows:
-                    yield _batch(r, rows, wide)
 
     cut = ranges(files.select("path", "length", "table", "layout", "names", "columns"), encoding, size)
     return cut.mapInArrow(run, "path string, table string, layout string, cells array<string>, wide boolean")

@@ -56,3 +56,19 @@ def test_lenient_values_null_the_rest(spark):
                                "table_id string, col string, row bigint, value string")
     out = {r["row"]: r["long_value"] for r in I.typed_cells(df, I.column_profile(df), lenient=True).collect()}
     assert out == {1: 1, 2: None}
+
+
+def test_the_shape_of_a_date_format_changes_no_value(spark):
+    """Texts that don't have a format's shape are not parsed; those that the parser reads all have it."""
+    from pyspark.sql import functions as F
+    texts = ["31-01-2020", "1-1-2020", "31-01-2020 10:30", "31-01-2020 10:30:59", "31-01-2020 10", "31/01/2020", "31.01.2020", "2020/01/31",
+             "2020/01/31 23:59:59", "12020/01/31", "+12020/01/31", "2020-01-31", "31-13-2020", "31-02-2020", " 31-01-2020", "31-01-2020 ",
+             "31-01-20", "31-01--2020", "x", "", "1.5", "31-01-2020\n", None, "3101 2020", "31012020", "5/7/2020", "31-ene-2020"]
+    patterns = [*I.DATE_FORMATS[1:], "ddMMyyyy", "d/M/y", "d-MMM-yyyy", "yyyy/MM/dd'T'HH"]
+    assert [I.date_shape(p) is None for p in patterns] == [False] * 6 + [True] * 2
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    for p in patterns:
+        got = rows.select(F.unix_micros(I.as_date(rows.v, p))).collect()
+        assert got == rows.selectExpr(f'unix_micros(try_to_timestamp(v, "{p}"))').collect()
+    plan = rows.select(I.as_date(rows.v, "dd-MM-yyyy"))._jdf.queryExecution().toString()
+    assert "RLIKE" in plan.upper()

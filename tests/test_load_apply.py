@@ -68,6 +68,43 @@ def test_files_read_in_ranges_have_the_same_records(spark, scratch, size):
         assert sorted(got, key=lambda r: int(r[0])) == rows
 
 
+@pytest.mark.parametrize("size", [100, 100_000])
+def test_ranges_are_dealt_to_tasks_by_bytes(spark, scratch, monkeypatch, size):
+    """However small the rows that name them, no task gets more than its share and one range."""
+    from pyspark.sql import functions as F
+
+    from berth.sources import records as R
+    from berth.sources.files import csv_files
+    monkeypatch.setattr(R, "TASK_BYTES", 2_000, raising=False)
+    for i in range(30):
+        write(os.path.join(scratch, "d", f"f{i}.csv"), "a,b\n" + f'{i},"x\n"\n' * (20 + 10 * (i % 7)))
+    files = csv_files(spark, os.path.join(scratch, "d"))
+    cut = R.ranges(files.select("path", "length"), "UTF-8", size)
+    largest = cut.agg(F.max(F.col("end") - F.col("start"))).first()[0]
+    loads = [r[1] for r in cut.groupBy(F.spark_partition_id()).agg(F.sum(F.col("end") - F.col("start"))).collect()]
+    assert sum(loads) == files.agg(F.sum("length")).first()[0] > 5 * 2_000
+    assert max(loads) <= 2_000 + largest
+
+
+def test_the_end_of_a_record_is_found_in_few_bytes():
+    import io
+
+    from berth.sources import records as R
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.taken += len(data)
+            return data
+
+    line = b'1,"a\nb",2\n'
+    f = Counted(line * 400_000)
+    assert R._cut(f, 16_387, False, len(line) * 400_000) % len(line) == 0
+    assert f.taken < 1 << 14
+
+
 def test_many_tables_in_the_same_jobs(spark, scratch):
     land, tables = os.path.join(scratch, "many"), os.path.join(scratch, "tables")
     for i in range(60):

@@ -8,15 +8,19 @@ estimates by Krichevsky-Trofimov, and the weighting mixes a node with its
 children at all depths, bottom up from the counts of the whole training corpus;
 scoring uses the frozen posterior weights.
 
-A context is a node of its own if it holds at least ``1 / max_contexts`` of the
-training symbols, which bounds every depth by ``max_contexts`` nodes at any
-corpus size; what a node's own children leave over is one pooled child. All
-counts enter: contexts that are not nodes count in the pool and above.
-
-Counting is one pass (n-gram counts and word counts, reduced in each task before
-they are shuffled); the bounded tree is solved on the driver and broadcast.
-Words: the ``HOT_WORDS`` commonest are broadcast, the others meet the vocabulary
-in a join of what is left, so no vocabulary is held whole.
+Every context seen in training is a node. A decision that a context has not met has
+probability 1/2 there and below, so only (context, decision) pairs that occur are kept,
+and a context that no training text holds is one whose counts are 0: the symbols and
+contexts (*grams*) of the texts that do not train take part with a count of 0, and the
+tree gives the log probability of every gram of the table.
+
+Counting is one pass (n-gram counts and word counts, reduced in each task before they are
+shuffled). The tree is solved in tasks: a task has whole contexts of ``CUT`` bytes with all
+that is below them, works up from their grams, and sends its sums to the contexts one byte
+shorter (``256 ** (CUT - 1)`` at most, whatever the corpus), which the driver solves and
+broadcasts; a second pass of the same tasks goes down. Grams and words: the ``HOT_GRAMS``
+and ``HOT_WORDS`` commonest are broadcast, the others meet the tree and the vocabulary in a
+join of what is left, so neither is held whole.
 
 Defined cases: a null text is empty, its only token is the end; a null doc_id
 counts as an empty id; repeated rows count and score one by one; without
@@ -38,12 +42,16 @@ from pyspark.sql import functions as F
 from berth.llm.common import chunks, stash
 
 DEPTH = 5
-MAX_CONTEXTS = 32_768
-#: Commonest words broadcast with their counts; the others are joined.
-HOT_WORDS = 200_000
+#: Contexts of so many bytes are solved whole in a task, shorter ones on the driver.
+CUT = 3
+#: Commonest words and grams broadcast with their values; the others are joined.
+HOT_WORDS, HOT_GRAMS = 200_000, 2_000_000
 _END = b"\n"
 _BATCH = 1_000_000
 _NODES = 2_048
+#: Grams that are worked on at a time, and one context of ``CUT`` bytes more.
+_GRAMS = 400_000
+_SMALL = 1 << 16
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -68,14 +76,14 @@ class Windows:
         return self.symbols[self.depth - k:len(self.symbols) - k]
 
     def codes(self) -> np.ndarray:
-        """The symbol (lowest byte) and its context, nearest byte next, of each real place."""
-        out = self.back(0).astype(np.uint64)
+        """The gram of each real place: the context, nearest byte first, then the symbol."""
+        out = self.back(0).astype(np.int64)
         for k in range(1, self.depth + 1):
-            out |= self.back(k).astype(np.uint64) << np.uint64(8 * k)
+            out |= self.back(k).astype(np.int64) << (8 * (self.depth + 1 - k))
         return out[self.real[self.depth:]]
 
 
-def _texts(parts: Iterator[pa.RecordBatch], seen: Counter | None = None) -> Iterator[tuple[list, list[bytes], list[list[bytes]]]]:
+def _texts(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes], list[list[bytes]]]]:
     """Runs of about ``_BATCH`` bytes: other columns' values, normalised texts, words."""
     for part in parts:
         names = [n for n in part.schema.names if n != "text"]
@@ -83,8 +91,6 @@ def _texts(parts: Iterator[pa.RecordBatch], seen: Counter | None = None) -> Iter
         rows, texts, words, size = [], [], [], 0
         for other, text in zip(others, part.column("text")):
             found = tokens(text.as_py())
-            if seen is not None:
-                seen.update(found)
             rows.append(other)
             words.append(found)
             texts.append(b" ".join(found))
@@ -103,41 +109,56 @@ def _merge(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal sorted keys start."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
 def _counted(depth: int):
-    """Training texts to counts: (gram) by symbol and context, (word) by word, and ends."""
+    """``held_out, text`` to training counts: (gram) by gram, 0 for those that only other
+    texts hold, (word) by word, and ends."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        key, n, ends = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        held: list[np.ndarray] = []
+        key, n, ends = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        held: dict[bool, list[np.ndarray]] = {False: [], True: []}
 
         def fold(key, n):
-            grams = np.sort(np.concatenate(held))
-            at = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-            return _merge(np.concatenate([key, grams[at]]), np.concatenate([n, np.diff(np.append(at, len(grams)))]))
+            keys, counts = [key], [n]
+            for out, codes in held.items():
+                grams = np.sort(np.concatenate([np.zeros(0, np.int64), *codes]))
+                at = _runs(grams)
+                keys.append(grams[at])
+                counts.append(np.zeros(len(at), np.int64) if out else np.diff(np.append(at, len(grams))))
+                codes.clear()
+            return _merge(np.concatenate(keys), np.concatenate(counts))
 
         def spill(words, key, n):
             names = ["gram", "word", "n"]
             for s in range(0, len(key), 100_000):
                 k = key[s:s + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.nulls(len(k), pa.binary()), pa.array(n[s:s + 100_000])], names)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.nulls(len(k), pa.binary()), pa.array(n[s:s + 100_000])], names)
             some = list(words.items())
             for s in range(0, len(some), 100_000):
                 w = some[s:s + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int64()), pa.array([x[0] for x in w], pa.binary()),
                                                   pa.array([x[1] for x in w], pa.int64())], names)
 
-        for _, texts, _ in _texts(parts, words):
-            ends += len(texts)
-            held.append(Windows(texts, depth).codes())
-            if sum(map(len, held)) > 4 * _BATCH:
+        for rows, texts, found in _texts(parts):
+            for out in (False, True):
+                mine = [t for t, r in zip(texts, rows) if bool(r[0]) == out]
+                if mine:
+                    held[out].append(Windows(mine, depth).codes())
+                    ends += 0 if out else len(mine)
+            for w, r in zip(found, rows):
+                if not r[0]:
+                    words.update(w)
+            if sum(len(c) for codes in held.values() for c in codes) > 4 * _BATCH:
                 key, n = fold(key, n)
-                held.clear()
             if len(words) > 250_000 or len(key) > 2_000_000:
                 yield from spill(words, key, n)
                 words.clear()
                 key, n = key[:0], n[:0]
-        if held:
-            key, n = fold(key, n)
+        key, n = fold(key, n)
         yield from spill(words, key, n)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([ends], pa.int64())], ["gram", "word", "n"])
     return run
@@ -187,8 +208,10 @@ def symbol_logs(p1: np.ndarray) -> np.ndarray:
 
 
 def solve(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], depth: int) -> dict:
-    """The frozen tree from ``levels[d] = (contexts, row, symbol, count)``: the contexts of
-    depth d that are nodes, and their symbol counts.
+    """The frozen tree of a few given contexts, all symbols of a node at once (the form that
+    tests hold against; tables take :func:`gram_logs`). ``levels[d] = (contexts, row, symbol,
+    count)``: the contexts of depth d that are nodes, and their symbol counts; what a node's
+    own children leave over is one pooled child.
 
     Returns ``child`` (node by column of the context byte), ``column`` (byte to
     column) and ``logs`` (node by symbol, log10).
@@ -250,32 +273,155 @@ def solve(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], d
     return {"child": child, "column": column, "logs": logs, "depth": depth}
 
 
-def text_logs(model: dict, texts: list[bytes]) -> np.ndarray:
-    """Log10 probability of each normalised text, its end included."""
-    depth, child, width = model["depth"], model["child"].ravel(), model["child"].shape[1]
-    dead = len(model["child"]) - 1
-    w = Windows(texts, depth)
-    columns = model["column"][w.symbols]
-    here = np.zeros(len(w.symbols) - depth, np.int32)
-    node = here.copy()
-    for k in range(1, depth + 1):
-        here = child[here.astype(np.int64) * width + columns[depth - k:len(columns) - k]]
-        node = np.where(here != dead, here, node)
-    logs = model["logs"].ravel()[node.astype(np.int64) * 256 + w.back(0)].astype(np.float64)
-    logs[~w.real[depth:]] = 0.0
-    return np.add.reduceat(np.concatenate([np.zeros(depth), logs]), w.starts)
-
-
-def _gathered(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, symbol, n) of a bounded frame, packed in the tasks."""
+_HALF, _ONE = (log_gamma(np.arange(_SMALL) + x) for x in (0.5, 1.0))
+
+
+def count_logs(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """:func:`log_kt` of whole numbers, small ones from a table."""
+    last = _SMALL - 1
+    out = _HALF[np.minimum(n0, last)] + _HALF[np.minimum(n1, last)] - _ONE[np.minimum(n0 + n1, last)] - np.log(np.pi)
+    big = np.flatnonzero(n0 + n1 > last)
+    out[big] = log_kt(n0[big].astype(np.float64), n1[big].astype(np.float64))
+    return out
+
+
+def _shorter(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (context, decision) one byte shorter, sorted, and where each key's is."""
+    return np.unique(key >> 16 << 8 | key & 255, return_inverse=True)
+
+
+def _sums(to: np.ndarray, size: int, *values: np.ndarray) -> list[np.ndarray]:
+    return [np.bincount(to, v, size).astype(v.dtype) for v in values]
+
+
+def _mixed(n0: np.ndarray, n1: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted log probability of inner pairs, and the posterior weight of their own estimate."""
+    own = count_logs(n0, n1)
+    mixed = np.logaddexp(own, below) - np.log(2)
+    return mixed, np.exp(np.minimum(own - np.log(2) - mixed, 0.0))
+
+
+def _up(gram: np.ndarray, n: np.ndarray, level: int, depth: int, cut: int) -> tuple[np.ndarray, np.ndarray, list]:
+    """One of the eight decisions of sorted grams that hold whole contexts of ``cut`` bytes:
+    the pairs at ``cut``, their weighted log probabilities, and for each depth from the
+    deepest (where each item below has its pair, zeros, ones, weight)."""
+    symbol = gram & 255
+    key = gram >> 8 << 8 | (256 | symbol) >> (8 - level)
+    at = _runs(key)
+    to = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(key))))
+    n1 = np.add.reduceat(np.where(symbol >> (7 - level) & 1, n, 0), at)
+    n0 = np.add.reduceat(n, at) - n1
+    key, logs = key[at], count_logs(n0, n1)
+    steps = [(to, n0, n1, np.ones(len(key)))]
+    for _ in range(depth - cut):
+        key, to = _shorter(key)
+        n0, n1, below = _sums(to, len(key), n0, n1, logs)
+        logs, weight = _mixed(n0, n1, below)
+        steps.append((to, n0, n1, weight))
+    return key, logs, steps
+
+
+def _down(before, over, steps: list) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of a one given by the pairs down to the last step, and what is left of the weight."""
+    for to, n0, n1, weight in reversed(steps):
+        now, left = before + over * weight * kt(n0, n1), over * (1.0 - weight)
+        before, over = now[to], left[to]
+    return before, over
+
+
+def _top(node: np.ndarray, below: np.ndarray, n0: np.ndarray, n1: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of ``depth`` bytes, sorted, with :func:`_down`'s values of all pairs above and of themselves."""
+    order = np.argsort(node)
+    key, below, n0, n1 = node[order], below[order], n0[order], n1[order]
+    to, steps, pairs = np.arange(len(key)), [], key
+    for d in range(depth, -1, -1):
+        logs, weight = _mixed(n0, n1, below)
+        steps.append((to, n0, n1, weight))
+        if d:
+            pairs, to = _shorter(pairs)
+            n0, n1, below = _sums(to, len(pairs), n0, n1, logs)
+    return key, *_down(0.0, 1.0, steps)
+
+
+def _whole(parts: Iterator[pa.RecordBatch], shift: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted ``gram, n`` in pieces that hold whole contexts (the bits above ``shift``)."""
+    grams, counts, held, limit = [], [], 0, size
+    for part in parts:
+        grams.append(part.column("gram").to_numpy())
+        counts.append(part.column("n").to_numpy())
+        held += part.num_rows
+        if held >= limit:
+            gram, n = np.concatenate(grams), np.concatenate(counts)
+            end = int(np.searchsorted(gram, gram[-1] >> shift << shift))
+            if end:
+                yield gram[:end], n[:end]
+            grams, counts, held = [gram[end:]], [n[end:]], len(gram) - end
+            limit = max(size, 2 * held)
+    if held:
+        yield np.concatenate(grams), np.concatenate(counts)
+
+
+def _sent_up(depth: int, cut: int, size: int):
+    """Grams to the sums that the contexts of ``cut - 1`` bytes get from those below."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n in _whole(parts, 8 * (depth + 1 - cut), size):
+            for level in range(8):
+                key, logs, steps = _up(gram, n, level, depth, cut)
+                node, to = _shorter(key)
+                n0, n1, below = _sums(to, len(node), steps[-1][1], steps[-1][2], logs)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(below), pa.array(n0), pa.array(n1)], ["node", "below", "n0", "n1"])
+    return run
+
+
+def _logs(depth: int, cut: int, size: int, top):
+    """Grams to their log10 probabilities."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, before, over = top.value
+        for gram, n in _whole(parts, 8 * (depth + 1 - cut), size):
+            logs = np.zeros(len(gram))
+            for level in range(8):
+                key, _, steps = _up(gram, n, level, depth, cut)
+                at = np.searchsorted(node, key >> 16 << 8 | key & 255)
+                one, _ = _down(before[at], over[at], steps)
+                logs += np.log10(np.where(gram >> (7 - level) & 1, one, 1.0 - one))
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n), pa.array(logs)], ["gram", "n", "log"])
+    return run
+
+
+def _gathered(df: DataFrame) -> list[np.ndarray]:
+    """The columns (longs and doubles) of a bounded frame, packed in the tasks."""
+    names, kinds = df.columns, [np.float64 if t == "double" else np.int64 for _, t in df.dtypes]
+
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            cells = [part.column(c).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for c in ("context", "symbol", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], ["context", "symbol", "n"])
+            cells = [part.column(c).to_numpy(zero_copy_only=False).tobytes() for c in names]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in cells], names)
 
-    rows = df.mapInArrow(pack, "context binary, symbol binary, n binary").collect()
-    join = lambda c: np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[c], np.int64) for r in rows)])
-    return join("context").view(np.uint64), join("symbol"), join("n")
+    rows = df.mapInArrow(pack, ", ".join(f"{c} binary" for c in names)).collect()
+    return [np.concatenate([np.zeros(0, k), *(np.frombuffer(r[c], k) for r in rows)]) for c, k in zip(names, kinds)]
+
+
+def gram_logs(grams: DataFrame, depth: int) -> DataFrame:
+    """``gram, n, log`` (log10 probability of the symbol behind its context) of all ``grams(gram, n)``."""
+    cut = min(CUT, depth)
+    dealt = grams.repartition(F.shiftright("gram", 8 * (depth + 1 - cut))).sortWithinPartitions("gram")
+    sent = dealt.mapInArrow(_sent_up(depth, cut, _GRAMS), "node long, below double, n0 long, n1 long")
+    sums = sent.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("below", "n0", "n1")))
+    top = grams.sparkSession.sparkContext.broadcast(_top(*_gathered(sums), cut - 1))
+    return dealt.mapInArrow(_logs(depth, cut, _GRAMS, top), "gram long, n long, log double")
+
+
+def _hot_count(grams: DataFrame) -> int:
+    """The least count of the grams that are broadcast: ``HOT_GRAMS`` at most."""
+    step = F.floor(8 * F.log2("n"))
+    steps = grams.where("n > 0").groupBy(step.alias("step")).agg(F.count("*").alias("grams"), F.min("n").alias("least")).collect()
+    least, held = (1 << 63) - 1, 0
+    for r in sorted(steps, key=lambda r: -r.step):
+        held += r.grams
+        if held > HOT_GRAMS:
+            break
+        least = r.least
+    return least
 
 
 def _common(words: DataFrame) -> dict[bytes, int]:
@@ -292,30 +438,40 @@ def _common(words: DataFrame) -> dict[bytes, int]:
     return out if out and next(iter(out)) else {}
 
 
-def fit(grams: DataFrame, depth: int = DEPTH, max_contexts: int = MAX_CONTEXTS) -> dict:
-    """The tree of ``grams(gram, n)``, packed by ``Windows.codes``."""
-    total = int(grams.agg(F.sum("n")).first()[0] or 0)
-    levels = []
-    for d in range(depth + 1):
-        context = F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1))
-        rows = grams.groupBy(context.alias("context"), F.col("gram").bitwiseAND(F.lit(255)).alias("symbol")).agg(F.sum("n").alias("n"))
-        if d:
-            big = rows.groupBy("context").agg(F.sum("n").alias("held")).where(F.col("held") * max_contexts >= total)
-            rows = rows.join(big.select("context"), "context")
-        c, s, n = _gathered(rows)
-        levels.append((np.unique(c) if d else np.zeros(1, np.uint64), c, s, n))
-    return solve(levels, depth)
-
-
 # -- scoring -----------------------------------------------------------------
 
-_SCORED = ("doc_id long, held_out boolean, n_tokens long, hot_known long, hot_sum double, score double, "
-           "rare array<struct<word:binary,n:long>>")
-
-
-def _scored(model, hot):
+_SCORED = ("doc_id long, held_out boolean, n_tokens long, hot_known long, hot_sum double, hot_score double, "
+           "rare array<struct<word:binary,n:long>>, far array<struct<gram:long,n:long>>")
+
+
+def _text_logs(texts: list[bytes], depth: int, grams: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """Of each normalised text, its end included: the sum over its hot grams, and the others with their numbers."""
+    codes = Windows(texts, depth).codes()
+    starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    order = np.argsort(codes)
+    ordered = codes[order]
+    at = _runs(ordered)
+    own = ordered[at]
+    to = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(ordered))))
+    place = np.minimum(np.searchsorted(grams, own), max(len(grams) - 1, 0))
+    hot = grams[place] == own if len(grams) else np.zeros(len(own), bool)
+    value = np.zeros(len(own))
+    value[hot] = logs[place[hot]]
+    each = np.empty(len(codes))
+    each[order] = value[to]
+    rest = np.flatnonzero(~hot[to])
+    gram, text = ordered[rest], np.searchsorted(starts, order[rest], "right") - 1
+    by = np.lexsort((gram, text))
+    gram, text = gram[by], text[by]
+    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (text[1:] != text[:-1])])) if len(gram) else np.zeros(0, np.int64)
+    far = pa.StructArray.from_arrays([pa.array(gram[first]), pa.array(np.diff(np.append(first, len(gram))))], ["gram", "n"])
+    offsets = np.searchsorted(text[first], np.arange(len(texts) + 1))
+    return np.add.reduceat(each, starts[:-1]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), far)
+
+
+def _scored(depth, model, hot):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, logs = model.value, hot.value
+        (grams, gram_values), logs = model.value, hot.value
         kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for rows, texts, words in _texts(parts):
             known, sums, rare = [], [], []
@@ -325,11 +481,12 @@ def _scored(model, hot):
                 sums.append(float(sum(near)))
                 far = Counter(w for w in found if w not in logs) if len(near) < len(found) else {}
                 rare.append([{"word": w, "n": n} for w, n in far.items()])
+            hot_score, others = _text_logs(texts, depth, grams, gram_values)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
                  pa.array([len(f) + 1 for f in words], pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.array(text_logs(tree, texts)), pa.array(rare, kind)],
-                ["doc_id", "held_out", "n_tokens", "hot_known", "hot_sum", "score", "rare"])
+                 pa.array(sums, pa.float64()), pa.array(hot_score), pa.array(rare, kind), others],
+                ["doc_id", "held_out", "n_tokens", "hot_known", "hot_sum", "hot_score", "rare", "far"])
     return run
 
 
@@ -338,21 +495,28 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
     row of ``docs(doc_id, text)``; rows that are not held out train."""
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("binary").alias("text"))
-    raw = rows.where("not held_out").select("text").mapInArrow(_counted(depth), "gram long, word binary, n long")
+    raw = rows.select("held_out", "text").mapInArrow(_counted(depth), "gram long, word binary, n long")
     counted = stash(raw.groupBy("gram", "word").agg(F.sum("n").alias("n")))
     grams = counted.where("gram is not null").select("gram", "n")
     words = counted.where("word is not null").select("word", "n")
     ends = int(counted.where("gram is null and word is null").agg(F.sum("n")).first()[0] or 0)
     held, distinct = words.agg(F.sum("n"), F.count("*")).first()
     n_train, vocabulary = int(held or 0) + ends, int(distinct) + (1 if ends else 0)
-    model = sc.broadcast(fit(grams, depth))
+    tree = stash(gram_logs(grams, depth))
+    least = _hot_count(tree)
+    common, values = _gathered(tree.where(F.col("n") >= least).select("gram", "log"))
+    order = np.argsort(common)
+    model = sc.broadcast((common[order], values[order]))
     hot = sc.broadcast({w: math.log10(n + 1.0) for w, n in _common(words).items()})
-    told = stash(rows.mapInArrow(_scored(model, hot), _SCORED).withColumn("row", F.monotonically_increasing_id()))
+    told = stash(rows.mapInArrow(_scored(depth, model, hot), _SCORED).withColumn("row", F.monotonically_increasing_id()))
     rare = told.select("row", F.explode("rare").alias("e")).select("row", "e.word", F.col("e.n").alias("times"))
     rare = (rare.join(words, "word").groupBy("row")
             .agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_sum")))
+    far = told.select("row", F.explode("far").alias("e")).select("row", "e.gram", F.col("e.n").alias("times"))
+    far = far.join(tree.where(F.col("n") < least).select("gram", "log"), "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("far_score"))
     known = F.col("hot_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(1 if ends else 0)
     sums = F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.log10(F.lit(float(ends)) + 1.0)
-    return told.join(rare, "row", "left").select(
+    return told.join(rare, "row", "left").join(far, "row", "left").select(
         "doc_id", "held_out", "n_tokens", known.cast("long").alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
-        (sums - F.col("n_tokens") * F.log10(F.lit(float(n_train + vocabulary + 1)))).alias("base_score"), "score")
+        (sums - F.col("n_tokens") * F.log10(F.lit(float(n_train + vocabulary + 1)))).alias("base_score"),
+        (F.col("hot_score") + F.coalesce("far_score", F.lit(0.0))).alias("score"))

@@ -584,6 +584,69 @@ def test_context_tree_equals_definition(spark, monkeypatch):
     assert ctw.score(docs.limit(0), F.lit(False), depth=2).count() == 0
 
 
+def test_context_tree_keeps_rare_contexts(spark, monkeypatch):
+    """Contexts seen once among more than 32,768 symbols count as they are, whether their grams are broadcast or joined."""
+    from functools import lru_cache
+    from math import lgamma, log, pi
+
+    depth, rng = 5, random.Random(11)
+    words = ["".join(rng.choices("abcdefghiklmnopé", k=rng.randint(3, 8))) for _ in range(2500)]
+    texts = [" ".join(rng.choices(words, k=370)) for _ in range(16)]
+    rows = list(enumerate(texts)) + [(16, "zzz unseen a"), (17, "")]
+    held = lambda i: i in (1, 16)
+    symbols = lambda t: b"\n" * depth + b" ".join(t.encode().lower().split()) + b"\n"
+    counts, children = defaultdict(Counter), defaultdict(set)
+    for i, t in rows:
+        s = symbols(t)
+        for at in range(depth, len(s) if not held(i) else 0):
+            for d in range(depth + 1):
+                ctx = s[at - d:at][::-1]
+                children[ctx[:-1]].add(ctx) if d else None
+                for level in range(8):
+                    counts[ctx][(256 | s[at]) >> (8 - level), s[at] >> (7 - level) & 1] += 1
+    assert sum(counts[b""][1, b] for b in (0, 1)) > 32_768
+
+    def own(ctx, j):
+        a, b = counts[ctx][j, 0], counts[ctx][j, 1]
+        return lgamma(a + 0.5) + lgamma(b + 0.5) - lgamma(a + b + 1) - log(pi), (b + 0.5) / (a + b + 1)
+
+    @lru_cache(None)
+    def weighted(ctx, j):
+        if not counts[ctx][j, 0] + counts[ctx][j, 1]:
+            return 0.0
+        if len(ctx) == depth:
+            return own(ctx, j)[0]
+        return np.logaddexp(own(ctx, j)[0], sum(weighted(c, j) for c in children[ctx])) - log(2)
+
+    def p_one(full, j):
+        now, left = 0.0, 1.0
+        for d in range(depth + 1):
+            ctx = full[:d]
+            if ctx not in counts:
+                return now + left * 0.5
+            w = 1.0 if d == depth else np.exp(own(ctx, j)[0] - log(2) - weighted(ctx, j))
+            now, left = now + left * w * own(ctx, j)[1], left * (1 - w)
+        return now
+
+    def want(t):
+        s, total = symbols(t), 0.0
+        for at in range(depth, len(s)):
+            for level in range(8):
+                p = p_one(s[at - depth:at][::-1], (256 | s[at]) >> (8 - level))
+                total += np.log10(p if s[at] >> (7 - level) & 1 else 1 - p)
+        return total
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = {i: want(rows[i][1]) for i in (0, 1, 16, 17)}
+    for hot, size in ((300, 700), (10**6, 10**6)):
+        monkeypatch.setattr(ctw, "HOT_GRAMS", hot, raising=False)
+        monkeypatch.setattr(ctw, "_GRAMS", size, raising=False)
+        got = {r.doc_id: r.score for r in ctw.score(docs, F.col("doc_id").isin(1, 16)).collect()}
+        assert len(got) == len(rows)
+        for i, w in wanted.items():
+            assert got[i] == pytest.approx(w, rel=1e-6)
+
+
 def test_context_tree_is_a_distribution_and_beats_words(spark):
     got = queries.op10_context_tree_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]  # log probabilities: the greater is the better

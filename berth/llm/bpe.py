@@ -27,6 +27,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ CHUNK_BITS, MIN_SHARED = 10, 128
 MEMO_BYTES = 112_000_000
 #: Documents that leave a task together.
 ROWS = 512
+#: Ids that are decoded at a time, and one document more.
+DECODED = 250_000
 _WINDOW_STEPS = 5  # 2^5 = 32 bytes
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -115,22 +118,28 @@ class Memo(dict):
     def learn(self, words: list[bytes]) -> None:
         """Encode the words that are new in one call of the library; the ids of each are those
         that start inside it. Words that begin with more than ASCII are left to single calls."""
-        new = set()
-        for word in [w for w in set(words) if w not in self]:
-            if (ids := self.older.get(word)) is not None:
+        new, forms, older = set(), [], self.older
+        for word in set(filterfalse(self.__contains__, words)):
+            if (ids := older.get(word)) is not None:
                 self._keep(word, ids)
-            elif (bare := self._bare(word)[1])[0] < 0x80 and bare not in self and bare not in self.older:
+                continue
+            form, bare = self._bare(word)
+            if bare[0] < 0x80 and bare not in self and bare not in older:
                 new.add(bare)
-        if len(new) < 2:
-            return
-        order = list(new)
-        texts = [w.decode("utf-8") for w in order]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, self.kind)
-        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        cuts = np.searchsorted([o[0] for o in found.offsets], starts).tolist()
-        for i, word in enumerate(order):
-            self._keep(word, ids[cuts[i]:cuts[i + 1]].tobytes())
+            if bare != word:
+                forms.append((word, form, bare))
+        if len(new) > 1:
+            order = list(new)
+            texts = [w.decode("utf-8") for w in order]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ids = np.array(found.ids, self.kind).tobytes()
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            first = np.fromiter((o[0] for o in found.offsets), np.int64, len(found))
+            cuts = (np.searchsorted(first, starts) * np.dtype(self.kind).itemsize).tolist()
+            for word, at, end in zip(order, cuts, cuts[1:]):
+                self._keep(word, ids[at:end])
+        for word, form, bare in forms:
+            self._keep(word, self[form] if bare == form else self[bare] + self[form[len(bare):]])
 
     def encode(self, text: bytes) -> bytes:
         words = text.split()
@@ -290,23 +299,46 @@ def token_strings(json_text: str) -> list[str]:
     return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
 
 
+def _spelled(ids: np.ndarray, ends: np.ndarray, strings: pa.Array) -> list[memoryview]:
+    """The strings of each run of ids (``ends``: where they end, 0 first), joined by one space."""
+    if not len(ids):
+        return [memoryview(b"")] * (len(ends) - 1)
+    joined = strings.take(pa.array(ids))
+    places = np.frombuffer(joined.buffers()[1], np.int64, len(ids) + 1)[ends].tolist()
+    data = memoryview(joined.buffers()[2] or b"")
+    return [data[at:max(at, end - 1)] for at, end in zip(places, places[1:])]
+
+
 def _decoded(json_text, digest: bool, keep_ids: bool = False):
     import hashlib
 
+    def runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of neighbouring rows, about ``DECODED`` at a time, and where each row's end."""
+        if not len(column):
+            return
+        column = column.fill_null(b"")
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] // 4
+        ids, at = np.frombuffer(column.buffers()[2] or b"", np.uint32), 0
+        while at < len(column):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + DECODED, "right")) - 1)
+            yield ids[ends[at]:ends[to]], ends[at:to + 1] - ends[at]
+            at = to
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = numbers = None
         for part in parts:
             if shown is None:
-                shown = [t.encode() for t in token_strings(json_text.value)]
-                numbers = [str(i).encode() for i in range(len(shown))]
+                tokens = token_strings(json_text.value)
+                shown = pa.array([t.encode() + b" " for t in tokens], pa.large_binary())
+                numbers = pa.array([b"%d " % i for i in range(len(tokens))], pa.large_binary())
             ids = part.column("ids")
             n, first, second = [], [], []
-            for i in range(len(ids)):
-                own = np.frombuffer(ids[i].as_py() or b"", np.uint32).tolist()
-                n.append(len(own))
-                text = b" ".join([shown[x] for x in own])
-                first.append(hashlib.sha256(b" ".join([numbers[x] for x in own])).hexdigest() if digest else None)
-                second.append(hashlib.sha256(text).hexdigest() if digest else text.decode())
+            for own, ends in runs(ids):
+                n += np.diff(ends).tolist()
+                texts = _spelled(own, ends, shown)
+                if digest:
+                    first += [hashlib.sha256(x).hexdigest() for x in _spelled(own, ends, numbers)]
+                second += [hashlib.sha256(t).hexdigest() if digest else str(t, "utf-8") for t in texts]
             columns = [part.column("doc_id"), pa.array(n, pa.int64())]
             if digest:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(first, pa.string()), pa.array(second, pa.string()), *[ids] * keep_ids],

@@ -119,6 +119,42 @@ def test_words_encode_as_the_library_does(monkeypatch):
         assert np.frombuffer(memo.wide(memo.encode(text.encode())), np.uint32).tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_learnt_words_are_looked_up_once():
+    """All forms of a document's new words are known after one call of the library."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        memo = bpe.Memo(f.read())
+    words = b"Lorem ipsum lorem, IPSUM! dolor; Dolor. sit".split()
+    memo.learn(words)
+    assert all(w in memo for w in words)
+
+
+def test_decoding_of_awkward_columns(monkeypatch):
+    """Nulls, empty rows, slices, and runs of rows cut at every place."""
+    class Text:
+        pass
+
+    import pyarrow as pa
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        Text.value = f.read()
+    own = bpe.load(Text.value)
+    rng, top = random.Random(2), own.get_vocab_size()
+    lists = [None, [], [], [5], [rng.randrange(top) for _ in range(40)], None, [top - 1, 0], [], [rng.randrange(top) for _ in range(9)], []]
+    cells = pa.array([None if x is None else np.array(x, np.uint32).tobytes() for x in lists], pa.binary())
+    part = pa.RecordBatch.from_arrays([pa.array(range(len(lists)), pa.int64()), cells], ["doc_id", "ids"])
+    strings = bpe.token_strings(Text.value)
+    for at, limit in ((0, 10**6), (1, 1), (1, 12), (5, 3)):
+        monkeypatch.setattr(bpe, "DECODED", limit)
+        for size in (0, 1, 4, len(lists) - at):
+            want = [" ".join(strings[i] for i in x or []) for x in lists[at:at + size]]
+            numbers = [" ".join(map(str, x or [])) for x in lists[at:at + size]]
+            (got,) = bpe._decoded(Text, True)(iter([part.slice(at, size)]))
+            assert got.column("n_tokens").to_pylist() == [len(x or []) for x in lists[at:at + size]]
+            assert got.column("ids_sha256").to_pylist() == [sha(x.encode()) for x in numbers]
+            assert got.column("decoded_sha256").to_pylist() == [sha(x.encode()) for x in want]
+            (got,) = bpe._decoded(Text, False)(iter([part.slice(at, size)]))
+            assert got.column("decoded").to_pylist() == want
+
+
 def test_joints_grow_until_both_sides_agree(monkeypatch):
     """A tokenizer that joins words over white space: its joints swallow the pieces around them."""
     with open(queries.tokenizer_path(), encoding="utf-8") as f:

@@ -620,6 +620,21 @@ def test_context_tree_equals_definition(spark, monkeypatch):
     assert ctw.score(docs.limit(0), F.lit(False), depth=2).count() == 0
 
 
+def test_similarity_at_the_edge_of_every_band(spark):
+    """Edits just within and just beyond what a length allows, at lengths around the bands."""
+    rng, pairs = random.Random(4), []
+    for size in (1, 4, 5, 79, 80, 84, 85, 320, 325, 1280, 1290):
+        for edits in {0, size // 5 - 1, size // 5, size // 5 + 1, size // 5 + 2}:
+            if 0 <= edits <= size:
+                x = "".join(rng.choices("abcd", k=size))
+                places = set(rng.sample(range(size), edits))
+                # letters that the other has not: the distance is the number of places
+                pairs.append((x, "".join("z" if i in places else c for i, c in enumerate(x)), 5 * edits <= size))
+                pairs.append((x, x + "y" * edits, 5 * edits <= size + edits))
+    got = spark.createDataFrame(pairs, "x string, y string, want boolean").select("want", line_dedup._similar("x", "y").alias("is")).collect()
+    assert len(got) == len(pairs) and all(r.want == r["is"] for r in got)
+
+
 def test_context_tree_keeps_rare_contexts(spark, monkeypatch):
     """Contexts seen once among more than 32,768 symbols count as they are, whether their grams are broadcast or joined."""
     from functools import lru_cache

@@ -635,6 +635,57 @@ def test_similarity_at_the_edge_of_every_band(spark):
     assert len(got) == len(pairs) and all(r.want == r["is"] for r in got)
 
 
+def test_scripts_of_edits_are_never_shorter_than_the_distance(spark):
+    rng, pairs = random.Random(8), []
+    for i in range(300):
+        own = ["".join(rng.choices("abcdé", k=rng.randint(1, 6))) for _ in range(rng.randint(1, 30))]
+        new = list(own)
+        for _ in range(rng.randint(0, 4)):
+            at, how = rng.randrange(len(new) + 1), rng.randrange(3)
+            new[at:at + (how != 1)] = [] if how == 2 else ["".join(rng.choices("abcdé", k=rng.randint(1, 6)))]
+        pairs.append((" ".join(own), " ".join(new or own)))
+    told = spark.createDataFrame(pairs, "x string, y string")
+    edits = lambda limit: line_dedup._edits(F.split("x", " "), F.split("y", " "), F.lit(limit))
+    got = told.select(F.levenshtein("x", "y").alias("least"), edits(10_000).alias("n"), edits(5).alias("few")).collect()
+    assert all(r.least <= r.n for r in got) and all((r.few == r.n) if r.n <= 5 else r.few > 5 for r in got)
+    assert sum(r.n <= r.least + 4 for r in got) > 0.8 * len(got)
+
+
+def test_lines_that_share_a_passage_meet_only_if_they_can_be_linked(spark, monkeypatch):
+    """Families of lines around one passage: pairs get their lines only where their words allow a link,
+    and only a few distances of whole lines are looked for; the lines kept are those of brute force."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    passage = [word() + "passage" for _ in range(10)]
+    lines = [[word() for _ in range(9)] + passage + [word() for _ in range(9)] for _ in range(30)]
+    for base in range(3):  # the same words, in another order each time
+        own = [word() for _ in range(18)]
+        for _ in range(2):
+            rng.shuffle(own)
+            for _ in range(6):
+                lines.append(own + passage)
+                lines[-1][rng.randrange(18)] = word()
+    rows = [(i, " ".join(x)) for i, x in enumerate(lines)]
+    met, whole = [], []
+    apart, bounded = line_dedup._told_apart, line_dedup._bounded
+
+    def told_apart(pairs, lines):
+        met.append(pairs.select("a", "b").distinct().count())
+        return apart(pairs, lines)
+
+    def seen(open_, lines):
+        out = bounded(open_, lines)
+        whole.append((out.count(), out.where("least > 0").count()))
+        return out
+    monkeypatch.setattr(line_dedup, "_told_apart", told_apart)
+    monkeypatch.setattr(line_dedup, "_bounded", seen)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()}
+    first = {i: min([i, *(j for j, y in rows[:i] if 5 * distance(x, y) <= max(len(x), len(y)))]) for i, x in rows}
+    assert len(set(first.values())) == 36 and got == {i: x if first[i] == i else "" for i, x in rows}
+    assert sum(met) < len(rows) * (len(rows) - 1) // 2 // 4  # before: all pairs
+    assert any(n and n == known for n, known in whole)
+
+
 def test_context_tree_keeps_rare_contexts(spark, monkeypatch):
     """Contexts seen once among more than 32,768 symbols count as they are, whether their grams are broadcast or joined."""
     from functools import lru_cache

@@ -499,6 +499,37 @@ def test_whole_line_dedup_finds_all_lines_of_one_or_two_changed_words(spark):
     assert got == {i: t if i % 2 == 0 else "" for i, t in rows}
 
 
+def test_whole_line_dedup_makes_words_once_and_moves_only_the_lines_of_its_pairs(spark, monkeypatch):
+    """The words of all lines are made in one pass (and again for those that meet others), and lines are joined
+    only to pairs that they are in. Before: two passes over all lines, and all lines that meet others in each join."""
+    pairs = changed_lines(random.Random(5), 12)
+    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in range(2)]
+    passes, joined = [], []
+    words, with_lines = line_dedup.line_words, line_dedup._with_lines
+
+    def counted(line):
+        passes.append(1)
+        return words(line)
+
+    def seen(pairs, lines):
+        joined.append((pairs.select(F.explode(F.array("a", "b"))).distinct().count(), lines.count()))
+        return with_lines(pairs, lines)
+    monkeypatch.setattr(line_dedup, "line_words", counted)
+    monkeypatch.setattr(line_dedup, "_with_lines", seen)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()}
+    assert got == {i: t if i % 2 == 0 else "" for i, t in rows}
+    assert len(passes) == 2 and any(n for n, _ in joined) and all(n == m for n, m in joined)
+
+
+def test_words_added_up_at_once_give_the_sim_hash(spark):
+    rng = random.Random(6)
+    lines = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n)) for n in (5, 14, 15, 16, 30, 31, 47, 400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)] + [(3, lines[3])], "doc_id long, text string")  # one row twice
+    for whole in (False, True):
+        got = {r.doc_id: r.sim for r in line_dedup.signatures(docs, 5, whole).collect()}
+        assert got == {i: sim_hash(t.split()) for i, t in enumerate(lines)}
+
+
 def test_whole_line_dedup_folds_equal_lines_of_any_length(spark):
     rows = [(1, "Les.\n\none two\n \t\nsame\tfive words by tabs"), (2, "les.\nONE  two\r\nonly here\n"), (3, "same five\x0bwords by tabs\n les.\none\ttwo three"), (None, "LES.")]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect()}
